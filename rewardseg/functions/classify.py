@@ -61,6 +61,17 @@ def gender_code(gender: str | Column) -> Column:
     return out.otherwise(fv.GENDER_OTHER)
 
 
+def category_index(l1_desc: str | Column) -> Column:
+    """Position of the spend category of a level-1 description (NULL: none).
+    Exact, case-sensitive match; two descriptions share one category."""
+    l1 = col(l1_desc)
+    out = None
+    for i, (_, labels) in enumerate(fv.CATEGORIES):
+        cond = l1.isin(*labels)
+        out = F.when(cond, i) if out is None else out.when(cond, i)
+    return out
+
+
 def category_sums(amount: str | Column, l1_desc: str | Column) -> list[Column]:
     """One conditional sum per spend category (zero, not NULL, when absent)."""
     amount, l1_desc = col(amount), col(l1_desc)

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from rewardseg import fixed_values as fv
-from rewardseg.operators.joins import bounded_broadcast
+from rewardseg.operators.joins import DIM_BROADCAST_ROWS, broadcast_if
 
 
 def spend_long(cat_spend: DataFrame) -> DataFrame:
@@ -41,9 +41,14 @@ def _tile(rn, total, n: int):
 
 
 def ntile_bands(long: DataFrame, n: int = 5, key: str = "pi_entity_fk", value: str = "spend",
-                group: str = "category", partitions: int | None = None) -> DataFrame:
+                group: str = "category", partitions: int | None = None,
+                max_groups: int | None = None) -> DataFrame:
     """Distributed NTILE; same result as ``F.ntile(n)`` over
-    ``partitionBy(group).orderBy(value, key)`` when ``key`` is unique per group."""
+    ``partitionBy(group).orderBy(value, key)`` when ``key`` is unique per group.
+
+    The piece-offset table has at most (groups x range partitions) rows; with
+    a known ``max_groups`` that bound is proven and it is broadcast, else
+    the join is left to AQE (broadcast on measured size)."""
     spark = long.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (long.repartitionByRange(parts, F.col(group), F.col(value).asc_nulls_first(),
@@ -58,7 +63,7 @@ def ntile_bands(long: DataFrame, n: int = 5, key: str = "pi_entity_fk", value: s
     offsets = counts.select(group, "_piece",
                             F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_offset"),
                             F.sum("_cnt").over(whole).alias("_total"))
-    offsets = bounded_broadcast(offsets, max_rows=1_000_000)
+    offsets = broadcast_if(offsets, max_groups is not None and max_groups * parts <= DIM_BROADCAST_ROWS)
     out = numbered.join(offsets, [group, "_piece"], "inner")
     rn = F.col("_offset") + F.col("_local")
     return out.select(*[c for c in long.columns], _tile(rn, F.col("_total"), n).alias(f"{value}_ntile"))

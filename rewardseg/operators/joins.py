@@ -2,19 +2,42 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 # Dimension rows we are willing to ship to every executor.
 DIM_BROADCAST_ROWS = 2_000_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DIM_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast-hint ``df`` only if it provably has at most ``max_rows`` rows.
+def bounded_sizes(dims: dict[str, DataFrame], max_rows: int = DIM_BROADCAST_ROWS) -> dict[str, bool]:
+    """Which of ``dims`` provably have at most ``max_rows`` rows.
 
-    The check is a ``limit(max_rows + 1).count()`` job, which stops reading
-    as soon as the bound is exceeded.  Beyond the bound the DataFrame is
-    returned unhinted and the join stays a shuffle join (AQE may still
-    broadcast it on measured size, or split skewed partitions).
+    One Spark job for all of them: each side contributes at most
+    ``max_rows + 1`` rows (``limit`` stops reading past the bound) to a
+    single tagged count.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    if not dims:
+        return {}
+    tagged = [df.limit(max_rows + 1).select(F.lit(name).alias("_dim")) for name, df in dims.items()]
+    counts = {r["_dim"]: r["n"] for r in
+              reduce(DataFrame.unionAll, tagged).groupBy("_dim").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return {name: counts.get(name, 0) <= max_rows for name in dims}
+
+
+def bounded_broadcasts(dims: dict[str, DataFrame], max_rows: int = DIM_BROADCAST_ROWS) -> dict[str, DataFrame]:
+    """Broadcast-hint each side that passes the row bound; beyond the bound
+    the side is returned unhinted and its join stays a shuffle join (AQE may
+    still broadcast it on measured size, or split skewed partitions)."""
+    ok = bounded_sizes(dims, max_rows)
+    return {name: (F.broadcast(df) if ok[name] else df) for name, df in dims.items()}
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DIM_BROADCAST_ROWS) -> DataFrame:
+    return bounded_broadcasts({"side": df}, max_rows)["side"]
+
+
+def broadcast_if(df: DataFrame, bounded: bool) -> DataFrame:
+    """Hint a side whose bound follows from an already checked one (e.g. a
+    distinct projection of a checked dimension)."""
+    return F.broadcast(df) if bounded else df

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from rewardseg import fixed_values as fv
-from rewardseg.functions import in_range, ne_or_null
-from rewardseg.operators.joins import bounded_broadcast
+from rewardseg.functions import category_index, in_range, ne_or_null
+from rewardseg.operators.joins import bounded_sizes, broadcast_if
 from rewardseg.params import RunParams
 from rewardseg.sources import Sources
 
@@ -22,13 +22,44 @@ HIERARCHY_COLUMNS = (
 )
 
 
-def product_hierarchy(src: Sources) -> DataFrame:
+ITEM_COLUMNS = ("pi_entity_fk", "pi_trans_fk", "pi_product_fk", "trans_date", "line_total",
+                "pi_website_category_l1_desc", "pi_website_category_l3_fk")
+
+Bounds = dict[str, bool]
+
+
+def star_dimensions(src: Sources, p: RunParams) -> dict[str, DataFrame]:
+    """Dimension sides of the product hierarchy and the line-item star."""
+    return {
+        "raco_subsection": src["raco_subsection"],
+        "web_category_l4": src["web_category_l4"],
+        "date_dim": src["date_dim"].select("date_key").where(in_range("date_key", p.start_date, p.end_date)),
+        "channel": src["channel"],
+        "trans_type": (src["trans_type"].where(F.col("pi_trans_type_desc").isin(*fv.TRANS_TYPES))
+                       .select("pi_trans_type_pk")),
+    }
+
+
+def star_bounds(src: Sources, p: RunParams, hierarchy: DataFrame | None = None) -> Bounds:
+    """Row-bound check of every broadcast candidate of the star, one job.
+    The product gate is checked in its unhinted form (hints do not change
+    its rows)."""
+    dims = star_dimensions(src, p)
+    dims["product_gate"] = product_gate(src, hierarchy if hierarchy is not None else product_hierarchy(src, {}),
+                                        p, {})
+    return bounded_sizes(dims)
+
+
+def product_hierarchy(src: Sources, bounds: Bounds | None = None) -> DataFrame:
     """Product -> (left) raco subsection -> (inner) website category l4,
     dropping the excluded series but keeping products whose series is NULL
     (unmatched subsection included, since the outer join yields NULL)."""
+    if bounds is None:
+        bounds = bounded_sizes({"raco_subsection": src["raco_subsection"],
+                                "web_category_l4": src["web_category_l4"]})
     product = src["product"]
-    raco = bounded_broadcast(src["raco_subsection"])
-    l4 = bounded_broadcast(src["web_category_l4"])
+    raco = broadcast_if(src["raco_subsection"], bounds.get("raco_subsection", False))
+    l4 = broadcast_if(src["web_category_l4"], bounds.get("web_category_l4", False))
     return (product
             .join(raco, product.pi_raco_subsection_fk == raco.pi_raco_subsection_pk, "left")
             .join(l4, product.pi_website_category_l4_fk == l4.pi_website_category_l4_pk, "inner")
@@ -42,15 +73,18 @@ def category_list(hierarchy: DataFrame) -> DataFrame:
             .select("l3_category", F.lit(0).alias("l2_category")))
 
 
-def category_filter(df: DataFrame, cats: DataFrame, l2_categories: Sequence[int] = ()) -> DataFrame:
+def category_filter(df: DataFrame, cats: DataFrame, l2_categories: Sequence[int] = (),
+                    cats_bounded: bool = False) -> DataFrame:
     """Rows whose level-3 category is a positive entry of ``cats``, or whose
     level-2 category is in ``l2_categories``.
 
     The level-2 arm compares to a subquery over a column that is always 0,
     which yields NULL and never matches; it is kept as an explicit list,
-    empty by default, in which case the filter is a plain semi join.
+    empty by default, in which case the filter is a plain semi join.  The
+    category list is a distinct projection of the category table, so it is
+    broadcast when that table passed its row bound (``cats_bounded``).
     """
-    l3 = bounded_broadcast(cats.where(F.col("l3_category") > 0).select("l3_category").distinct())
+    l3 = broadcast_if(cats.where(F.col("l3_category") > 0).select("l3_category").distinct(), cats_bounded)
     key = F.col("pi_website_category_l3_fk")
     if not l2_categories:
         return df.join(l3, key == l3.l3_category, "left_semi")
@@ -60,7 +94,7 @@ def category_filter(df: DataFrame, cats: DataFrame, l2_categories: Sequence[int]
             .drop("l3_category", "_l3_hit"))
 
 
-def product_gate(src: Sources, hierarchy: DataFrame, p: RunParams) -> DataFrame:
+def product_gate(src: Sources, hierarchy: DataFrame, p: RunParams, bounds: Bounds) -> DataFrame:
     """Dimension side of the line-item star, resolved once at product grain.
 
     Hierarchy rows joined again to the product (inner on its key) and to the
@@ -71,37 +105,39 @@ def product_gate(src: Sources, hierarchy: DataFrame, p: RunParams) -> DataFrame:
     """
     product = src["product"].select(F.col("pi_product_pk").alias("_p_pk"),
                                     F.col("pi_raco_subsection_fk").alias("_p_raco"))
-    raco = bounded_broadcast(src["raco_subsection"].select("pi_raco_subsection_pk"))
+    raco = broadcast_if(src["raco_subsection"].select("pi_raco_subsection_pk"),
+                        bounds.get("raco_subsection", False))
     cats = category_list(hierarchy)
     gate = (hierarchy.select("pi_product_pk", "pi_website_category_l1_desc",
                              "pi_website_category_l3_fk", "pi_website_category_l2_fk")
             .join(product, F.col("pi_product_pk") == F.col("_p_pk"), "inner")
             .join(raco, F.col("_p_raco") == raco.pi_raco_subsection_pk, "inner"))
-    gate = category_filter(gate, cats, p.l2_categories)
-    return gate.select("pi_product_pk", "pi_website_category_l1_desc", "pi_website_category_l3_fk")
+    gate = category_filter(gate, cats, p.l2_categories, bounds.get("web_category_l4", False))
+    return gate.select("pi_product_pk", "pi_website_category_l1_desc", "pi_website_category_l3_fk",
+                       category_index("pi_website_category_l1_desc").alias("spend_category"))
 
 
-def item_base(src: Sources, p: RunParams, hierarchy: DataFrame | None = None) -> DataFrame:
+def item_base(src: Sources, p: RunParams, hierarchy: DataFrame | None = None,
+              bounds: Bounds | None = None) -> DataFrame:
     """Line items in the run window of the retail transaction types, in the
     filtered category list, with channel/date existence checks -- the star
     join shared by entity spend and category spend (one definition).
 
     The fact side is scanned once with literal date bounds (pushed to the
-    scan); every dimension is broadcast only behind a row-count bound.
+    scan); every dimension is broadcast only behind a row-count bound
+    (``star_bounds``, one job for all of them).
     """
-    hierarchy = hierarchy if hierarchy is not None else product_hierarchy(src)
+    bounds = bounds if bounds is not None else star_bounds(src, p, hierarchy)
+    hierarchy = hierarchy if hierarchy is not None else product_hierarchy(src, bounds)
+    dims = star_dimensions(src, p)
     items = src["trans_item"].where(in_range("trans_date", p.start_date, p.end_date))
-    gate = bounded_broadcast(product_gate(src, hierarchy, p))
-    dates = bounded_broadcast(src["date_dim"].select("date_key")
-                              .where(in_range("date_key", p.start_date, p.end_date)))
-    chans = bounded_broadcast(src["channel"])
-    types = bounded_broadcast(src["trans_type"]
-                              .where(F.col("pi_trans_type_desc").isin(*fv.TRANS_TYPES))
-                              .select("pi_trans_type_pk"))
+    gate = broadcast_if(product_gate(src, hierarchy, p, bounds), bounds["product_gate"])
+    dates = broadcast_if(dims["date_dim"], bounds["date_dim"])
+    chans = broadcast_if(dims["channel"], bounds["channel"])
+    types = broadcast_if(dims["trans_type"], bounds["trans_type"])
     return (items
             .join(gate, items.pi_product_fk == gate.pi_product_pk, "inner")
             .join(dates, items.trans_date == dates.date_key, "inner")
             .join(chans, items.pi_channel_fk == chans.pi_channel_pk, "inner")
             .join(types, items.pi_trans_type_fk == types.pi_trans_type_pk, "inner")
-            .select("pi_entity_fk", "pi_trans_fk", "pi_product_fk", "trans_date", "line_total",
-                    "pi_website_category_l1_desc", "pi_website_category_l3_fk"))
+            .select(*ITEM_COLUMNS, "spend_category"))

@@ -1,77 +1,85 @@
 """Entity spend with loyalty flags, eligible customers, spend per category.
 
-Both spend steps are computed from one eager aggregate of the line-item base
-at (transaction, entity) grain: the line items are reduced map-side before
-any flag table is joined, and the fan-out the flag and customer joins
-introduce is applied as an exact integer multiplicity instead of by
+Both spend steps read one stream: the line items of the star with their
+transaction's flags.  The line rows are compact (entity, category index,
+amount, flags) -- the category label is resolved to a small int on the
+product-dimension side -- so the one shuffle on the transaction key that
+attaches the flags moves little data.  The fan-out the rules get from the
+non-distinct online join and from joining the (up to three) eligible rows
+of an entity is applied as an exact integer multiplicity, never by
 duplicating rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from rewardseg import fixed_values as fv
-from rewardseg.functions import category_sums
 from rewardseg.params import RunParams
 
 SPEND = "decimal(18,2)"
+FLAG_COLUMNS = ("loyalty_instore", "loyalty_online", "instore_red")
 
+# Flag combinations (in store, online, in-store redemption) that can be
+# eligible: a loyalty use and no in-store redemption.
+ELIGIBLE_COMBINATIONS = ((1, 0, 0), (0, 1, 0), (1, 1, 0))
 
-def transaction_spend(items: DataFrame) -> DataFrame:
-    """(transaction, entity) -> total and per-category spend of its lines."""
-    sums = category_sums("line_total", "pi_website_category_l1_desc")
-    return (items.groupBy("pi_trans_fk", "pi_entity_fk")
-            .agg(F.sum("line_total").cast(SPEND).alias("spend"),
-                 *[c.cast(SPEND).alias(n) for c, n in zip(sums, fv.SPEND_COLUMNS)]))
 
+def flagged_lines(items: DataFrame, flags: DataFrame) -> DataFrame:
+    """Line items with their transaction's flags and multiplicity; a
+    transaction without flag rows gets flags 0 and multiplicity 1."""
+    j = items.select("pi_trans_fk", "pi_entity_fk", "spend_category", "line_total").join(
+        flags, "pi_trans_fk", "left")
+    return j.select("pi_entity_fk", "spend_category", "line_total",
+                    *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in FLAG_COLUMNS],
+                    F.coalesce(F.col("multiplicity"), F.lit(1)).cast("int").alias("multiplicity"))
 
-FLAG_COLUMNS = ("loyalty_instore", "loyalty_online", "instore_red")
 
+def _weighted() -> Column:
+    return F.col("line_total") * F.col("multiplicity")
 
-def entity_spend(trans_spend: DataFrame, flags: DataFrame) -> DataFrame:
-    """Spend per (entity, in-store loyalty, online loyalty, in-store redemption).
 
-    A transaction without flag rows gets flags 0 and multiplicity 1; with
-    the as-written online join each of its lines counts ``multiplicity``
-    times, so its spend is multiplied by it.
-    """
-    j = trans_spend.select("pi_trans_fk", "pi_entity_fk", "spend").join(flags, "pi_trans_fk", "left")
-    mult = F.coalesce(F.col("multiplicity"), F.lit(1)).cast("int")
-    return (j.select("pi_entity_fk",
-                     *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in FLAG_COLUMNS],
-                     (F.col("spend") * mult).alias("weighted"))
-            .groupBy("pi_entity_fk", *FLAG_COLUMNS)
-            .agg(F.sum("weighted").cast(SPEND).alias("spend")))
+def entity_spend(lines: DataFrame) -> DataFrame:
+    """Spend per (entity, in-store loyalty, online loyalty, in-store redemption),
+    each line counted ``multiplicity`` times as the online join does."""
+    return (lines.groupBy("pi_entity_fk", *FLAG_COLUMNS)
+            .agg(F.sum(_weighted()).cast(SPEND).alias("spend")))
+
+
+def is_eligible(instore: Column, online: Column, red: Column, spend: Column) -> Column:
+    return ((instore == 1) | (online == 1)) & (spend > 0) & (red == 0)
 
 
 def eligible_customers(spend: DataFrame) -> DataFrame:
     """Loyalty users (in store or online) with positive spend and no
     in-store redemption; up to three rows per entity (flag combinations)."""
-    return spend.where(((F.col("loyalty_instore") == 1) | (F.col("loyalty_online") == 1))
-                       & (F.col("spend") > 0) & (F.col("instore_red") == 0))
+    return spend.where(is_eligible(F.col("loyalty_instore"), F.col("loyalty_online"),
+                                   F.col("instore_red"), F.col("spend")))
 
 
-def category_spend(trans_spend: DataFrame, eligible: DataFrame, p: RunParams,
-                   dedup: bool = False) -> DataFrame:
-    """Spend per category and in total for eligible entities with positive
-    total.
+def category_spend(lines: DataFrame, p: RunParams, dedup: bool = False) -> DataFrame:
+    """Spend per category and in total for eligible entities with positive total.
 
-    As written the line items are inner-joined to the eligible rows, of which
-    an entity has one to three, so every sum is multiplied by that count.
-    That is reproduced exactly by multiplying the entity's sums by its row
-    count; ``dedup=True`` uses a semi join (each entity counted once).
+    One aggregation per entity yields the category sums and the entity's
+    spend under each eligible flag combination; the number of combinations
+    with positive spend is the number of eligible rows the rules join the
+    line items to, so the as-written sums are the entity's sums times that
+    count.  ``dedup=True`` counts each eligible entity once (semi join).
     """
-    per_entity = trans_spend.groupBy("pi_entity_fk").agg(
-        *[F.sum(c).alias(c) for c in fv.SPEND_COLUMNS], F.sum("spend").alias("total_spend"))
-    if dedup:
-        j = (per_entity.join(eligible.select("pi_entity_fk"), "pi_entity_fk", "left_semi")
-             .withColumn("n_rows", F.lit(1)))
-    else:
-        rows = eligible.groupBy("pi_entity_fk").agg(F.count(F.lit(1)).cast("int").alias("n_rows"))
-        j = per_entity.join(rows, "pi_entity_fk", "inner")
-    n = F.col("n_rows")
-    return (j.select("pi_entity_fk", F.lit(p.end_date).alias("run_date"),
-                     *[(F.col(c) * n).cast(SPEND).alias(c) for c in fv.SPEND_COLUMNS],
-                     (F.col("total_spend") * n).cast(SPEND).alias("total_spend"))
+    cat = F.col("spend_category")
+    flags = [F.col(c) for c in FLAG_COLUMNS]
+    combos = [F.sum(F.when((flags[0] == a) & (flags[1] == b) & (flags[2] == c), _weighted())
+                    .otherwise(F.lit(0))).alias(f"_combo{i}")
+              for i, (a, b, c) in enumerate(ELIGIBLE_COMBINATIONS)]
+    per_entity = lines.groupBy("pi_entity_fk").agg(
+        *[F.sum(F.when(cat == i, F.col("line_total")).otherwise(F.lit(0))).alias(c)
+          for i, c in enumerate(fv.SPEND_COLUMNS)],
+        F.sum("line_total").alias("total_spend"),
+        *combos)
+    n_rows = sum((F.col(f"_combo{i}") > 0).cast("int") for i in range(len(ELIGIBLE_COMBINATIONS)))
+    n = F.lit(1) if dedup else F.col("n_rows")
+    return (per_entity.withColumn("n_rows", n_rows).where(F.col("n_rows") > 0)
+            .select("pi_entity_fk", F.lit(p.end_date).alias("run_date"),
+                    *[(F.col(c) * n).cast(SPEND).alias(c) for c in fv.SPEND_COLUMNS],
+                    (F.col("total_spend") * n).cast(SPEND).alias("total_spend"))
             .where(F.col("total_spend") > 0))

@@ -26,9 +26,9 @@ SNAPSHOT_COLUMNS = (
 
 class Run:
     """Lazily built steps of one run.  ``staging="checkpoint"`` writes the
-    transaction-grain spend (read by two later steps) to the shared
-    checkpoint folder, so the line items are scanned once and a lost
-    executor does not send the run back to the fact scan."""
+    entity-grain category spend -- the end of the line-item stream and the
+    input of every later step -- to the shared checkpoint folder, so a lost
+    executor later in the run does not send it back to the fact scan."""
 
     def __init__(self, src: Sources, params: RunParams, staging: str = "view"):
         self.src = src
@@ -62,29 +62,35 @@ class Run:
 
     # Part II -- entity grain
     @cached_property
-    def hierarchy(self) -> DataFrame:
-        return products.product_hierarchy(self.src)
+    def bounds(self) -> dict[str, bool]:
+        """Row-bound checks of all star dimensions (one job per run)."""
+        return products.star_bounds(self.src, self.p)
 
     @cached_property
-    def items(self) -> DataFrame:
-        return products.item_base(self.src, self.p, self.hierarchy)
+    def hierarchy(self) -> DataFrame:
+        return products.product_hierarchy(self.src, self.bounds)
 
     @cached_property
-    def trans_spend(self) -> DataFrame:
-        return stage(spend.transaction_spend(self.items), how=self.staging)
+    def items(self) -> DataFrame:
+        return products.item_base(self.src, self.p, self.hierarchy, self.bounds)
 
     def flags(self, dedup: bool = False) -> DataFrame:
         return loyalty.transaction_flags(self.src, self.p, dedup_online=dedup)
 
+    def lines(self, dedup: bool = False) -> DataFrame:
+        """Line items with their transaction flags (the one spend stream)."""
+        return spend.flagged_lines(self.items, self.flags(dedup))
+
     def entity_spend(self, dedup: bool = False) -> DataFrame:
-        return spend.entity_spend(self.trans_spend, self.flags(dedup))
+        return spend.entity_spend(self.lines(dedup))
 
     @cached_property
     def eligible(self) -> DataFrame:
         return spend.eligible_customers(self.entity_spend())
 
     def category_spend(self, dedup: bool = False) -> DataFrame:
-        return spend.category_spend(self.trans_spend, self.eligible, self.p, dedup=dedup)
+        cat = spend.category_spend(self.lines(), self.p, dedup=dedup)
+        return stage(cat, how=self.staging) if not dedup else cat
 
     @cached_property
     def profiled(self) -> DataFrame:

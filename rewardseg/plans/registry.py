@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rewardseg import fixed_values as fv
 from rewardseg.functions import in_range
 from rewardseg.operators import bands, linking, loyalty, products, profile, redemptions
-from rewardseg.operators.joins import bounded_broadcast
+from rewardseg.operators.joins import broadcast_if
 from rewardseg.params import TEST_PARAMS, RunParams
 from rewardseg.plans.pipeline import Run
 from rewardseg.sources import testdata_sources
@@ -48,7 +48,8 @@ def _q_date_range(r: Run) -> DataFrame:
 
 def _q_trans_type(r: Run) -> DataFrame:
     items = r.src["trans_item"]
-    types = bounded_broadcast(r.src["trans_type"].where(F.col("pi_trans_type_desc").isin(*fv.TRANS_TYPES)))
+    types = broadcast_if(r.src["trans_type"].where(F.col("pi_trans_type_desc").isin(*fv.TRANS_TYPES)),
+                         r.bounds["trans_type"])
     return (items.join(types, items.pi_trans_type_fk == types.pi_trans_type_pk, "inner")
             .select("pi_trans_fk", "pi_product_fk", "pi_trans_type_desc", "line_total"))
 
@@ -56,7 +57,7 @@ def _q_trans_type(r: Run) -> DataFrame:
 def _q_category_filter(l2: tuple[int, ...]) -> Callable[[Run], DataFrame]:
     def q(r: Run) -> DataFrame:
         cats = products.category_list(r.hierarchy)
-        return (products.category_filter(r.hierarchy, cats, l2)
+        return (products.category_filter(r.hierarchy, cats, l2, r.bounds["web_category_l4"])
                 .select("pi_product_pk", "pi_website_category_l3_fk", "pi_website_category_l2_fk"))
     return q
 
@@ -96,7 +97,8 @@ def _q_online_rows(r: Run) -> DataFrame:
 
 
 def _q_ntile(r: Run) -> DataFrame:
-    return bands.ntile_bands(bands.spend_long(r.category_spend()), n=NTILE_N)
+    return bands.ntile_bands(bands.spend_long(r.category_spend()), n=NTILE_N,
+                             max_groups=len(fv.CATEGORY_NAMES))
 
 
 def _q_value_score(r: Run) -> DataFrame:
@@ -121,7 +123,7 @@ QUERIES: dict[str, Query] = {
     "category_or_scalar": _run(_q_category_filter(L2_EXAMPLE)),
     "date_range_filter": _run(_q_date_range),
     "trans_type_filter": _run(_q_trans_type),
-    "item_base": _run(lambda r: r.items),
+    "item_base": _run(lambda r: r.items.select(*products.ITEM_COLUMNS)),
     # Part II -- loyalty flags
     "flag_loyalty_instore": _run(_q_tender_flag(fv.TENDER_LOYALTY_INSTORE, "loyalty_instore")),
     "flag_redeemed_instore": _run(_q_tender_flag(fv.TENDER_REDEMPTION_INSTORE, "instore_red")),

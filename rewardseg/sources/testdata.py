@@ -44,8 +44,13 @@ def _date(s: str) -> Column:
 
 
 def testdata_sources(spark: SparkSession, sf_dir: str, params: RunParams) -> Sources:
+    tables: dict[str, DataFrame] = {}
+
     def t(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        # One read (file listing + footer) per table; every derivation shares it.
+        if name not in tables:
+            tables[name] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return tables[name]
 
     def date_dim():
         d = F.col("date_key")
@@ -198,8 +203,12 @@ def testdata_sources(spark: SparkSession, sf_dir: str, params: RunParams) -> Sou
         return (base.unionByName(second).unionByName(stale)
                 .withColumnRenamed("s", "current_value_score"))
 
+    history: list[DataFrame] = []
+
     def cards():
-        return card_history().select(F.col("pi_loyalty_card_fk").alias("pk")).distinct()
+        if not history:
+            history.append(card_history())
+        return history[0].select(F.col("pi_loyalty_card_fk").alias("pk")).distinct()
 
     def loyalty_card():
         return cards().select(F.col("pk").alias("pi_loyalty_card_pk"),
