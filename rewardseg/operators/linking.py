@@ -38,20 +38,16 @@ def entity_accounts(cards: DataFrame, full_card: DataFrame) -> DataFrame:
             .select("pi_entity_fk", "account_number").distinct())
 
 
-def _profile_rows(profile: DataFrame) -> DataFrame:
-    # Gender is not carried into the link; rows differing only by it merge.
-    return profile.select("pi_entity_fk", *LINK_COLUMNS).distinct()
-
-
 def link_loyalty(profile: DataFrame, cards: DataFrame) -> DataFrame:
     """Profile rows with every loyalty hash of the entity (personal data:
-    never written to a sink)."""
-    return (_profile_rows(profile).join(cards, "pi_entity_fk", "inner")
+    never written to a sink).  ``profile`` is the distinct profile without
+    gender (``retail_profile(profiling=None, keep_total=True)``)."""
+    return (profile.join(cards, "pi_entity_fk", "inner")
             .select("pi_entity_fk", "loyalty_card_hash", *LINK_COLUMNS))
 
 
 def link_account(profile: DataFrame, accounts: DataFrame) -> DataFrame:
-    return (_profile_rows(profile).join(accounts, "pi_entity_fk", "inner")
+    return (profile.join(accounts, "pi_entity_fk", "inner")
             .select("pi_entity_fk", "account_number", *LINK_COLUMNS))
 
 

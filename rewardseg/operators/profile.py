@@ -35,7 +35,7 @@ def technology_band_fixed(cat_spend: DataFrame) -> DataFrame:
 PROFILE_COLUMNS = ("pi_entity_fk", "gender", "current_value_score", *fv.BAND_COLUMNS)
 
 
-def retail_profile(cat_spend: DataFrame, profiling: DataFrame, scores: DataFrame, p: RunParams,
+def retail_profile(cat_spend: DataFrame, profiling: DataFrame | None, scores: DataFrame, p: RunParams,
                    keep_total: bool = False) -> DataFrame:
     """Category spend -> (left) gender -> (left) month score -> bands, distinct.
 
@@ -45,16 +45,22 @@ def retail_profile(cat_spend: DataFrame, profiling: DataFrame, scores: DataFrame
     final DISTINCT of the rules needs no extra shuffle.  An entity with two
     scores in the month keeps two rows (reported by ``profile_duplicates``).
     ``keep_total`` carries the entity's total spend for the linking steps.
+
+    ``profiling=None`` gives the profile without gender, which is what the
+    linking steps read (they drop gender): category spend left-joined to the
+    month scores is already distinct, and equals the DISTINCT of the full
+    profile without its gender column.
     """
-    genders = (profiling.select(F.col("entitykey").alias("g_entity"),
-                                gender_code("gender").alias("gender_code")).distinct())
     month = value_score_month(scores, p).withColumnRenamed("entitykey", "s_entity")
-    j = (cat_spend
-         .join(genders, cat_spend.pi_entity_fk == genders.g_entity, "left")
-         .join(month, cat_spend.pi_entity_fk == month.s_entity, "left"))
-    cols = [F.col("pi_entity_fk"),
-            F.coalesce(F.col("gender_code"), F.lit(fv.GENDER_OTHER)).alias("gender"),
-            F.col("current_value_score"), *all_bands()]
+    j = cat_spend
+    cols = [F.col("pi_entity_fk")]
+    if profiling is not None:
+        genders = (profiling.select(F.col("entitykey").alias("g_entity"),
+                                    gender_code("gender").alias("gender_code")).distinct())
+        j = j.join(genders, j.pi_entity_fk == genders.g_entity, "left")
+        cols.append(F.coalesce(F.col("gender_code"), F.lit(fv.GENDER_OTHER)).alias("gender"))
+    j = j.join(month, j.pi_entity_fk == month.s_entity, "left")
+    cols += [F.col("current_value_score"), *all_bands()]
     if keep_total:
         cols.append(F.col("total_spend"))
     return j.select(*cols)

@@ -34,6 +34,7 @@ class Run:
         self.src = src
         self.p = redemptions.resolve_params(src, params)
         self.staging = staging
+        self.src_session = src["date_dim"].sparkSession
 
     # Part I -- account grain
     @cached_property
@@ -93,14 +94,15 @@ class Run:
         return stage(cat, how=self.staging) if not dedup else cat
 
     @cached_property
-    def profiled(self) -> DataFrame:
-        """Retail profile carrying the entity's total spend."""
+    def retail_profile(self) -> DataFrame:
         return profile.retail_profile(self.category_spend(), self.src["customer_profiling"],
-                                      self.src["value_score"], self.p, keep_total=True)
+                                      self.src["value_score"], self.p)
 
     @cached_property
-    def retail_profile(self) -> DataFrame:
-        return self.profiled.drop("total_spend")
+    def profiled(self) -> DataFrame:
+        """Profile rows the linking steps read: no gender, with total spend."""
+        return profile.retail_profile(self.category_spend(), None, self.src["value_score"], self.p,
+                                      keep_total=True)
 
     # Part III -- linking
     @cached_property
