@@ -1,0 +1,6 @@
+"""Streaming operators: none.
+
+The segmentation is a monthly batch (a scheduled run on the last day of each
+month); it has no event streams, watermarks, windows over time or state.
+The scheduled job is ``rewardseg.plans.pipeline.publish_run``.
+"""
