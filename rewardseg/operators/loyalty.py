@@ -87,36 +87,39 @@ def links_valid_per_day(orders: DataFrame, history: DataFrame, grace_days: int)
     are aggregated to (account, day) first, so a window partition holds at
     most a few rows per calendar day of one account whatever its volume.
     """
-    acct, day = F.col("account_id"), F.col("day")
     h = history.select(F.col("pi_myaccount_fk").alias("account_id"),
                        F.date_sub(F.to_date("card_link_datetime"), grace_days).alias("start"),
                        F.to_date("card_unlink_datetime").alias("end"))
     h = h.where(F.col("start").isNotNull() & (F.col("end").isNull() | (F.col("end") >= F.col("start"))))
-    starts = h.groupBy("account_id", F.col("start").alias("day")).agg(F.count(F.lit(1)).alias("delta"))
+    one = F.lit(1).cast("bigint")
+    starts = h.select("account_id", F.col("start").alias("day"), one.alias("delta"), F.lit(0).alias("ask"))
     ends = (h.where(F.col("end").isNotNull())
-            .groupBy("account_id", F.date_add("end", 1).alias("day"))
-            .agg((-F.count(F.lit(1))).alias("delta")))
+            .select("account_id", F.date_add("end", 1).alias("day"), (-one).alias("delta"), F.lit(0).alias("ask")))
     asks = (orders.where(F.col("order_date").isNotNull())
-            .select("account_id", F.col("order_date").alias("day")).distinct()
-            .withColumn("delta", F.lit(0).cast("bigint")))
-    events = (starts.withColumn("ask", F.lit(False))
-              .unionByName(ends.withColumn("ask", F.lit(False)))
-              .unionByName(asks.withColumn("ask", F.lit(True))))
-    running = Window.partitionBy(acct).orderBy(day).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+            .select("account_id", F.col("order_date").alias("day"), (one * 0).alias("delta"), F.lit(1).alias("ask")))
+    # One row per (account, day): summed deltas, and whether an order asks there.
+    events = (starts.unionByName(ends).unionByName(asks)
+              .groupBy("account_id", "day").agg(F.sum("delta").alias("delta"), F.max("ask").alias("ask")))
+    running = (Window.partitionBy("account_id").orderBy("day")
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return (events.withColumn("n_links", F.sum("delta").over(running))
-            .where(F.col("ask") & (F.col("n_links") > 0))
+            .where((F.col("ask") == 1) & (F.col("n_links") > 0))
             .select("account_id", F.col("day").alias("order_date"), "n_links"))
 
 
+def _link_rows(src: Sources, p: RunParams) -> DataFrame:
+    """(transaction, order date, valid links) per identifier match."""
+    orders = online_orders(src, p)
+    per_day = links_valid_per_day(orders, src["card_history"], p.grace_days)
+    return orders.join(per_day, ["account_id", "order_date"], "inner")
+
+
 def online_links(src: Sources, p: RunParams) -> DataFrame:
     """Per transaction: its order date and how many (identifier, card-history)
     rows satisfy the link validity rule -- the row multiplicity the online
     loyalty subquery has for that transaction.  Only transactions with at
     least one valid link are returned."""
-    orders = online_orders(src, p)
-    per_day = links_valid_per_day(orders, src["card_history"], p.grace_days)
-    return (orders.join(per_day, ["account_id", "order_date"], "inner")
-            .groupBy("pi_trans_pk", "order_date")
+    return (_link_rows(src, p).groupBy("pi_trans_pk", "order_date")
             .agg(F.sum("n_links").alias("n_links")))
 
 
@@ -131,16 +134,26 @@ def transaction_flags(src: Sources, p: RunParams, dedup_online: bool = False) ->
     """Per transaction: in-store loyalty and redemption flags, online flag and
     the multiplicity its line items get from the (non-distinct) online join.
 
+    Tender rows and link rows are unioned and aggregated once on the
+    transaction key: a single shuffle (partial aggregation before it), and
+    the result stays hash-partitioned on the key the line items join on.
     ``dedup_online=True`` treats the online subquery as DISTINCT.
     """
-    tf = tender_flags(src["trans_tender"])
-    links = online_links(src, p).select(F.col("pi_trans_pk").alias("pi_trans_fk"), "n_links")
-    both = tf.join(links, "pi_trans_fk", "full_outer")
-    n = F.coalesce(F.col("n_links"), F.lit(0))
+    t = F.col("pi_tender_type_fk")
+    tender = (src["trans_tender"].where(t.isin(fv.TENDER_LOYALTY_INSTORE, fv.TENDER_REDEMPTION_INSTORE))
+              .select("pi_trans_fk",
+                      F.when(t == fv.TENDER_LOYALTY_INSTORE, 1).otherwise(0).alias("loyalty_instore"),
+                      F.when(t == fv.TENDER_REDEMPTION_INSTORE, 1).otherwise(0).alias("instore_red"),
+                      F.lit(0).cast("bigint").alias("n_links")))
+    links = _link_rows(src, p).select(F.col("pi_trans_pk").alias("pi_trans_fk"),
+                                      F.lit(0).alias("loyalty_instore"), F.lit(0).alias("instore_red"),
+                                      F.col("n_links").cast("bigint").alias("n_links"))
+    per_trans = (tender.unionByName(links).groupBy("pi_trans_fk")
+                 .agg(F.max("loyalty_instore").alias("loyalty_instore"),
+                      F.max("instore_red").alias("instore_red"),
+                      F.sum("n_links").alias("n_links")))
+    n = F.col("n_links")
     mult = F.lit(1) if dedup_online else F.greatest(n, F.lit(1))
-    return both.select(
-        "pi_trans_fk",
-        F.coalesce("loyalty_instore", F.lit(0)).alias("loyalty_instore"),
-        F.when(n > 0, 1).otherwise(0).alias("loyalty_online"),
-        F.coalesce("instore_red", F.lit(0)).alias("instore_red"),
-        mult.cast("bigint").alias("multiplicity"))
+    return per_trans.select(
+        "pi_trans_fk", "loyalty_instore", F.when(n > 0, 1).otherwise(0).alias("loyalty_online"),
+        "instore_red", mult.cast("bigint").alias("multiplicity"))
