@@ -40,14 +40,15 @@ def star_dimensions(src: Sources, p: RunParams) -> dict[str, DataFrame]:
     }
 
 
-def star_bounds(src: Sources, p: RunParams, hierarchy: DataFrame | None = None) -> Bounds:
-    """Row-bound check of every broadcast candidate of the star, one job.
-    The product gate is checked in its unhinted form (hints do not change
-    its rows)."""
-    dims = star_dimensions(src, p)
-    dims["product_gate"] = product_gate(src, hierarchy if hierarchy is not None else product_hierarchy(src, {}),
-                                        p, {})
-    return bounded_sizes(dims)
+def star_bounds(src: Sources, p: RunParams) -> Bounds:
+    """Row-bound checks of every broadcast candidate of the star, two jobs:
+    first the dimension sources together, then the product gate -- built
+    with the broadcasts the first check proved, so checking it needs no
+    shuffle join."""
+    bounds = bounded_sizes(star_dimensions(src, p))
+    gate = product_gate(src, product_hierarchy(src, bounds), p, bounds)
+    bounds.update(bounded_sizes({"product_gate": gate}))
+    return bounds
 
 
 def product_hierarchy(src: Sources, bounds: Bounds | None = None) -> DataFrame:
@@ -127,7 +128,7 @@ def item_base(src: Sources, p: RunParams, hierarchy: DataFrame | None = None,
     scan); every dimension is broadcast only behind a row-count bound
     (``star_bounds``, one job for all of them).
     """
-    bounds = bounds if bounds is not None else star_bounds(src, p, hierarchy)
+    bounds = bounds if bounds is not None else star_bounds(src, p)
     hierarchy = hierarchy if hierarchy is not None else product_hierarchy(src, bounds)
     dims = star_dimensions(src, p)
     items = src["trans_item"].where(in_range("trans_date", p.start_date, p.end_date))

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 from rewardseg import fixed_values as fv
 from rewardseg.operators import linking, loyalty, products, profile, redemptions, spend
 from rewardseg.params import RunParams
+from rewardseg.session import ensure_checkpoint_dir
 from rewardseg.sources import Sources, publish, stage, write_marker
 
 SNAPSHOT_COLUMNS = (
@@ -35,6 +36,8 @@ class Run:
         self.p = redemptions.resolve_params(src, params)
         self.staging = staging
         self.src_session = src["date_dim"].sparkSession
+        if staging == "checkpoint":
+            ensure_checkpoint_dir(self.src_session)
 
     # Part I -- account grain
     @cached_property
@@ -89,9 +92,15 @@ class Run:
     def eligible(self) -> DataFrame:
         return spend.eligible_customers(self.entity_spend())
 
+    @cached_property
+    def _category_spend(self) -> DataFrame:
+        return stage(spend.category_spend(self.lines(), self.p), how=self.staging)
+
     def category_spend(self, dedup: bool = False) -> DataFrame:
-        cat = spend.category_spend(self.lines(), self.p, dedup=dedup)
-        return stage(cat, how=self.staging) if not dedup else cat
+        """Read by the profile, bands, links and snapshot: staged once."""
+        if dedup:
+            return spend.category_spend(self.lines(), self.p, dedup=True)
+        return self._category_spend
 
     @cached_property
     def retail_profile(self) -> DataFrame:

@@ -26,8 +26,11 @@ NTILE_N = 5
 LINK_MAX_RANK = 1
 
 
-def make_run(spark: SparkSession, sf_dir: str, params: RunParams = TEST_PARAMS) -> Run:
-    return Run(testdata_sources(spark, sf_dir, params), params)
+def make_run(spark: SparkSession, sf_dir: str, params: RunParams = TEST_PARAMS,
+             staging: str = "checkpoint") -> Run:
+    """The run over the test tables, staged as the scheduled job stages it
+    (entity-grain category spend checkpointed in the shared folder)."""
+    return Run(testdata_sources(spark, sf_dir, params), params, staging=staging)
 
 
 # Every registered query is a view of the monthly run over one dataset, so

@@ -21,6 +21,11 @@ def _explain(df) -> str:
     return df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
 
 
+def test_staged_run_reads_checkpoint(run_check):
+    """The shared run stages category spend; later steps do not rescan items."""
+    assert "l_extendedprice" not in _plan(run_check.snapshot)
+
+
 def test_snapshot_plan_shape(run_check):
     plan = _plan(run_check.snapshot)
     assert "BroadcastNestedLoopJoin" not in plan
@@ -28,8 +33,11 @@ def test_snapshot_plan_shape(run_check):
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
 
 
-def test_line_items_scanned_once(run_check):
-    text = run_check.snapshot._jdf.queryExecution().executedPlan().toString()
+def test_line_items_scanned_once(spark):
+    """Unstaged, the whole snapshot plan still reads the line items once."""
+    from conftest import SF_CHECK
+    from rewardseg.plans.registry import make_run
+    text = _plan(make_run(spark, SF_CHECK, staging="view").snapshot)
     # the trans_item fixture is the only reader of l_extendedprice
     assert text.count("l_extendedprice") >= 1
     scans = [ln for ln in text.splitlines() if "FileScan parquet" in ln and "l_extendedprice" in ln]
