@@ -9,16 +9,37 @@ from pyspark.sql import SparkSession
 
 # Session settings the jobs are written for.  AQE re-plans joins at runtime
 # (broadcast on measured size, skew-join splitting, partition coalescing).
+# Static broadcast from plan *estimates* is off: a side is broadcast either
+# because the job checked its row bound (operators.joins) or because AQE
+# measured its materialised shuffle output below the adaptive threshold.
 SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
 
 
+def cluster_conf(total_cores: int, input_tb: float) -> dict[str, str]:
+    """Sizing for a cluster run: enough shuffle partitions that the largest
+    shuffle (the compact line stream, about a third of the fact bytes) lands
+    near 128 MB per partition before AQE coalesces small ones, scan splits of
+    256 MB, and skew splitting for partitions five times the median."""
+    line_stream_bytes = input_tb * 1e12 / 3
+    partitions = max(4 * total_cores, int(line_stream_bytes / (128 * 1024 * 1024)))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 * 1024 * 1024),
+    }
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "rewardseg", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
