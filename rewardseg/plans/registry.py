@@ -48,6 +48,11 @@ def shared_run(spark: SparkSession, sf_dir: str, params: RunParams = TEST_PARAMS
     return run
 
 
+def reset_runs() -> None:
+    """Forget the shared runs (the next query builds and stages afresh)."""
+    _RUNS.clear()
+
+
 def _run(fn: Callable[[Run], DataFrame]) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(shared_run(spark, sf_dir))
