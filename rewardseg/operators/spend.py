@@ -25,25 +25,39 @@ FLAG_COLUMNS = ("loyalty_instore", "loyalty_online", "instore_red")
 ELIGIBLE_COMBINATIONS = ((1, 0, 0), (0, 1, 0), (1, 1, 0))
 
 
+def to_cents(money: Column) -> Column:
+    """Exact integer cents of a 2-decimal amount."""
+    return (money * 100).cast("bigint")
+
+
+def from_cents(cents: Column) -> Column:
+    """Back to ``decimal(18,2)``, exactly."""
+    return (cents.cast("decimal(18,0)") / 100).cast(SPEND)
+
+
 def flagged_lines(items: DataFrame, flags: DataFrame) -> DataFrame:
     """Line items with their transaction's flags and multiplicity; a
-    transaction without flag rows gets flags 0 and multiplicity 1."""
-    j = items.select("pi_trans_fk", "pi_entity_fk", "spend_category", "line_total").join(
-        flags, "pi_trans_fk", "left")
-    return j.select("pi_entity_fk", "spend_category", "line_total",
+    transaction without flag rows gets flags 0 and multiplicity 1.
+
+    Amounts travel as exact integer cents (``bigint``): the sums below then
+    run on primitive longs inside generated code instead of wide-decimal
+    buffers, and ANSI mode raises on overflow rather than wrapping."""
+    j = items.select("pi_trans_fk", "pi_entity_fk", "spend_category",
+                     to_cents(F.col("line_total")).alias("cents")).join(flags, "pi_trans_fk", "left")
+    return j.select("pi_entity_fk", "spend_category", "cents",
                     *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in FLAG_COLUMNS],
-                    F.coalesce(F.col("multiplicity"), F.lit(1)).cast("int").alias("multiplicity"))
+                    F.coalesce(F.col("multiplicity"), F.lit(1)).alias("multiplicity"))
 
 
 def _weighted() -> Column:
-    return F.col("line_total") * F.col("multiplicity")
+    return F.col("cents") * F.col("multiplicity")
 
 
 def entity_spend(lines: DataFrame) -> DataFrame:
     """Spend per (entity, in-store loyalty, online loyalty, in-store redemption),
     each line counted ``multiplicity`` times as the online join does."""
     return (lines.groupBy("pi_entity_fk", *FLAG_COLUMNS)
-            .agg(F.sum(_weighted()).cast(SPEND).alias("spend")))
+            .agg(from_cents(F.sum(_weighted())).alias("spend")))
 
 
 def is_eligible(instore: Column, online: Column, red: Column, spend: Column) -> Column:
@@ -72,14 +86,14 @@ def category_spend(lines: DataFrame, p: RunParams, dedup: bool = False) -> DataF
                     .otherwise(F.lit(0))).alias(f"_combo{i}")
               for i, (a, b, c) in enumerate(ELIGIBLE_COMBINATIONS)]
     per_entity = lines.groupBy("pi_entity_fk").agg(
-        *[F.sum(F.when(cat == i, F.col("line_total")).otherwise(F.lit(0))).alias(c)
+        *[F.sum(F.when(cat == i, F.col("cents")).otherwise(F.lit(0))).alias(c)
           for i, c in enumerate(fv.SPEND_COLUMNS)],
-        F.sum("line_total").alias("total_spend"),
+        F.sum("cents").alias("total_spend"),
         *combos)
     n_rows = sum((F.col(f"_combo{i}") > 0).cast("int") for i in range(len(ELIGIBLE_COMBINATIONS)))
     n = F.lit(1) if dedup else F.col("n_rows")
     return (per_entity.withColumn("n_rows", n_rows).where(F.col("n_rows") > 0)
             .select("pi_entity_fk", F.lit(p.end_date).alias("run_date"),
-                    *[(F.col(c) * n).cast(SPEND).alias(c) for c in fv.SPEND_COLUMNS],
-                    (F.col("total_spend") * n).cast(SPEND).alias("total_spend"))
+                    *[from_cents(F.col(c) * n).alias(c) for c in fv.SPEND_COLUMNS],
+                    from_cents(F.col("total_spend") * n).alias("total_spend"))
             .where(F.col("total_spend") > 0))
