@@ -8,7 +8,10 @@ target scale; each repetition starts a fresh run (sources, size checks,
 staged category spend), runs the headline queries in order with the
 ``noop`` sink (every row produced, nothing collected to the driver), and
 the median per query is reported.  The first query of a repetition
-(``snapshot``) carries the run's shared work.
+(``snapshot``) carries the run's shared work, and later queries read what
+the run staged (``value`` is the cost of the whole monthly run).
+``isolated`` adds one sample per query from its own fresh run -- the cost
+of producing that output alone, shared work included.
 """
 
 from __future__ import annotations
@@ -63,9 +66,15 @@ def main() -> None:
         for name in names:
             samples[name].append(run(spark, name, sf_dir))
     times = {name: round(statistics.median(v), 3) for name, v in samples.items()}
+    isolated = {}
+    if os.environ.get("BENCH_ISOLATED", "1") == "1":
+        for name in names:
+            reset_runs()
+            isolated[name] = round(run(spark, name, sf_dir), 3)
     sf = Path(sf_dir).name.removeprefix("sf")
     print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "sf": float(sf) if sf else sf_dir}))
+                      "unit": "sec", "queries": times, "isolated": isolated,
+                      "sf": float(sf) if sf else sf_dir}))
 
 
 if __name__ == "__main__":

@@ -13,13 +13,16 @@ DIM_BROADCAST_ROWS = 2_000_000
 def bounded_sizes(dims: dict[str, DataFrame], max_rows: int = DIM_BROADCAST_ROWS) -> dict[str, bool]:
     """Which of ``dims`` provably have at most ``max_rows`` rows.
 
-    One Spark job for all of them: each side contributes at most
-    ``max_rows + 1`` rows (``limit`` stops reading past the bound) to a
-    single tagged count.
+    One Spark job for all of them: the sides are tagged, unioned and
+    counted with partial aggregation, so every task ships one row per side
+    and the driver receives one row per side.  (A ``limit(n + 1)`` probe
+    would instead funnel up to n + 1 rows of every partition into a single
+    task -- billions of rows if a large table were passed by mistake.)
+    Counting a plain parquet source needs no column data at all.
     """
     if not dims:
         return {}
-    tagged = [df.limit(max_rows + 1).select(F.lit(name).alias("_dim")) for name, df in dims.items()]
+    tagged = [df.select(F.lit(name).alias("_dim")) for name, df in dims.items()]
     counts = {r["_dim"]: r["n"] for r in
               reduce(DataFrame.unionAll, tagged).groupBy("_dim").agg(F.count(F.lit(1)).alias("n")).collect()}
     return {name: counts.get(name, 0) <= max_rows for name in dims}
