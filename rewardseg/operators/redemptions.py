@@ -63,13 +63,25 @@ def redemption_summary(red: DataFrame) -> DataFrame:
         F.max("tran_date").alias("most_recent_red"))
 
 
+def active_this_year(latest: str, p: RunParams):
+    """1 when the latest redemption counts as this year's, else 0."""
+    if p.activity == "calendar_year":
+        cond = F.year(latest) == p.end_date.year
+    elif p.activity == "rolling_12m":
+        cond = F.col(latest) > F.add_months(F.lit(p.end_date), -12)
+    else:
+        raise ValueError(f"unknown activity rule {p.activity!r}")
+    return F.when(cond, 1).otherwise(0)
+
+
 def redemption_groups(summary: DataFrame, p: RunParams) -> DataFrame:
-    """Season, size and volume labels; active in the run's calendar year."""
+    """Season, size and volume labels; active this year (calendar year of
+    the run date by default, see ``RunParams.activity``)."""
     return summary.select(
         season_label("nov_reder", "xmas_reder").alias("xmas_bf_reder"),
         size_label("largest_red").alias("red_size"),
         volume_label("reds").alias("red_vol"),
-        F.when(F.year("most_recent_red") == p.end_date.year, 1).otherwise(0).alias("red_this_year"),
+        active_this_year("most_recent_red", p).alias("red_this_year"),
         "points_red", "reds", "account_number")
 
 

@@ -25,6 +25,10 @@ class RunParams:
     grace_days: int = ONLINE_LINK_GRACE_DAYS
     supplier_code: str = "RETAIL"
     l2_categories: tuple[int, ...] = ()
+    # "calendar_year": latest redemption in the run's calendar year (as the
+    # SQL does); "rolling_12m": within the 12 months before the run date
+    # (the prose reading "redeemed within the past year").
+    activity: str = "calendar_year"
 
     @property
     def end_date(self) -> dt.date:

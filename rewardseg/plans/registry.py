@@ -7,6 +7,7 @@ grows with them) and runs one operator or step of the segmentation.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -124,6 +125,11 @@ def _q_ntile(r: Run) -> DataFrame:
                              max_groups=len(fv.CATEGORY_NAMES))
 
 
+def _q_segments_rolling(r: Run) -> DataFrame:
+    p = replace(r.p, activity="rolling_12m")
+    return redemptions.segments(redemptions.redemption_groups(r.summary, p))
+
+
 def _q_value_score(r: Run) -> DataFrame:
     return profile.value_score_month(r.src["value_score"], r.p)
 
@@ -137,6 +143,7 @@ QUERIES: dict[str, Query] = {
     "redemption_groups": _run(lambda r: r.groups),
     "segments": _run(lambda r: r.segments),
     "segment_counts": _run(lambda r: redemptions.segment_counts(r.segments)),
+    "segments_rolling_year": _run(_q_segments_rolling),
     "profile_base": _run(lambda r: r.profile_base),
     "profile_counts": _run(lambda r: redemptions.profile_counts(r.profile_base)),
     # Part II -- products and line items
