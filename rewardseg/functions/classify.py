@@ -72,13 +72,6 @@ def category_index(l1_desc: str | Column) -> Column:
     return out
 
 
-def category_sums(amount: str | Column, l1_desc: str | Column) -> list[Column]:
-    """One conditional sum per spend category (zero, not NULL, when absent)."""
-    amount, l1_desc = col(amount), col(l1_desc)
-    return [F.sum(F.when(l1_desc.isin(*labels), amount).otherwise(F.lit(0))).alias(f"{name}_spend")
-            for name, labels in fv.CATEGORIES]
-
-
 def season_label(nov: str | Column, xmas: str | Column) -> Column:
     return F.when(col(nov) + col(xmas) == 0, fv.SEASON_NONE).otherwise(fv.SEASON_ANY)
 

@@ -28,18 +28,6 @@ def bounded_sizes(dims: dict[str, DataFrame], max_rows: int = DIM_BROADCAST_ROWS
     return {name: counts.get(name, 0) <= max_rows for name in dims}
 
 
-def bounded_broadcasts(dims: dict[str, DataFrame], max_rows: int = DIM_BROADCAST_ROWS) -> dict[str, DataFrame]:
-    """Broadcast-hint each side that passes the row bound; beyond the bound
-    the side is returned unhinted and its join stays a shuffle join (AQE may
-    still broadcast it on measured size, or split skewed partitions)."""
-    ok = bounded_sizes(dims, max_rows)
-    return {name: (F.broadcast(df) if ok[name] else df) for name, df in dims.items()}
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DIM_BROADCAST_ROWS) -> DataFrame:
-    return bounded_broadcasts({"side": df}, max_rows)["side"]
-
-
 def broadcast_if(df: DataFrame, bounded: bool) -> DataFrame:
     """Hint a side whose bound follows from an already checked one (e.g. a
     distinct projection of a checked dimension)."""

@@ -16,16 +16,6 @@ def tender_transactions(tender: DataFrame, tender_type: int) -> DataFrame:
             .select("pi_trans_fk").distinct())
 
 
-def tender_flags(tender: DataFrame) -> DataFrame:
-    """Both in-store flags in one pass: one row per transaction that used
-    either tender, aggregated map-side, instead of two DISTINCT subqueries."""
-    t = F.col("pi_tender_type_fk")
-    return (tender.where(t.isin(fv.TENDER_LOYALTY_INSTORE, fv.TENDER_REDEMPTION_INSTORE))
-            .groupBy("pi_trans_fk")
-            .agg(F.max(F.when(t == fv.TENDER_LOYALTY_INSTORE, 1).otherwise(0)).alias("loyalty_instore"),
-                 F.max(F.when(t == fv.TENDER_REDEMPTION_INSTORE, 1).otherwise(0)).alias("instore_red")))
-
-
 def _window_trans(src: Sources, p: RunParams) -> DataFrame:
     return src["trans"].where(in_range("trans_date", p.start_date, p.end_date))
 

@@ -91,10 +91,6 @@ def segments(groups: DataFrame) -> DataFrame:
         segment_label("red_this_year", "xmas_bf_reder", "red_size", "red_vol").alias("segment"))
 
 
-def account_segments(src: Sources, p: RunParams) -> DataFrame:
-    return segments(redemption_groups(redemption_summary(redemptions(src["burn_fact"], p)), p))
-
-
 def profile_base(seg: DataFrame, profile: DataFrame) -> DataFrame:
     """Segment x demographics (inner on account), distinct rows."""
     demo = profile.select("account_number", "age_band", "gender", "region", "acorn_category")

@@ -12,7 +12,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rewardseg import fixed_values as fv
-from rewardseg.functions import in_range
+from rewardseg.functions import in_range, matched
 from rewardseg.operators import bands, linking, loyalty, products, profile, redemptions
 from rewardseg.operators.joins import broadcast_if
 from rewardseg.params import TEST_PARAMS, RunParams
@@ -92,7 +92,7 @@ def _q_tender_flag(tender_type: int, name: str) -> Callable[[Run], DataFrame]:
         hits = loyalty.tender_transactions(r.src["trans_tender"], tender_type)
         hits = hits.withColumn("_hit", F.lit(1))
         return (lines.join(hits, "pi_trans_fk", "left")
-                .select(*lines.columns, F.coalesce("_hit", F.lit(0)).alias(name)))
+                .select(*lines.columns, matched("_hit").alias(name)))
     return q
 
 

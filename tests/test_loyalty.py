@@ -5,6 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from rewardseg.functions import valid_on
 from rewardseg.operators.loyalty import links_valid_per_day
 
 D = dt.date
@@ -15,8 +16,7 @@ def brute_force(spark, orders, history, grace):
     o, h = orders.alias("o"), history.alias("h")
     cond = ((F.col("o.account_id") == F.col("h.pi_myaccount_fk"))
             & (F.to_date("h.card_link_datetime") <= F.date_add("o.order_date", grace))
-            & ((F.to_date("h.card_unlink_datetime") >= F.col("o.order_date"))
-               | F.col("h.card_unlink_datetime").isNull()))
+            & valid_on(F.to_date("h.card_unlink_datetime"), F.col("o.order_date")))
     return (o.join(h, cond, "inner").groupBy("o.account_id", "o.order_date")
             .agg(F.count(F.lit(1)).alias("n_links")))
 

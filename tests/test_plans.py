@@ -109,3 +109,9 @@ def test_hierarchy_null_series_and_unmatched_subsection(spark):
     assert sorted(r[0] for r in items.select("pi_product_fk").collect()) == [2, 4]
     assert {r[0] for r in items.select("spend_category").collect()} == {5}
     assert items.agg(F.sum("line_total")).first()[0] == Decimal("20.00")
+
+
+def test_link_rank_limits_before_the_shuffle(run_check):
+    from rewardseg.operators import linking
+    plan = _plan(linking.link_rank(run_check.link_account, 1))
+    assert "WindowGroupLimit" in plan and "Partial" in plan
