@@ -28,6 +28,20 @@ def bounded_sizes(dims: dict[str, DataFrame], max_rows: int = DIM_BROADCAST_ROWS
     return {name: counts.get(name, 0) <= max_rows for name in dims}
 
 
+def key_stats(sides: dict[str, tuple[DataFrame, str]]) -> dict[str, tuple[int, int]]:
+    """Rows and distinct non-null keys of each side, one job for all sides.
+
+    Two-level count (per key, then per side), partial aggregation at both
+    levels; a side whose two numbers are equal has a unique, non-null key.
+    """
+    tagged = [df.select(F.lit(name).alias("_side"), F.col(key).cast("string").alias("_key"))
+              for name, (df, key) in sides.items()]
+    per_key = reduce(DataFrame.unionAll, tagged).groupBy("_side", "_key").agg(F.count(F.lit(1)).alias("_c"))
+    rows = per_key.groupBy("_side").agg(F.sum("_c").alias("n"), F.count("_key").alias("n_keys")).collect()
+    got = {r["_side"]: (r["n"], r["n_keys"]) for r in rows}
+    return {name: got.get(name, (0, 0)) for name in sides}
+
+
 def broadcast_if(df: DataFrame, bounded: bool) -> DataFrame:
     """Hint a side whose bound follows from an already checked one (e.g. a
     distinct projection of a checked dimension)."""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from rewardseg import fixed_values as fv
 from rewardseg.functions import category_index, in_range, ne_or_null
-from rewardseg.operators.joins import bounded_sizes, broadcast_if
+from rewardseg.operators.joins import DIM_BROADCAST_ROWS, bounded_sizes, broadcast_if, key_stats
 from rewardseg.params import RunParams
 from rewardseg.sources import Sources
 
@@ -40,14 +40,34 @@ def star_dimensions(src: Sources, p: RunParams) -> dict[str, DataFrame]:
     }
 
 
+STAR_KEYS = {
+    "raco_subsection": "pi_raco_subsection_pk",
+    "web_category_l4": "pi_website_category_l4_pk",
+    "product": "pi_product_pk",
+    "date_dim": "date_key",
+    "channel": "pi_channel_pk",
+    "trans_type": "pi_trans_type_pk",
+}
+
+
 def star_bounds(src: Sources, p: RunParams) -> Bounds:
-    """Row-bound checks of every broadcast candidate of the star, two jobs:
-    first the dimension sources together, then the product gate -- built
-    with the broadcasts the first check proved, so checking it needs no
-    shuffle join."""
-    bounds = bounded_sizes(star_dimensions(src, p))
-    gate = product_gate(src, product_hierarchy(src, bounds), p, bounds)
-    bounds.update(bounded_sizes({"product_gate": gate}))
+    """Row-bound checks of every broadcast candidate of the star.
+
+    One job counts the rows and distinct keys of every dimension.  When the
+    product, subsection and category keys are unique, each product yields
+    at most one gate row (every join of the gate is on one of those keys),
+    so the gate's bound follows from the product count; otherwise the gate
+    itself is counted in a second job.
+    """
+    sides = dict(star_dimensions(src, p), product=src["product"])
+    stats = key_stats({name: (df, STAR_KEYS[name]) for name, df in sides.items()})
+    bounds = {name: n <= DIM_BROADCAST_ROWS for name, (n, _) in stats.items()}
+    unique = {name: n == keys for name, (n, keys) in stats.items()}
+    if bounds["product"] and all(unique[n] for n in ("product", "raco_subsection", "web_category_l4")):
+        bounds["product_gate"] = True
+    else:
+        gate = product_gate(src, product_hierarchy(src, bounds), p, bounds)
+        bounds.update(bounded_sizes({"product_gate": gate}))
     return bounds
 
 

@@ -115,3 +115,17 @@ def test_link_rank_limits_before_the_shuffle(run_check):
     from rewardseg.operators import linking
     plan = _plan(linking.link_rank(run_check.link_account, 1))
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_duplicate_product_key_falls_back_to_counting_the_gate(spark):
+    src = _star_sources(spark)
+    dup = src["product"].unionByName(src["product"].where("pi_product_pk = 4"))
+    tables = {name: src[name] for name in src}
+    tables["product"] = dup
+    src2 = Sources({k: (lambda v=v: v) for k, v in tables.items()})
+    p = RunParams(as_of=dt.date(2000, 12, 31), start_year=2000, start_date=dt.date(2000, 1, 1))
+    bounds = products.star_bounds(src2, p)
+    assert bounds["product_gate"] is True
+    # as written: two hierarchy rows x two product rows for product 4
+    items = products.item_base(src2, p, bounds=bounds)
+    assert sorted(r[0] for r in items.select("pi_product_fk").collect()) == [2, 4, 4, 4, 4]
