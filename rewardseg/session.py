@@ -57,14 +57,20 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset (a
-    local test session) point it at a fresh scratch folder."""
+    """Use the cluster's shared ``spark.checkpoint.dir``.
+
+    Only a local-mode session (tests, a single machine) with no setting gets
+    a fresh scratch folder; on a cluster a missing setting is an error, since
+    a machine-local folder would not survive the loss of that machine.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or object storage)")
         configured = tempfile.mkdtemp(prefix="rewardseg-ckpt-")
     sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    return sc.getCheckpointDir() or configured
\ No newline at end of file
