@@ -42,6 +42,23 @@ def key_stats(sides: dict[str, tuple[DataFrame, str]]) -> dict[str, tuple[int, i
     return {name: got.get(name, (0, 0)) for name in sides}
 
 
+def left_join_spreading_nulls(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
+                              spread: str) -> DataFrame:
+    """``left LEFT JOIN right ON left_key = right_key`` for a left side whose
+    key is often NULL.
+
+    NULL keys never match, but in a shuffle join they all hash to one
+    partition.  Joining on (key is null, coalesce(key, spread)) instead sends
+    them wherever ``spread`` (a well-distributed column of the same type)
+    hashes, while the null flag keeps them from matching any right row.
+    """
+    lk = F.col(left_key)
+    l = left.select("*", lk.isNull().alias("_jk_null"), F.coalesce(lk, F.col(spread)).alias("_jk"))
+    r = right.select("*", F.lit(False).alias("_rk_null"), F.col(right_key).alias("_rk"))
+    return (l.join(r, (l["_jk_null"] == r["_rk_null"]) & (l["_jk"] == r["_rk"]), "left")
+            .drop("_jk_null", "_jk", "_rk_null", "_rk"))
+
+
 def broadcast_if(df: DataFrame, bounded: bool) -> DataFrame:
     """Hint a side whose bound follows from an already checked one (e.g. a
     distinct projection of a checked dimension)."""

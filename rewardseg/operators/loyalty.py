@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from rewardseg import fixed_values as fv
 from rewardseg.functions import in_range
+from rewardseg.operators.joins import left_join_spreading_nulls
 from rewardseg.params import RunParams
 from rewardseg.sources import Sources
 
@@ -36,13 +37,13 @@ def reservation_left_join(src: Sources, p: RunParams) -> DataFrame:
     """Transactions left-joined to registered, prepaid reservations (the
     constant predicates of the ON clause filter the right side first)."""
     t, r = _window_trans(src, p), registered_reservations(src)
-    return (t.join(r, t.pi_res_fk == r.pi_res_pk, "left")
+    return (left_join_spreading_nulls(t, r, "pi_res_fk", "pi_res_pk", spread="pi_trans_pk")
             .select("pi_trans_pk", "pi_res_fk", "res_datetime", "res_cust_fk"))
 
 
 def delivery_left_join(src: Sources, p: RunParams) -> DataFrame:
     t, h = _window_trans(src, p), registered_deliveries(src)
-    return (t.join(h, t.hrg_order_id == h.pi_hd_order_pk, "left")
+    return (left_join_spreading_nulls(t, h, "hrg_order_id", "pi_hd_order_pk", spread="pi_trans_pk")
             .select("pi_trans_pk", "hrg_order_id", "order_datetime", "hd_cust_fk"))
 
 
@@ -51,13 +52,15 @@ def online_orders(src: Sources, p: RunParams) -> DataFrame:
     customer identifier ``COALESCE(reservation, delivery)``.
 
     A transaction with neither key cannot reach the inner identifier join,
-    so it is filtered out before the two outer joins.
+    so it is filtered out before the two outer joins; in each outer join the
+    transactions holding only the other key (NULL here) are spread by their
+    own key instead of piling into one partition.
     """
     t = _window_trans(src, p).where(F.col("pi_res_fk").isNotNull() | F.col("hrg_order_id").isNotNull())
     r, h = registered_reservations(src), registered_deliveries(src)
     w = src["cust_identifier"].select("pi_cust_identifier_pk", "pi_account_id_fk")
-    j = (t.join(r, t.pi_res_fk == r.pi_res_pk, "left")
-         .join(h, t.hrg_order_id == h.pi_hd_order_pk, "left")
+    j = left_join_spreading_nulls(t, r, "pi_res_fk", "pi_res_pk", spread="pi_trans_pk")
+    j = (left_join_spreading_nulls(j, h, "hrg_order_id", "pi_hd_order_pk", spread="pi_trans_pk")
          .select("pi_trans_pk",
                  F.to_date(F.coalesce("res_datetime", "order_datetime")).alias("order_date"),
                  F.coalesce("res_cust_fk", "hd_cust_fk").alias("_ident")))
