@@ -129,3 +129,21 @@ def test_duplicate_product_key_falls_back_to_counting_the_gate(spark):
     # as written: two hierarchy rows x two product rows for product 4
     items = products.item_base(src2, p, bounds=bounds)
     assert sorted(r[0] for r in items.select("pi_product_fk").collect()) == [2, 4, 4, 4, 4]
+
+
+def test_bucketed_line_items_are_not_shuffled_for_the_flags(spark):
+    """Deployment note in README: with trans_item bucketed on the transaction
+    key, the line stream joins the flags without being shuffled."""
+    from conftest import SF_SMALL
+    from rewardseg.params import TEST_PARAMS
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    derived = derive_sources(spark, SF_SMALL, TEST_PARAMS)
+    path = tempfile.mkdtemp(prefix="rewardseg-bucket-") + "/trans_item"
+    (derived["trans_item"].write.option("path", path).bucketBy(int(parts), "pi_trans_fk")
+     .saveAsTable("bucketed_trans_item"))
+    builders = {n: (lambda n=n: derived[n]) for n in derived}
+    builders["trans_item"] = lambda: spark.table("bucketed_trans_item")
+    plan = _plan(Run(Sources(builders), TEST_PARAMS).lines())
+    shuffles = [ln for ln in plan.splitlines() if "Exchange hashpartitioning(pi_trans_fk" in ln]
+    assert len(shuffles) == 1   # the flags side only
+    spark.sql("DROP TABLE bucketed_trans_item")
