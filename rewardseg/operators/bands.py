@@ -8,8 +8,11 @@ global row number:
 1. range-partition the long (category, spend, entity) rows on that full
    sort key -- a hot category or a hot spend value (zero spend) spreads over
    many partitions because the entity key breaks the ties;
-2. number the rows inside each (category, range partition) piece -- a
-   piece is bounded by the range partition size;
+2. sort inside each range partition on the same key and take each row's
+   position there (``monotonically_increasing_id`` after a total-order
+   local sort: consecutive within a partition, deterministic); the first
+   position and the row count of every (category, partition) piece come
+   from a small aggregation -- no second shuffle of the rows;
 3. per category, add the row counts of the earlier pieces (a window over
    the small piece-count table, one row per piece) and the category total;
 4. tile from (row number, total, n): the first ``total mod n`` tiles hold
@@ -51,21 +54,20 @@ def ntile_bands(long: DataFrame, n: int = 5, key: str = "pi_entity_fk", value: s
     the join is left to AQE (broadcast on measured size)."""
     spark = long.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (long.repartitionByRange(parts, F.col(group), F.col(value).asc_nulls_first(),
-                                      F.col(key).asc_nulls_first())
-              .withColumn("_piece", F.spark_partition_id()))
-    piece_order = Window.partitionBy(group, "_piece").orderBy(F.col(value).asc_nulls_first(),
-                                                              F.col(key).asc_nulls_first())
-    numbered = ranged.withColumn("_local", F.row_number().over(piece_order))
-    counts = numbered.groupBy(group, "_piece").agg(F.count(F.lit(1)).alias("_cnt"))
+    order = [F.col(group), F.col(value).asc_nulls_first(), F.col(key).asc_nulls_first()]
+    numbered = (long.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+                .withColumn("_piece", F.spark_partition_id())
+                .withColumn("_pos", F.monotonically_increasing_id()))
+    pieces = numbered.groupBy(group, "_piece").agg(F.count(F.lit(1)).alias("_cnt"),
+                                                    F.min("_pos").alias("_first"))
     before = Window.partitionBy(group).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(group)
-    offsets = counts.select(group, "_piece",
+    offsets = pieces.select(group, "_piece", "_first",
                             F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_offset"),
                             F.sum("_cnt").over(whole).alias("_total"))
     offsets = broadcast_if(offsets, max_groups is not None and max_groups * parts <= DIM_BROADCAST_ROWS)
     out = numbered.join(offsets, [group, "_piece"], "inner")
-    rn = F.col("_offset") + F.col("_local")
+    rn = F.col("_offset") + (F.col("_pos") - F.col("_first")) + 1
     return out.select(*[c for c in long.columns], _tile(rn, F.col("_total"), n).alias(f"{value}_ntile"))
 
 
