@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, functions as F
 
 from rewardseg import fixed_values as fv
@@ -19,8 +21,10 @@ def week_marker(date_dim: DataFrame) -> DataFrame:
 
 
 def run_bounds(date_dim: DataFrame, p: RunParams) -> DataFrame:
-    """One row: first calendar date of ``start_year`` and the run date."""
-    return (date_dim.where(F.year("date_key") == p.start_year)
+    """One row: first calendar date of ``start_year`` and the run date.  The
+    year test is written as a date range so it reaches the scan."""
+    year_first, year_last = dt.date(p.start_year, 1, 1), dt.date(p.start_year, 12, 31)
+    return (date_dim.where(in_range("date_key", year_first, year_last))
             .agg(F.min("date_key").alias("start_date"))
             .select("start_date", F.lit(p.end_date).alias("end_date")))
 
