@@ -29,3 +29,14 @@ def test_entry_runs(spark):
     df = entry.entry(spark)
     assert df.columns[0] == "pi_entity_fk" and len(df.columns) == 22
     assert df.count() >= 0
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "date": "DATE",
+                 "timestamp_ntz": "TIMESTAMP"}
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_column_types_match_oracle(spark, con, name):
+    spark_types = dict(entry.queries()[name](spark, SF_SMALL).dtypes)
+    duck_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {entry.oracle_sql()[name]}").fetchall()}
+    assert {c: SPARK_TO_DUCK.get(t, t.upper()) for c, t in spark_types.items()} == duck_types
