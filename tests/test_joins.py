@@ -19,3 +19,12 @@ def test_key_stats_detects_duplicates_and_nulls(spark):
     nul = spark.createDataFrame([(1,), (None,)], "k long")
     assert key_stats({"u": (uniq, "k"), "d": (dup, "k"), "n": (nul, "k")}) == \
         {"u": (3, 3), "d": (3, 2), "n": (2, 1)}
+
+
+def test_cluster_sizing_targets_128mb_shuffle_partitions():
+    from rewardseg.session import cluster_conf
+    conf = cluster_conf(total_cores=8000, input_tb=100)
+    parts = int(conf["spark.sql.shuffle.partitions"])
+    # a third of 100 TB in ~128 MiB partitions, never fewer than 4 per core
+    assert 200_000 <= parts <= 300_000 and parts >= 4 * 8000
+    assert int(cluster_conf(8, 0.0001)["spark.sql.shuffle.partitions"]) == 32
