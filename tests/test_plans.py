@@ -1,6 +1,7 @@
 """Plan checks and the null/outer-join cases of the product star."""
 
 import datetime as dt
+import re
 import tempfile
 from decimal import Decimal
 
@@ -147,3 +148,12 @@ def test_bucketed_line_items_are_not_shuffled_for_the_flags(spark):
     shuffles = [ln for ln in plan.splitlines() if "Exchange hashpartitioning(pi_trans_fk" in ln]
     assert len(shuffles) == 1   # the flags side only
     spark.sql("DROP TABLE bucketed_trans_item")
+
+
+def test_online_links_use_the_sweep_not_a_range_join(run_check):
+    from rewardseg.operators import loyalty
+    plan = _plan(loyalty.online_links(run_check.src, run_check.p))
+    assert re.search(r"Window \[sum\(delta", plan)
+    assert "BroadcastNestedLoopJoin" not in plan
+    joins = [ln for ln in plan.splitlines() if "Join" in ln]
+    assert not any("card_link_datetime" in ln or "card_unlink_datetime" in ln for ln in joins)
