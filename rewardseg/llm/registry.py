@@ -1,8 +1,10 @@
 """The registered queries of the operators, and their DuckDB SQL."""
 
+from rewardseg.llm.packing import op5_packing
 from rewardseg.llm.token_files import op8_token_files
 
 QUERIES = {
+    "op5_packing": op5_packing,
     "op8_token_files": op8_token_files,
 }
 ORACLE_SQL: dict[str, str] = {}
