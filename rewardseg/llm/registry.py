@@ -1,9 +1,11 @@
 """The registered queries of the operators, and their DuckDB SQL."""
 
 from rewardseg.llm.packing import op5_packing
+from rewardseg.llm.simhash import op3_simhash
 from rewardseg.llm.token_files import op8_token_files
 
 QUERIES = {
+    "op3_simhash": op3_simhash,
     "op5_packing": op5_packing,
     "op8_token_files": op8_token_files,
 }
