@@ -37,7 +37,7 @@ from rewardseg.session import ensure_checkpoint_dir
 
 MAX_BITS = 20
 STRIDE = 256
-BLOCK_TOKENS = 1 << 16
+BLOCK_TOKENS = 1 << 18
 END_ID = 0
 
 
@@ -148,16 +148,15 @@ def token_rows(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFra
             .mapInArrow(run, "doc_id long, n_tokens long, ids binary"))
 
 
-def token_counts(rows: DataFrame, width: int) -> DataFrame:
+def token_counts(rows: DataFrame, width: int, vocab: int) -> DataFrame:
     """(token, n) over all documents: one array per task, then summed."""
     def run(batches):
-        total = np.zeros(1, np.int64)
+        total = np.zeros(vocab, np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                seen = np.bincount(np.frombuffer(ids.as_py(), f"<u{width}"))
-                if len(seen) > len(total):
-                    total = np.pad(total, (0, len(seen) - len(total)))
-                total[: len(seen)] += seen
+            ids = batch.column(0)
+            for lo, hi in slices(byte_sizes(ids), SLICE_BYTES):
+                part = np.frombuffer(b"".join(ids.slice(lo, hi - lo).to_pylist()), f"<u{width}")
+                total += np.bincount(part, minlength=vocab)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used])], ["token", "n"])
     return rows.select("ids").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
@@ -173,11 +172,11 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None,
     tokenizer = tokenizer or default_tokenizer()
     spark = docs.sparkSession
     rows = stage(token_rows(docs, tokenizer, end_id), "ids")
-    vocab = encoder(tokenizer).vocab_size()
+    vocab = max(encoder(tokenizer).vocab_size(), end_id + 1)
     width = 2 if vocab <= 1 << 16 else 4
     # at most one row per id of the vocabulary reaches the driver
-    counts = np.zeros(max(vocab, end_id + 1), np.int64)
-    for token, n in token_counts(rows, width).collect():
+    counts = np.zeros(vocab, np.int64)
+    for token, n in token_counts(rows, width, vocab).collect():
         counts[token] = n
     lengths = code_lengths(counts)
     code = [(int(t), int(lengths[t])) for t in np.flatnonzero(lengths)]

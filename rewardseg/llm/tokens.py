@@ -10,6 +10,8 @@ end are encoded whole.
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -19,7 +21,8 @@ from tokenizers import Tokenizer
 _UNCUT = r" [\s\x0b\x1c-\x1f\x{85}\p{Z}]| \z"
 MEMO_WORDS = 800_000
 SLICE_BYTES = 12_000_000
-LEARN_WORDS = 2000
+LEARN_WORDS = 200
+SPACE = "\u0120"         # how byte-level vocabularies write a space
 
 
 def default_tokenizer() -> str:
@@ -35,7 +38,7 @@ class ColumnEncoder:
         self.memo_words = memo_words
         vocab = self.tokenizer.get_vocab()
         self.opens = np.zeros(max(vocab.values()) + 1, bool)
-        self.opens[[i for token, i in vocab.items() if token.startswith("\u0120")]] = True  # U+0120 stands for a space
+        self.opens[[i for token, i in vocab.items() if token.startswith(SPACE)]] = True
         self._forget()
 
     def _forget(self) -> None:
@@ -64,18 +67,32 @@ class ColumnEncoder:
 
     def _learn(self, words: list[str], spaced: bool) -> None:
         """Encode unseen words, each after a space or (``spaced`` false) at
-        the start of a text.  Spaced words are encoded end to end: only
-        the first token of each begins with a space."""
-        ids = counts = None
-        if spaced and "" not in words:
-            ids = np.array(self.tokenizer.encode(" " + " ".join(words), add_special_tokens=False).ids, np.uint32)
-            begins = np.flatnonzero(self.opens[ids])
-            counts = np.diff(begins, append=len(ids))
-        if counts is None or len(counts) != len(words):
+        the start of a text.  A run of ASCII letters is one pre-token and
+        goes to the library's BPE model as it is; other spaced words are
+        encoded end to end, where only the first token of each begins with
+        a space."""
+        plain = [w for w in words if w.isascii() and w.isalpha()]
+        other = [w for w in words if not (w.isascii() and w.isalpha())]
+        bpe, lead = self.tokenizer.model.tokenize, SPACE if spaced else ""
+        if plain:
+            self._add(plain, spaced, [[t.id for t in bpe(lead + w)] for w in plain])
+        for i in range(0, len(other), LEARN_WORDS):
+            part = other[i:i + LEARN_WORDS]
+            if spaced and "" not in part:
+                joined = self.tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0]
+                ids = np.array(joined.ids, np.uint32)
+                begins = np.flatnonzero(self.opens[ids])
+                if len(begins) == len(part):
+                    self._place(part, spaced, ids, np.diff(begins, append=len(ids)))
+                    continue
             lead = " " if spaced else ""
-            each = [self.tokenizer.encode(lead + w, add_special_tokens=False).ids for w in words]
-            ids = np.array([x for e in each for x in e], np.uint32)
-            counts = np.array([len(e) for e in each], np.int64)
+            self._add(part, spaced, [self.tokenizer.encode(lead + w, add_special_tokens=False).ids for w in part])
+
+    def _add(self, words: list[str], spaced: bool, each: list[list[int]]) -> None:
+        self._place(words, spaced, np.fromiter(itertools.chain.from_iterable(each), np.uint32),
+                    np.fromiter(map(len, each), np.int64, len(each)))
+
+    def _place(self, words: list[str], spaced: bool, ids: np.ndarray, counts: np.ndarray) -> None:
         base = len(self.rows[True]) + len(self.rows[False])
         self.rows[spaced].update(zip(words, range(base, base + len(words))))
         self.new.append((ids, counts))
@@ -83,11 +100,7 @@ class ColumnEncoder:
     def _rows_of(self, words: list[str], spaced: bool) -> np.ndarray:
         known = self.rows[spaced]
         missing = list(dict.fromkeys(w for w in words if w not in known))
-        if "" in missing:
-            missing.remove("")
-            self._learn([""], spaced)
-        for i in range(0, len(missing), LEARN_WORDS):
-            self._learn(missing[i:i + LEARN_WORDS], spaced)
+        self._learn(missing, spaced)
         if self.new:
             ids, counts = (np.concatenate(x) for x in zip(*self.new))
             self.new = []
@@ -112,9 +125,10 @@ class ColumnEncoder:
             self._thin(len(words))
         opening = offsets[:-1] - offsets[0]
         firsts = [words[c] for c in codes[opening]]
-        rows = self._rows_of(words, True)[codes]
+        distinct = self._rows_of(words, True)
+        rows = distinct[codes]
         rows[opening] = self._rows_of(firsts, False)
-        self.hits[np.unique(rows)] += 1
+        self.hits[distinct] += 1
         counts = self.counts[rows]
         ends = np.cumsum(counts)
         take = np.repeat((self.starts[rows] - ends + counts).astype(np.int32), counts)
