@@ -1,6 +1,7 @@
 """The registered queries of the operators, and their DuckDB SQL."""
 
 from rewardseg.llm.language import op10_language
+from rewardseg.llm.mixing import op4_mixing
 from rewardseg.llm.packing import op5_packing
 from rewardseg.llm.quality import op6_quality
 from rewardseg.llm.simhash import op3_simhash
@@ -8,6 +9,7 @@ from rewardseg.llm.token_files import op8_token_files
 
 QUERIES = {
     "op3_simhash": op3_simhash,
+    "op4_mixing": op4_mixing,
     "op5_packing": op5_packing,
     "op6_quality": op6_quality,
     "op8_token_files": op8_token_files,
