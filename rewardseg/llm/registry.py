@@ -5,6 +5,7 @@ from rewardseg.llm.mixing import op4_mixing
 from rewardseg.llm.packing import op5_packing
 from rewardseg.llm.quality import op6_quality
 from rewardseg.llm.simhash import op3_simhash
+from rewardseg.llm.spotsigs import op7_spotsigs
 from rewardseg.llm.token_files import op8_token_files
 
 QUERIES = {
@@ -12,6 +13,7 @@ QUERIES = {
     "op4_mixing": op4_mixing,
     "op5_packing": op5_packing,
     "op6_quality": op6_quality,
+    "op7_spotsigs": op7_spotsigs,
     "op8_token_files": op8_token_files,
     "op10_language": op10_language,
 }
