@@ -7,8 +7,10 @@ from rewardseg.llm.quality import op6_quality
 from rewardseg.llm.simhash import op3_simhash
 from rewardseg.llm.spotsigs import op7_spotsigs
 from rewardseg.llm.token_files import op8_token_files
+from rewardseg.llm.urls import op1_url_filter
 
 QUERIES = {
+    "op1_url_filter": op1_url_filter,
     "op3_simhash": op3_simhash,
     "op4_mixing": op4_mixing,
     "op5_packing": op5_packing,
