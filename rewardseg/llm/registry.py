@@ -3,6 +3,7 @@
 from rewardseg.llm.language import op10_language
 from rewardseg.llm.mixing import op4_mixing
 from rewardseg.llm.packing import op5_packing
+from rewardseg.llm.permutations import op2_permutation_search
 from rewardseg.llm.quality import op6_quality
 from rewardseg.llm.simhash import op3_simhash
 from rewardseg.llm.spotsigs import op7_spotsigs
@@ -11,6 +12,7 @@ from rewardseg.llm.urls import op1_url_filter
 
 QUERIES = {
     "op1_url_filter": op1_url_filter,
+    "op2_permutation_search": op2_permutation_search,
     "op3_simhash": op3_simhash,
     "op4_mixing": op4_mixing,
     "op5_packing": op5_packing,
