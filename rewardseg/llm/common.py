@@ -32,6 +32,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh_name(name: str, taken) -> str:
+    """``name`` with as many underscores before it as make it new."""
+    used = {t.lower() for t in taken}
+    while name.lower() in used:
+        name = "_" + name
+    return name
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only, leaving every other character as it is."""
     return F.translate(text, UPPER, LOWER)
@@ -45,11 +53,6 @@ def byte_sizes(column) -> np.ndarray:
     return pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
 
 
-def batch_texts(column) -> list[str]:
-    """The strings of an Arrow column, null as the empty text."""
-    return [t or "" for t in column.to_pylist()]
-
-
 def slices(sizes: np.ndarray, limit: int):
     """Consecutive (start, stop) runs whose sizes add up to about ``limit``
     (one oversized item makes a run of its own), so a task's working memory

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from rewardseg.llm.common import byte_sizes, slices, table
+from rewardseg.llm.common import byte_sizes, fresh_name, slices, table
 
 LEXICON_BITS, GRAM_BITS = 15, 16
 GRAMS = (2, 3, 4)
@@ -274,10 +274,10 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
     return fit(texts, np.array(labels, np.int64), languages, lexicon)
 
 
-def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """``docs`` columns ``keep`` with lang_pred and score of each whole text."""
+def predict(docs: DataFrame, model: Model, keep: list[str], names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``docs`` columns ``keep`` with the language and score of each whole text."""
     schema = docs.select(*keep).schema
-    names_out = [*keep, "lang_pred", "score"]
+    names_out = [*keep, *names]
 
     def label(texts: list[str]):
         pred, score = ["und"] * len(texts), np.zeros(len(texts))
@@ -299,8 +299,8 @@ def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(i).slice(lo, hi - lo) for i in range(len(keep))),
                      pa.array(pred, pa.string()), pa.array(score, pa.float64())], names_out)
-    return docs.select(*keep, F.col("text").cast("string").alias("labelled_text")).mapInArrow(run, StructType(
-        [*schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())]))
+    return docs.select(*keep, F.col("text").cast("string").alias(fresh_name("text", keep))).mapInArrow(run, StructType(
+        [*schema.fields, StructField(names[0], StringType()), StructField(names[1], DoubleType())]))
 
 
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -79,15 +79,17 @@ def sampling_key(doc_id: Column, weight: Column, seed: int = SEED) -> Column:
 
 def mix(docs: DataFrame, doc_weights: DataFrame | None = None, weights=WEIGHTS, share: float = SHARE,
         limit: float = LIMIT, seed: int = SEED) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, taken, copies."""
+    """One row per document: doc_id, source, text_key (a hash of the text),
+    size, source_size, target, taken, copies."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-                       word_count(F.col("text").cast("string")).alias("size"))
+                       word_count(F.col("text").cast("string")).alias("size"),
+                       F.xxhash64(F.col("text").cast("string")).alias("text_key"))
     if doc_weights is not None:
         rows = rows.join(doc_weights, rows["doc_id"] == doc_weights["weight_id"], "left").drop("weight_id")
         weight = F.coalesce("weight", F.lit(DEFAULT_WEIGHT))
     else:
         weight = F.lit(1.0)
-    rows = stage(rows.select("doc_id", "source", "size", sampling_key(F.col("doc_id"), weight, seed).alias("key")), "mix-rows")
+    rows = stage(rows.select("doc_id", "source", "text_key", "size", sampling_key(F.col("doc_id"), weight, seed).alias("key")), "mix-rows")
     targets = stage(source_targets(rows, weights, share, limit), "mix-targets")
     # every source's row once per salt: a hot source is spread over the salts
     spread = targets.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
@@ -97,7 +99,7 @@ def mix(docs: DataFrame, doc_weights: DataFrame | None = None, weights=WEIGHTS,
     # 1 - exp(-key) rises with the key and fills (0, 1)
     slots = F.ceil(F.col("n_docs") / SLOT_ROWS)
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
-    known = known.select("doc_id", "rank", "size", "key", "source_size", "target", epochs.alias("epochs"),
+    known = known.select("doc_id", "source", "text_key", "rank", "size", "key", "source_size", "target", epochs.alias("epochs"),
                          F.floor((1 - F.exp(-F.col("key"))) * slots).alias("slot"))
     per_slot = known.groupBy("rank", "slot").agg(F.sum("size").alias("slot_size"))
     earlier = Window.partitionBy("rank").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
@@ -108,10 +110,25 @@ def mix(docs: DataFrame, doc_weights: DataFrame | None = None, weights=WEIGHTS,
     budget = F.col("target") - F.col("epochs") * F.col("source_size")
     chosen = (F.col("before") + F.col("size") / 2 <= budget) & (budget > 0) & (F.col("epochs") < limit)
     copies = F.col("epochs") + F.when(chosen, 1).otherwise(0)
-    return placed.select("doc_id", "size", "source_size", "target", (copies * F.col("size")).cast("long").alias("taken"),
+    return placed.select("doc_id", "source", "text_key", "size", "source_size", "target", (copies * F.col("size")).cast("long").alias("taken"),
                          copies.cast("int").alias("copies"))
 
 
+def mixed_documents(docs: DataFrame, doc_weights: DataFrame | None = None, **options) -> DataFrame:
+    """The mix itself: the rows of ``docs``, all columns, as often as they are
+    taken.  Rows equal in doc_id, source and text stand for one another."""
+    taken = mix(docs, doc_weights, **options).groupBy("doc_id", "source", "text_key").agg(
+        F.sum("copies").cast("int").alias("mix_copies")).where("mix_copies > 0")
+    taken = taken.select(*[F.col(c).alias(f"mix_{c}") for c in ("doc_id", "source", "text_key")], "mix_copies")
+    doc_id, source = docs["doc_id"].cast("long"), docs["source"].cast("string")
+    same = ((F.xxhash64(docs["text"].cast("string")) == F.col("mix_text_key")) &
+            doc_id.eqNullSafe(F.col("mix_doc_id")) & source.eqNullSafe(F.col("mix_source")))
+    turn = F.row_number().over(Window.partitionBy("mix_text_key", "mix_doc_id", "mix_source").orderBy("mix_text_key"))
+    return (docs.join(taken, same).withColumn("mix_turn", turn).where("mix_turn = 1")
+            .withColumn("mix_turn", F.explode(F.array_repeat(F.lit(1), F.col("mix_copies"))))
+            .select(*[docs[c] for c in docs.columns]))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(table(spark, sf_dir, "documents"), quality_weights(table(spark, sf_dir, "labels")))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from rewardseg.llm.common import stage, table
+from rewardseg.llm.common import fresh_name, stage, table
 
 GRAM_BITS, SHAPE_BITS, SAME = 15, 14, 16
 N_FEATURES = (1 << GRAM_BITS) + (1 << SHAPE_BITS) + SAME
@@ -206,7 +206,7 @@ def held_out(column: str):
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % FOLDS == 0, F.lit(True))
 
 
-def score(docs: DataFrame, model, keep: list[str]) -> DataFrame:
+def score(docs: DataFrame, model, keep: list[str], name: str = "score") -> DataFrame:
     """``docs`` columns ``keep`` with the score of each whole text."""
     scale, w, slope, intercept = model
     weights, bias = scale * w[:-1], w[-1]
@@ -216,12 +216,12 @@ def score(docs: DataFrame, model, keep: list[str]) -> DataFrame:
         for batch in batches:
             names = batch.schema.names
             margin = np.array([weights[features((t or "").encode())].sum() + bias
-                               for t in batch.column(names.index("score_text")).to_pylist()])
+                               for t in batch.column(len(names) - 1).to_pylist()])
             p = 1 / (1 + np.exp(-np.clip(slope * margin + intercept, -35, 35)))
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(names) - 1)), pa.array(p)],
-                                             [*names[:-1], "score"])
-    return docs.select(*keep, F.col("text").cast("string").alias("score_text")).mapInArrow(
-        run, StructType([*schema.fields, StructField("score", DoubleType())]))
+                                             [*names[:-1], name])
+    return docs.select(*keep, F.col("text").cast("string").alias(fresh_name("text", keep))).mapInArrow(
+        run, StructType([*schema.fields, StructField(name, DoubleType())]))
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

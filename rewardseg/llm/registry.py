@@ -1,6 +1,7 @@
 """The registered queries of the operators, and their DuckDB SQL."""
 
 from rewardseg.llm.language import op10_language
+from rewardseg.llm.licenses import op9_licenses
 from rewardseg.llm.mixing import op4_mixing
 from rewardseg.llm.packing import op5_packing
 from rewardseg.llm.permutations import op2_permutation_search
@@ -19,6 +20,7 @@ QUERIES = {
     "op6_quality": op6_quality,
     "op7_spotsigs": op7_spotsigs,
     "op8_token_files": op8_token_files,
+    "op9_licenses": op9_licenses,
     "op10_language": op10_language,
 }
 ORACLE_SQL: dict[str, str] = {}

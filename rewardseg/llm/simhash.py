@@ -29,7 +29,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from rewardseg.llm.common import byte_sizes, slices, stage, table
 from rewardseg.llm.graph import components
@@ -77,17 +77,19 @@ def fingerprints(texts: list[bytes], size: int = SHINGLE, seed: int = SEED) -> n
 
 
 def fingerprint_rows(docs: DataFrame, size: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """(doc_id, fp): fp is the fingerprint as a signed 64-bit number."""
+    """(doc_id, text_key, fp): a hash of the text, and its fingerprint as a
+    signed 64-bit number."""
     def run(batches):
         for batch in batches:
-            texts = batch.column(1)
+            texts = batch.column(2)
             for lo, hi in slices(byte_sizes(texts), SLICE_BYTES):
                 part = [(t or "").encode() for t in texts.slice(lo, hi - lo).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), pa.array(fingerprints(part, size, seed).view(np.int64))],
-                    ["doc_id", "fp"])
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-            .mapInArrow(run, "doc_id long, fp long"))
+                    [*(batch.column(i).slice(lo, hi - lo) for i in (0, 1)),
+                     pa.array(fingerprints(part, size, seed).view(np.int64))], ["doc_id", "text_key", "fp"])
+    text = F.col("text").cast("string")
+    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
+            .mapInArrow(run, "doc_id long, text_key long, fp long"))
 
 
 # -- Golay keys -------------------------------------------------------------
@@ -175,18 +177,39 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return left.join(right, near).select("a", "b").distinct()
 
 
-def near_duplicates(docs: DataFrame, size: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """(doc_id, fingerprint, component_id) per row."""
+def grouped(docs: DataFrame, size: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """(doc_id, text_key, fp, group, component_id) per row: ``group`` names
+    the linked component, ``component_id`` is its smallest doc_id."""
     rows = stage(fingerprint_rows(docs, size), "fingerprints")
     prints = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "prints")
-    grouped = components(links(prints, max_bits))
-    linked = prints.join(grouped, prints["fp"] == grouped["node"]).select("fp", "least", "component")
+    linked = prints.join(components(links(prints, max_bits)), F.col("fp") == F.col("node")).select("fp", "least", "component")
     least = linked.groupBy("component").agg(F.min("least").alias("component_id"))
-    of_print = prints.join(linked.join(least, "component").select("fp", "component_id"), "fp", "left").select(
-        "fp", F.coalesce("component_id", "least").alias("component_id"))
-    return rows.join(of_print, "fp").select(
+    of_linked = linked.join(least, "component").select("fp", "component", "component_id")
+    of_print = prints.join(of_linked, "fp", "left").select(
+        "fp", F.coalesce("component", "fp").alias("group"), F.coalesce("component_id", "least").alias("component_id"))
+    return rows.join(of_print, "fp").select("doc_id", "text_key", "fp", "group", "component_id")
+
+
+def near_duplicates(docs: DataFrame, size: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """(doc_id, fingerprint, component_id) per row."""
+    return grouped(docs, size, max_bits).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def deduplicate(docs: DataFrame, size: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """One row of ``docs``, all columns, of each group: the smallest doc_id
+    (null last; of rows that share it the smallest text hash)."""
+    of_group = grouped(docs, size, max_bits).groupBy("group").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("first"))
+    keep = of_group.select(*[F.col(f"first.{c}").alias(f"keep_{c}") for c in ("no_id", "doc_id", "text_key")])
+    doc_id = docs["doc_id"].cast("long")
+    key = F.xxhash64(docs["text"].cast("string"))
+    kept = docs.join(keep, (F.coalesce(doc_id, F.lit(0)) == F.coalesce("keep_doc_id", F.lit(0))) &
+                     (doc_id.isNull() == F.col("keep_no_id")) & (key == F.col("keep_text_key")))
+    same = Window.partitionBy("keep_doc_id", "keep_no_id", "keep_text_key").orderBy("keep_text_key")
+    return kept.withColumn("keep_turn", F.row_number().over(same)).where("keep_turn = 1").select(
+        *[docs[c] for c in docs.columns])
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
