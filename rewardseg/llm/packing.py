@@ -36,6 +36,7 @@ CAPACITY = 2048
 END_ID = 0
 STEPS = 160          # weight updates per linear program
 RATE = 8.0           # how fast a length's weight falls as its demand gets covered
+POWER = 1.6          # a length's value before any update: long pieces first, short ones to fill
 LAST_PIECES = 4000   # pieces left for best fit after the last rounding
 
 
@@ -116,7 +117,7 @@ def solve(demand: np.ndarray, capacity: int, steps: int = STEPS) -> list[tuple[n
             break
         done = covered / need
         weight = np.exp(-RATE * (done - done[open_].min()))
-        value = np.where(open_, lengths * weight, -1.0)
+        value = np.where(open_, lengths ** POWER * weight, -1.0)
         counts = best_configuration(value, capacity)
         used = counts > 0
         room = float(((demand - covered)[used] / counts[used]).min())
