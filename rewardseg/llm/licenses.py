@@ -90,11 +90,12 @@ def winnow(words: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     big = np.uint64(0xFFFFFFFFFFFFFFFF)
     gram = np.where(whole, gram, big)
     kept = np.zeros(n, bool)
-    count = max(1, n - WINDOW + 1)
-    windows = np.stack([gram[min(i, n - 1):][:count] for i in range(WINDOW)]) if n >= WINDOW else gram[None, :1]
-    kept[np.arange(windows.shape[1]) + np.argmin(windows, 0)] = True
-    # the first and last gram of a text stay, so that texts shorter than a window have one
-    kept[whole & np.concatenate([[True], ~whole[:-1] | (text[1:n] != text[:n - 1])])] = True
+    # windows reach over both ends of a text, so its first and last gram stay
+    edge = np.full(WINDOW - 1, big)
+    padded = np.concatenate([edge, gram, edge])
+    windows = np.stack([padded[i:len(padded) - WINDOW + 1 + i] for i in range(WINDOW)])
+    chosen = np.arange(windows.shape[1]) + np.argmin(windows, 0) - (WINDOW - 1)
+    kept[chosen[(chosen >= 0) & (chosen < n)]] = True
     kept &= whole
     at = np.flatnonzero(kept)
     return at, gram[at]
@@ -140,9 +141,9 @@ def align(template: np.ndarray, text: np.ndarray, low: int, high: int) -> tuple[
             score, matched, first = above.get(j - 1, (0, 0, j))
             cell = (score + MATCH, matched + 1, first) if equal else (score + MISMATCH, matched, first)
             for beside in (above.get(j), row.get(j - 1)):
-                if beside and beside[0] + GAP > cell[0]:
+                if beside and (beside[0] + GAP, beside[1]) > cell[:2]:
                     cell = (beside[0] + GAP, beside[1], beside[2])
-            if cell[0] > 0:
+            if cell[:2] > (0, 0):
                 row[j] = cell
                 if equal and cell[:2] > best[:2]:
                     best = (*cell, j + 1)

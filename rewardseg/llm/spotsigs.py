@@ -64,7 +64,7 @@ def signatures(text: Column) -> Column:
 
     found = F.sort_array(F.array_distinct(F.transform(spots, chain)))
     # bound to a name by a one-element transform, so that the set is made once
-    return F.get(F.transform(F.array(found), lambda s: F.when(F.size(s) > 0, s).otherwise(F.array(F.xxhash64(words)))), 0)
+    return F.get(F.transform(F.array(found), lambda s: F.when(F.size(s) > 0, s).otherwise(F.array(F.xxhash64(F.trim(words))))), 0)
 
 
 def fingerprint(sigs: Column) -> Column:
