@@ -40,7 +40,7 @@ SEGMENT_LARGE = "LARGE_RED"
 SEGMENT_SEPARATOR = "_"
 
 # Product hierarchy: raco series excluded (NULL series is kept).
-EXCLUDED_RACO_SERIES = 135
+EXCLUDED_RANGE_SERIES = 135
 
 # Transaction types counted as retail spend.
 TRANS_TYPES = (

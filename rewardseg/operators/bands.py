@@ -8,11 +8,12 @@ global row number:
 1. range-partition the long (category, spend, entity) rows on that full
    sort key -- a hot category or a hot spend value (zero spend) spreads over
    many partitions because the entity key breaks the ties;
-2. sort inside each range partition on the same key and take each row's
+2. sort inside each range partition on the same key, take each row's
    position there (``monotonically_increasing_id`` after a total-order
-   local sort: consecutive within a partition, deterministic); the first
-   position and the row count of every (category, partition) piece come
-   from a small aggregation -- no second shuffle of the rows;
+   local sort: consecutive within a partition) and stage the numbered rows,
+   so that both readers below see the same partitions whatever the planner
+   does with exchanges; the first position and the row count of every
+   (category, partition) piece come from a small aggregation over them;
 3. per category, add the row counts of the earlier pieces (a window over
    the small piece-count table, one row per piece) and the category total;
 4. tile from (row number, total, n): the first ``total mod n`` tiles hold
@@ -24,7 +25,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from rewardseg import fixed_values as fv
-from rewardseg.operators.joins import DIM_BROADCAST_ROWS, broadcast_if
+from rewardseg.operators.joins import broadcast_if
+from rewardseg.sources.staging import Staging
+
+# Four columns of at most 40 bytes together: 200 MB at this many rows.
+OFFSET_BROADCAST_ROWS = 5_000_000
 
 
 def spend_long(cat_spend: DataFrame) -> DataFrame:
@@ -45,19 +50,23 @@ def _tile(rn, total, n: int):
 
 def ntile_bands(long: DataFrame, n: int = 5, key: str = "pi_entity_fk", value: str = "spend",
                 group: str = "category", partitions: int | None = None,
-                max_groups: int | None = None) -> DataFrame:
+                max_groups: int | None = None, staging: Staging | None = None) -> DataFrame:
     """Distributed NTILE; same result as ``F.ntile(n)`` over
     ``partitionBy(group).orderBy(value, key)`` when ``key`` is unique per group.
 
-    The piece-offset table has at most (groups x range partitions) rows; with
+    Pieces are runs of one group inside consecutive range partitions, so the
+    piece-offset table has at most (range partitions + groups - 1) rows; with
     a known ``max_groups`` that bound is proven and it is broadcast, else
-    the join is left to AQE (broadcast on measured size)."""
+    the join is left to AQE (broadcast on measured size).  Runs eagerly up
+    to the staged rows."""
     spark = long.sparkSession
+    staging = staging or Staging(spark)
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(group), F.col(value).asc_nulls_first(), F.col(key).asc_nulls_first()]
     numbered = (long.repartitionByRange(parts, *order).sortWithinPartitions(*order)
                 .withColumn("_piece", F.spark_partition_id())
                 .withColumn("_pos", F.monotonically_increasing_id()))
+    numbered = staging.write(numbered, "ntile")
     pieces = numbered.groupBy(group, "_piece").agg(F.count(F.lit(1)).alias("_cnt"),
                                                     F.min("_pos").alias("_first"))
     before = Window.partitionBy(group).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
@@ -65,12 +74,23 @@ def ntile_bands(long: DataFrame, n: int = 5, key: str = "pi_entity_fk", value: s
     offsets = pieces.select(group, "_piece", "_first",
                             F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_offset"),
                             F.sum("_cnt").over(whole).alias("_total"))
-    offsets = broadcast_if(offsets, max_groups is not None and max_groups * parts <= DIM_BROADCAST_ROWS)
+    offsets = broadcast_if(offsets, max_groups is not None and parts + max_groups - 1 <= OFFSET_BROADCAST_ROWS)
     out = numbered.join(offsets, [group, "_piece"], "inner")
     rn = F.col("_offset") + (F.col("_pos") - F.col("_first")) + 1
     return out.select(*[c for c in long.columns], _tile(rn, F.col("_total"), n).alias(f"{value}_ntile"))
 
 
+def positive_ntile_bands(long: DataFrame, n: int = 5, **options) -> DataFrame:
+    """NTILE over spenders only: spend of 0 is a band of its own (1) and the
+    positive spends of a category are tiled into bands 2 to n + 1; negative
+    spend has no band.  An inference from the fixed ladders, which treat
+    zero and returns this way."""
+    tiled = ntile_bands(long.where("spend > 0"), n, **options)
+    rest = long.where("spend <= 0 or spend is null").select(
+        *long.columns, F.when(F.col("spend") == 0, 1).cast("int").alias("spend_ntile"))
+    return tiled.withColumn("spend_ntile", F.col("spend_ntile") + 1).unionByName(rest)
+
+
 def ntile_bands_reference(long: DataFrame, n: int = 5, key: str = "pi_entity_fk",
                           value: str = "spend", group: str = "category") -> DataFrame:
     """Plain window NTILE (one task per group); used to test the distributed form."""

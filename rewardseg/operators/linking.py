@@ -60,6 +60,18 @@ def link_cardinality(linked: DataFrame) -> DataFrame:
     return per_account.groupBy("entities_per_account").agg(F.count(F.lit(1)).alias("accounts"))
 
 
+def link_share(linked: DataFrame) -> DataFrame:
+    """Share of the linked entity base with 1, 2 to 9, and 10 or more
+    accounts (two-level count, as in ``link_cardinality``)."""
+    per_entity = (linked.select("pi_entity_fk", "account_number").distinct()
+                  .groupBy("pi_entity_fk").agg(F.count(F.lit(1)).alias("n")))
+    kind = F.when(F.col("n") == 1, "1").when(F.col("n") < 10, "2-9").otherwise("10+")
+    counts = per_entity.groupBy(kind.alias("accounts_per_entity")).agg(F.count(F.lit(1)).alias("entities"))
+    total = counts.agg(F.sum("entities").alias("base"))  # one row
+    return counts.join(F.broadcast(total)).select("accounts_per_entity", "entities",
+                                                  (F.col("entities") / F.col("base")).alias("share"))
+
+
 def link_rank(linked: DataFrame, max_rank: int = 1) -> DataFrame:
     """Keep the ``max_rank`` best-spending entities per account (ties broken
     by entity key, so the result is deterministic).  The rank filter lets

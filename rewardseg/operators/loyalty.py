@@ -30,7 +30,7 @@ def registered_reservations(src: Sources) -> DataFrame:
 def registered_deliveries(src: Sources) -> DataFrame:
     h = src["home_delivery"]
     return (h.where(h.is_registered_user == 1)
-            .select("pi_hd_order_pk", "order_datetime", F.col("pi_cust_identifier_fk").alias("hd_cust_fk")))
+            .select("delivery_order_pk", "order_datetime", F.col("pi_cust_identifier_fk").alias("hd_cust_fk")))
 
 
 def reservation_left_join(src: Sources, p: RunParams) -> DataFrame:
@@ -43,8 +43,8 @@ def reservation_left_join(src: Sources, p: RunParams) -> DataFrame:
 
 def delivery_left_join(src: Sources, p: RunParams) -> DataFrame:
     t, h = _window_trans(src, p), registered_deliveries(src)
-    return (left_join_spreading_nulls(t, h, "hrg_order_id", "pi_hd_order_pk", spread="pi_trans_pk")
-            .select("pi_trans_pk", "hrg_order_id", "order_datetime", "hd_cust_fk"))
+    return (left_join_spreading_nulls(t, h, "delivery_order_id", "delivery_order_pk", spread="pi_trans_pk")
+            .select("pi_trans_pk", "delivery_order_id", "order_datetime", "hd_cust_fk"))
 
 
 def online_orders(src: Sources, p: RunParams) -> DataFrame:
@@ -56,11 +56,11 @@ def online_orders(src: Sources, p: RunParams) -> DataFrame:
     transactions holding only the other key (NULL here) are spread by their
     own key instead of piling into one partition.
     """
-    t = _window_trans(src, p).where(F.col("pi_res_fk").isNotNull() | F.col("hrg_order_id").isNotNull())
+    t = _window_trans(src, p).where(F.col("pi_res_fk").isNotNull() | F.col("delivery_order_id").isNotNull())
     r, h = registered_reservations(src), registered_deliveries(src)
     w = src["cust_identifier"].select("pi_cust_identifier_pk", "pi_account_id_fk")
     j = left_join_spreading_nulls(t, r, "pi_res_fk", "pi_res_pk", spread="pi_trans_pk")
-    j = (left_join_spreading_nulls(j, h, "hrg_order_id", "pi_hd_order_pk", spread="pi_trans_pk")
+    j = (left_join_spreading_nulls(j, h, "delivery_order_id", "delivery_order_pk", spread="pi_trans_pk")
          .select("pi_trans_pk",
                  F.to_date(F.coalesce("res_datetime", "order_datetime")).alias("order_date"),
                  F.coalesce("res_cust_fk", "hd_cust_fk").alias("_ident")))
@@ -100,19 +100,21 @@ def links_valid_per_day(orders: DataFrame, history: DataFrame, grace_days: int)
             .select("account_id", F.col("day").alias("order_date"), "n_links"))
 
 
-def _link_rows(src: Sources, p: RunParams) -> DataFrame:
-    """(transaction, order date, valid links) per identifier match."""
-    orders = online_orders(src, p)
+def _link_rows(src: Sources, p: RunParams, orders: DataFrame | None = None) -> DataFrame:
+    """(transaction, order date, valid links) per identifier match.  The
+    orders are read twice (for the days the sweep is asked about, and to
+    join its answers), so a caller with a staged copy passes it."""
+    orders = online_orders(src, p) if orders is None else orders
     per_day = links_valid_per_day(orders, src["card_history"], p.grace_days)
     return orders.join(per_day, ["account_id", "order_date"], "inner")
 
 
-def online_links(src: Sources, p: RunParams) -> DataFrame:
+def online_links(src: Sources, p: RunParams, orders: DataFrame | None = None) -> DataFrame:
     """Per transaction: its order date and how many (identifier, card-history)
     rows satisfy the link validity rule -- the row multiplicity the online
     loyalty subquery has for that transaction.  Only transactions with at
     least one valid link are returned."""
-    return (_link_rows(src, p).groupBy("pi_trans_pk", "order_date")
+    return (_link_rows(src, p, orders).groupBy("pi_trans_pk", "order_date")
             .agg(F.sum("n_links").alias("n_links")))
 
 
@@ -123,7 +125,8 @@ def online_link_rows(links: DataFrame) -> DataFrame:
             .drop("_one"))
 
 
-def transaction_flags(src: Sources, p: RunParams, dedup_online: bool = False) -> DataFrame:
+def transaction_flags(src: Sources, p: RunParams, dedup_online: bool = False,
+                      orders: DataFrame | None = None) -> DataFrame:
     """Per transaction: in-store loyalty and redemption flags, online flag and
     the multiplicity its line items get from the (non-distinct) online join.
 
@@ -138,15 +141,18 @@ def transaction_flags(src: Sources, p: RunParams, dedup_online: bool = False) ->
                       F.when(t == fv.TENDER_LOYALTY_INSTORE, 1).otherwise(0).alias("loyalty_instore"),
                       F.when(t == fv.TENDER_REDEMPTION_INSTORE, 1).otherwise(0).alias("instore_red"),
                       F.lit(0).cast("bigint").alias("n_links")))
-    links = _link_rows(src, p).select(F.col("pi_trans_pk").alias("pi_trans_fk"),
-                                      F.lit(0).alias("loyalty_instore"), F.lit(0).alias("instore_red"),
-                                      F.col("n_links").cast("bigint").alias("n_links"))
+    rows = _link_rows(src, p, orders)
+    if dedup_online:  # the distinct subquery has a row per order date of a transaction
+        rows = rows.select("pi_trans_pk", "order_date", F.lit(1).alias("n_links")).distinct()
+    links = rows.select(F.col("pi_trans_pk").alias("pi_trans_fk"),
+                        F.lit(0).alias("loyalty_instore"), F.lit(0).alias("instore_red"),
+                        F.col("n_links").cast("bigint").alias("n_links"))
     per_trans = (tender.unionByName(links).groupBy("pi_trans_fk")
                  .agg(F.max("loyalty_instore").alias("loyalty_instore"),
                       F.max("instore_red").alias("instore_red"),
                       F.sum("n_links").alias("n_links")))
     n = F.col("n_links")
-    mult = F.lit(1) if dedup_online else F.greatest(n, F.lit(1))
+    mult = F.greatest(n, F.lit(1))
     return per_trans.select(
         "pi_trans_fk", "loyalty_instore", F.when(n > 0, 1).otherwise(0).alias("loyalty_online"),
         "instore_red", mult.cast("bigint").alias("multiplicity"))

@@ -18,7 +18,7 @@ HIERARCHY_COLUMNS = (
     "pi_website_category_l3_fk", "pi_website_category_l3_desc",
     "pi_website_category_l2_fk", "pi_website_category_l2_desc",
     "pi_website_category_l1_fk", "pi_website_category_l1_desc",
-    "pi_cmi_category_fk", "pi_cmi_category_desc", "website_category_url",
+    "pi_buying_category_fk", "pi_buying_category_desc", "website_category_url",
 )
 
 
@@ -31,7 +31,7 @@ Bounds = dict[str, bool]
 def star_dimensions(src: Sources, p: RunParams) -> dict[str, DataFrame]:
     """Dimension sides of the product hierarchy and the line-item star."""
     return {
-        "raco_subsection": src["raco_subsection"],
+        "range_subsection": src["range_subsection"],
         "web_category_l4": src["web_category_l4"],
         "date_dim": src["date_dim"].select("date_key").where(in_range("date_key", p.start_date, p.end_date)),
         "channel": src["channel"],
@@ -41,7 +41,7 @@ def star_dimensions(src: Sources, p: RunParams) -> dict[str, DataFrame]:
 
 
 STAR_KEYS = {
-    "raco_subsection": "pi_raco_subsection_pk",
+    "range_subsection": "pi_range_subsection_pk",
     "web_category_l4": "pi_website_category_l4_pk",
     "product": "pi_product_pk",
     "date_dim": "date_key",
@@ -63,7 +63,8 @@ def star_bounds(src: Sources, p: RunParams) -> Bounds:
     stats = key_stats({name: (df, STAR_KEYS[name]) for name, df in sides.items()})
     bounds = {name: n <= DIM_BROADCAST_ROWS for name, (n, _) in stats.items()}
     unique = {name: n == keys for name, (n, keys) in stats.items()}
-    if bounds["product"] and all(unique[n] for n in ("product", "raco_subsection", "web_category_l4")):
+    bounds["unique_keys"] = all(unique[n] for n in ("product", "range_subsection", "web_category_l4"))
+    if bounds["product"] and all(unique[n] for n in ("product", "range_subsection", "web_category_l4")):
         bounds["product_gate"] = True
     else:
         gate = product_gate(src, product_hierarchy(src, bounds), p, bounds)
@@ -72,19 +73,19 @@ def star_bounds(src: Sources, p: RunParams) -> Bounds:
 
 
 def product_hierarchy(src: Sources, bounds: Bounds | None = None) -> DataFrame:
-    """Product -> (left) raco subsection -> (inner) website category l4,
+    """Product -> (left) subsection -> (inner) website category l4,
     dropping the excluded series but keeping products whose series is NULL
     (unmatched subsection included, since the outer join yields NULL)."""
     if bounds is None:
-        bounds = bounded_sizes({"raco_subsection": src["raco_subsection"],
+        bounds = bounded_sizes({"range_subsection": src["range_subsection"],
                                 "web_category_l4": src["web_category_l4"]})
     product = src["product"]
-    raco = broadcast_if(src["raco_subsection"], bounds.get("raco_subsection", False))
+    subsection = broadcast_if(src["range_subsection"], bounds.get("range_subsection", False))
     l4 = broadcast_if(src["web_category_l4"], bounds.get("web_category_l4", False))
     return (product
-            .join(raco, product.pi_raco_subsection_fk == raco.pi_raco_subsection_pk, "left")
+            .join(subsection, product.pi_range_subsection_fk == subsection.pi_range_subsection_pk, "left")
             .join(l4, product.pi_website_category_l4_fk == l4.pi_website_category_l4_pk, "inner")
-            .where(ne_or_null(raco.pi_raco_series_fk, fv.EXCLUDED_RACO_SERIES))
+            .where(ne_or_null(subsection.pi_range_series_fk, fv.EXCLUDED_RANGE_SERIES))
             .select(*HIERARCHY_COLUMNS))
 
 
@@ -119,20 +120,33 @@ def product_gate(src: Sources, hierarchy: DataFrame, p: RunParams, bounds: Bound
     """Dimension side of the line-item star, resolved once at product grain.
 
     Hierarchy rows joined again to the product (inner on its key) and to the
-    raco subsection through the product's own subsection key (inner: a
+    subsection through the product's own subsection key (inner: a
     product with no subsection row drops here although the hierarchy kept
     it), then the category filter.  Every predicate of the star that only
     touches dimension columns is applied here, before the fact join.
     """
+    if bounds.get("unique_keys"):
+        # the joins below meet each product's own rows again, and the category list holds every level-3
+        # key of the hierarchy: one pass over the product side, with the subsection join made inner
+        keep = F.col("pi_website_category_l3_fk") > 0
+        if p.l2_categories:
+            keep = keep | F.col("pi_website_category_l2_fk").isin(*p.l2_categories)
+        subsection = broadcast_if(src["range_subsection"], bounds.get("range_subsection", False))
+        l4 = broadcast_if(src["web_category_l4"], bounds.get("web_category_l4", False))
+        once = (src["product"].join(subsection, F.col("pi_range_subsection_fk") == F.col("pi_range_subsection_pk"))
+                .where(ne_or_null(F.col("pi_range_series_fk"), fv.EXCLUDED_RANGE_SERIES))
+                .join(l4, F.col("pi_website_category_l4_fk") == F.col("pi_website_category_l4_pk")).where(keep))
+        return once.select("pi_product_pk", "pi_website_category_l1_desc", "pi_website_category_l3_fk",
+                           category_index("pi_website_category_l1_desc").alias("spend_category"))
     product = src["product"].select(F.col("pi_product_pk").alias("_p_pk"),
-                                    F.col("pi_raco_subsection_fk").alias("_p_raco"))
-    raco = broadcast_if(src["raco_subsection"].select("pi_raco_subsection_pk"),
-                        bounds.get("raco_subsection", False))
+                                    F.col("pi_range_subsection_fk").alias("_p_range"))
+    subsection = broadcast_if(src["range_subsection"].select("pi_range_subsection_pk"),
+                        bounds.get("range_subsection", False))
     cats = category_list(hierarchy)
     gate = (hierarchy.select("pi_product_pk", "pi_website_category_l1_desc",
                              "pi_website_category_l3_fk", "pi_website_category_l2_fk")
             .join(product, F.col("pi_product_pk") == F.col("_p_pk"), "inner")
-            .join(raco, F.col("_p_raco") == raco.pi_raco_subsection_pk, "inner"))
+            .join(subsection, F.col("_p_range") == subsection.pi_range_subsection_pk, "inner"))
     gate = category_filter(gate, cats, p.l2_categories, bounds.get("web_category_l4", False))
     return gate.select("pi_product_pk", "pi_website_category_l1_desc", "pi_website_category_l3_fk",
                        category_index("pi_website_category_l1_desc").alias("spend_category"))

@@ -85,7 +85,9 @@ def category_spend(lines: DataFrame, p: RunParams, dedup: bool = False) -> DataF
     combos = [F.sum(F.when((flags[0] == a) & (flags[1] == b) & (flags[2] == c), _weighted())
                     .otherwise(F.lit(0))).alias(f"_combo{i}")
               for i, (a, b, c) in enumerate(ELIGIBLE_COMBINATIONS)]
-    per_entity = lines.groupBy("pi_entity_fk").agg(
+    # the rules join lines to eligible entities on the entity, so a line without one never counts
+    known = lines.where(F.col("pi_entity_fk").isNotNull())
+    per_entity = known.groupBy("pi_entity_fk").agg(
         *[F.sum(F.when(cat == i, F.col("cents")).otherwise(F.lit(0))).alias(c)
           for i, c in enumerate(fv.SPEND_COLUMNS)],
         F.sum("cents").alias("total_spend"),

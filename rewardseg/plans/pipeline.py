@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, functions as F
 from rewardseg import fixed_values as fv
 from rewardseg.operators import linking, loyalty, products, profile, redemptions, spend
 from rewardseg.params import RunParams
-from rewardseg.session import ensure_checkpoint_dir
-from rewardseg.sources import Sources, publish, stage, write_marker
+from rewardseg.sources import Sources, publish, write_marker
+from rewardseg.sources.sinks import read_run
+from rewardseg.sources.staging import Staging
 
 SNAPSHOT_COLUMNS = (
     "pi_entity_fk", "account_number", "segment", "age_band", "gender", "region",
@@ -26,18 +27,26 @@ SNAPSHOT_COLUMNS = (
 
 
 class Run:
-    """Lazily built steps of one run.  ``staging="checkpoint"`` writes the
-    entity-grain category spend -- the end of the line-item stream and the
-    input of every later step -- to the shared checkpoint folder, so a lost
-    executor later in the run does not send it back to the fact scan."""
+    """Lazily built steps of one run.  ``staging="parquet"`` writes what
+    several later steps read (online orders, entity-grain category spend, the
+    account side of the snapshot) to the run's folder on shared storage, so
+    that it is made once and a lost executor does not send the run back to
+    the fact scan; ``close()`` removes the folder."""
 
     def __init__(self, src: Sources, params: RunParams, staging: str = "view"):
+        if staging not in ("view", "parquet"):
+            raise ValueError(f"unknown staging {staging!r}")
         self.src = src
         self.p = redemptions.resolve_params(src, params)
-        self.staging = staging
         self.src_session = src["date_dim"].sparkSession
-        if staging == "checkpoint":
-            ensure_checkpoint_dir(self.src_session)
+        self.staging = Staging(self.src_session)
+        self._staged = staging == "parquet"
+
+    def _stage(self, df: DataFrame, name: str) -> DataFrame:
+        return self.staging.write(df, name) if self._staged else df
+
+    def close(self) -> None:
+        self.staging.remove()
 
     # Part I -- account grain
     @cached_property
@@ -78,8 +87,12 @@ class Run:
     def items(self) -> DataFrame:
         return products.item_base(self.src, self.p, self.hierarchy, self.bounds)
 
+    @cached_property
+    def online_orders(self) -> DataFrame:
+        return self._stage(loyalty.online_orders(self.src, self.p), "online-orders")
+
     def flags(self, dedup: bool = False) -> DataFrame:
-        return loyalty.transaction_flags(self.src, self.p, dedup_online=dedup)
+        return loyalty.transaction_flags(self.src, self.p, dedup_online=dedup, orders=self.online_orders)
 
     def lines(self, dedup: bool = False) -> DataFrame:
         """Line items with their transaction flags (the one spend stream)."""
@@ -94,7 +107,7 @@ class Run:
 
     @cached_property
     def _category_spend(self) -> DataFrame:
-        return stage(spend.category_spend(self.lines(), self.p), how=self.staging)
+        return self._stage(spend.category_spend(self.lines(), self.p), "category-spend")
 
     def category_spend(self, dedup: bool = False) -> DataFrame:
         """Read by the profile, bands, links and snapshot: staged once."""
@@ -127,27 +140,41 @@ class Run:
         accounts = linking.entity_accounts(self.entity_cards, self.src["full_card"])
         return linking.link_account(self.profiled, accounts)
 
+    @cached_property
+    def account_side(self) -> DataFrame:
+        return self._stage(account_side(self.segments, self.src["data_profile"]), "accounts")
+
     @cached_property
     def snapshot(self) -> DataFrame:
-        return snapshot(self.profile_base, self.link_account, self.src["data_profile"], self.p)
+        return snapshot(self.account_side, self.link_account, self.p)
+
+
+def account_side(segments: DataFrame, data_profile: DataFrame) -> DataFrame:
+    """Per account: segment, every distinct demographics row and points
+    balance (all their pairs, as joining the profile twice gives)."""
+    points = F.struct(F.col("total_points").alias("points_balance"))
+    per_account = data_profile.groupBy("account_number").agg(
+        F.collect_set(F.struct("age_band", "gender", "region", "acorn_category")).alias("demographics"),
+        F.collect_set(points).alias("points"))
+    return (segments.join(per_account, "account_number")
+            .select("account_number", "segment", "points", F.explode("demographics").alias("d"))
+            .select("account_number", "segment", "d.*", F.explode("points").alias("p"))
+            .select("account_number", "segment", "age_band", "gender", "region", "acorn_category", "p.points_balance"))
 
 
-def snapshot(base: DataFrame, linked: DataFrame, data_profile: DataFrame, p: RunParams) -> DataFrame:
-    """Account segment x linked retail profile (inner on account), points
-    balance (left), stamped with the run date.
+def snapshot(accounts: DataFrame, linked: DataFrame, p: RunParams) -> DataFrame:
+    """The account side x the linked retail profile, stamped with the run
+    date: one join on the account, whose hot keys adaptive execution splits
+    when both sides are shuffled for it (the account side is staged).
 
-    The points side is de-duplicated before the join; with the other two
-    sides already distinct the joined rows are distinct, so the DISTINCT of
-    the rules costs no extra shuffle.
+    Both sides are distinct, so the joined rows are distinct and the DISTINCT
+    of the rules costs no extra shuffle.
     """
-    points = (data_profile.select("account_number", F.col("total_points").alias("points_balance"))
-              .distinct())
     spent = linked.where(F.col("total_spend") > 0)
-    return (base.join(spent, "account_number", "inner")
-            .join(points, "account_number", "left")
-            .select("pi_entity_fk", "account_number", "segment", "age_band", "gender", "region",
-                    "acorn_category", "current_value_score", *fv.BAND_COLUMNS, "total_spend",
-                    "points_balance", F.lit(p.end_date).alias("update_date")))
+    return accounts.join(spent, "account_number", "inner").select(
+        "pi_entity_fk", "account_number", "segment", "age_band", "gender", "region",
+        "acorn_category", "current_value_score", *fv.BAND_COLUMNS, "total_spend",
+        "points_balance", F.lit(p.end_date).alias("update_date"))
 
 
 def run_segmentation(src: Sources, params: RunParams, staging: str = "view") -> DataFrame:
@@ -155,9 +182,13 @@ def run_segmentation(src: Sources, params: RunParams, staging: str = "view") ->
 
 
 def publish_run(src: Sources, params: RunParams, snapshot_target: str, marker_target: str,
-                mode: str = "append", staging: str = "checkpoint") -> DataFrame:
-    """The scheduled job: overwrite the week marker, append the snapshot."""
+                mode: str = "append", staging: str = "parquet") -> DataFrame:
+    """The scheduled job: overwrite the week marker, publish the snapshot,
+    remove what was staged.  Returns the published rows of this run."""
     run = Run(src, params, staging=staging)
-    write_marker(run.week_marker, marker_target)
-    publish(run.snapshot, snapshot_target, mode=mode)
-    return run.snapshot
+    try:
+        write_marker(run.week_marker, marker_target)
+        publish(run.snapshot, snapshot_target, mode=mode, run_date=run.p.end_date)
+    finally:
+        run.close()
+    return read_run(run.src_session, snapshot_target, run.p.end_date)

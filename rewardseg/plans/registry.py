@@ -17,7 +17,7 @@ from rewardseg.operators import bands, linking, loyalty, products, profile, rede
 from rewardseg.operators.joins import broadcast_if
 from rewardseg.params import TEST_PARAMS, RunParams
 from rewardseg.plans.pipeline import Run
-from rewardseg.sources import testdata_sources
+from rewardseg.sources import publish, testdata_sources
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,36 +27,14 @@ NTILE_N = 5
 LINK_MAX_RANK = 1
 
 
-def make_run(spark: SparkSession, sf_dir: str, params: RunParams = TEST_PARAMS,
-             staging: str = "checkpoint") -> Run:
-    """The run over the test tables, staged as the scheduled job stages it
-    (entity-grain category spend checkpointed in the shared folder)."""
+def make_run(spark: SparkSession, sf_dir: str, params: RunParams = TEST_PARAMS, staging: str = "view") -> Run:
     return Run(testdata_sources(spark, sf_dir, params), params, staging=staging)
 
 
-# Every registered query is a view of the monthly run over one dataset, so
-# the run (source reads, window start, dimension size checks, analysed
-# plans) is built once per (session, dataset, parameters) and shared, as the
-# scheduled job computes all its outputs from one run.
-_RUNS: dict[tuple, Run] = {}
-
-
-def shared_run(spark: SparkSession, sf_dir: str, params: RunParams = TEST_PARAMS) -> Run:
-    key = (id(spark), id(spark.sparkContext), sf_dir, params)
-    run = _RUNS.get(key)
-    if run is None or run.src_session is not spark:
-        run = _RUNS[key] = make_run(spark, sf_dir, params)
-    return run
-
-
-def reset_runs() -> None:
-    """Forget the shared runs (the next query builds and stages afresh)."""
-    _RUNS.clear()
-
-
-def _run(fn: Callable[[Run], DataFrame]) -> Query:
+def _run(fn: Callable[[Run], DataFrame], staging: str = "view") -> Query:
+    """A query computes its own result: every call builds a run of its own."""
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(shared_run(spark, sf_dir))
+        return fn(make_run(spark, sf_dir, staging=staging))
     query.__doc__ = fn.__doc__
     return query
 
@@ -100,29 +78,46 @@ def _q_online_flag(dedup: bool) -> Callable[[Run], DataFrame]:
     """Line items of each transaction rolled up, with the online flag and
     the spend the (non-distinct or distinct) online join gives them."""
     def q(r: Run) -> DataFrame:
-        links = loyalty.online_links(r.src, r.p).select(F.col("pi_trans_pk").alias("pi_trans_fk"), "n_links")
         per_trans = (r.items.groupBy("pi_entity_fk", "pi_trans_fk")
                      .agg(F.sum("line_total").alias("spend")))
-        j = per_trans.join(links, "pi_trans_fk", "left")
-        mult = F.lit(1) if dedup else F.coalesce(F.col("n_links"), F.lit(1))
-        return j.select("pi_entity_fk", "pi_trans_fk",
-                        F.when(F.col("n_links").isNotNull(), 1).otherwise(0).alias("loyalty_online"),
-                        (F.col("spend") * mult.cast("int")).cast("decimal(18,2)").alias("spend"))
+        flags = r.flags(dedup).select("pi_trans_fk", "loyalty_online", "multiplicity")
+        j = per_trans.join(flags, "pi_trans_fk", "left")
+        mult = F.coalesce("multiplicity", F.lit(1)).cast("int")
+        return j.select("pi_entity_fk", "pi_trans_fk", F.coalesce("loyalty_online", F.lit(0)).alias("loyalty_online"),
+                        (F.col("spend") * mult).cast("decimal(18,2)").alias("spend"))
     return q
 
 
 def _q_online_loyalty(r: Run) -> DataFrame:
-    return loyalty.online_links(r.src, r.p).select("pi_trans_pk", "order_date",
+    return loyalty.online_links(r.src, r.p, r.online_orders).select("pi_trans_pk", "order_date",
                                                    F.col("n_links").cast("bigint").alias("n_links"))
 
 
 def _q_online_rows(r: Run) -> DataFrame:
-    return loyalty.online_link_rows(loyalty.online_links(r.src, r.p))
+    return loyalty.online_link_rows(loyalty.online_links(r.src, r.p, r.online_orders))
 
 
 def _q_ntile(r: Run) -> DataFrame:
     return bands.ntile_bands(bands.spend_long(r.category_spend()), n=NTILE_N,
-                             max_groups=len(fv.CATEGORY_NAMES))
+                             max_groups=len(fv.CATEGORY_NAMES), staging=r.staging)
+
+
+def _q_ntile_spenders(r: Run) -> DataFrame:
+    """Tiles of positive spend, zero spend as band 1 (an inference)."""
+    return bands.positive_ntile_bands(bands.spend_long(r.category_spend()), n=NTILE_N,
+                                      max_groups=len(fv.CATEGORY_NAMES), staging=r.staging)
+
+
+def _q_published(r: Run) -> DataFrame:
+    """What ``replace_run`` leaves after two publishes of the same month
+    beside an older one: the snapshot once per month."""
+    target = f"{r.staging.path}/published"
+    rows, older = r.snapshot, r.p.as_of.replace(year=r.p.as_of.year - 1)
+    publish(rows.withColumn("update_date", F.lit(older)), target)
+    for _ in range(2):
+        publish(rows, target, mode="replace_run", run_date=r.p.end_date)
+    return r.src_session.read.parquet(target).groupBy("update_date").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("total_spend").cast("decimal(18,2)").alias("total_spend"))
 
 
 def _q_segments_rolling(r: Run) -> DataFrame:
@@ -175,12 +170,15 @@ QUERIES: dict[str, Query] = {
     "band_technology_fixed": _run(lambda r: profile.technology_band_fixed(r.category_spend())),
     "retail_profile": _run(lambda r: r.retail_profile),
     "profile_duplicates": _run(lambda r: profile.profile_duplicates(r.retail_profile)),
-    "ntile_bands": _run(_q_ntile),
+    "ntile_bands": _run(_q_ntile, "parquet"),
+    "ntile_bands_spenders": _run(_q_ntile_spenders, "parquet"),
     # Part III -- linking and snapshot
     "link_loyalty": _run(lambda r: r.link_loyalty),
     "link_account": _run(lambda r: r.link_account),
     "link_cardinality": _run(lambda r: linking.link_cardinality(r.link_account)),
     "link_rank": _run(lambda r: linking.link_rank(r.link_account, LINK_MAX_RANK)),
     "account_collapse": _run(lambda r: linking.account_collapse(r.link_account)),
-    "snapshot": _run(lambda r: r.snapshot),
+    "link_share": _run(lambda r: linking.link_share(r.link_account)),
+    "snapshot": _run(lambda r: r.snapshot, "parquet"),
+    "published_months": _run(_q_published, "parquet"),
 }

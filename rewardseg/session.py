@@ -12,6 +12,8 @@ from pyspark.sql import SparkSession
 # because the job checked its row bound (operators.joins) or because AQE
 # measured its materialised shuffle output below the adaptive threshold.
 SESSION_CONF = {
+    "spark.sql.ansi.enabled": "true",  # sums of cents raise on overflow
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -69,7 +71,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if sc.master.startswith("local-") or not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or object storage)")
         configured = tempfile.mkdtemp(prefix="rewardseg-ckpt-")
     sc.setCheckpointDir(configured)

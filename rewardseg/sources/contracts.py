@@ -30,14 +30,14 @@ CONTRACTS: dict[str, T.StructType] = {
                             ("region", S), ("acorn_category", S), ("total_points", L)),
     # product dimension
     "product": _schema(("pi_product_pk", L), ("is_live", I), ("short_desc", S),
-                       ("pi_raco_subsection_fk", I), ("pi_website_category_l4_fk", L)),
-    "raco_subsection": _schema(("pi_raco_subsection_pk", I), ("pi_raco_series_fk", I)),
+                       ("pi_range_subsection_fk", I), ("pi_website_category_l4_fk", L)),
+    "range_subsection": _schema(("pi_range_subsection_pk", I), ("pi_range_series_fk", I)),
     "web_category_l4": _schema(
         ("pi_website_category_l4_pk", L), ("pi_website_category_l4_desc", S),
         ("pi_website_category_l3_fk", L), ("pi_website_category_l3_desc", S),
         ("pi_website_category_l2_fk", L), ("pi_website_category_l2_desc", S),
         ("pi_website_category_l1_fk", L), ("pi_website_category_l1_desc", S),
-        ("pi_cmi_category_fk", L), ("pi_cmi_category_desc", S),
+        ("pi_buying_category_fk", L), ("pi_buying_category_desc", S),
         ("website_category_url", S)),
     # retail transactions, entity grain
     "trans_item": _schema(("pi_entity_fk", L), ("pi_trans_fk", L), ("pi_product_fk", L),
@@ -47,10 +47,10 @@ CONTRACTS: dict[str, T.StructType] = {
     "trans_type": _schema(("pi_trans_type_pk", I), ("pi_trans_type_desc", S)),
     "trans_tender": _schema(("pi_trans_fk", L), ("pi_tender_type_fk", I)),
     "trans": _schema(("pi_trans_pk", L), ("trans_date", D), ("pi_res_fk", L),
-                     ("hrg_order_id", L)),
+                     ("delivery_order_id", L)),
     "reservation": _schema(("pi_res_pk", L), ("res_datetime", TS), ("is_registered_user", I),
                            ("is_prepaid", I), ("pi_cust_identifier_fk", L)),
-    "home_delivery": _schema(("pi_hd_order_pk", L), ("order_datetime", TS),
+    "home_delivery": _schema(("delivery_order_pk", L), ("order_datetime", TS),
                              ("is_registered_user", I), ("pi_cust_identifier_fk", L)),
     # identity chain
     "cust_identifier": _schema(("pi_cust_identifier_pk", L), ("pi_entity_fk", L),

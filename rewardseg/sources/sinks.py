@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rewardseg.session import ensure_checkpoint_dir
 
@@ -21,33 +23,37 @@ def write_marker(df: DataFrame, target: str) -> None:
         writer.saveAsTable(target)
 
 
-def publish(df: DataFrame, target: str, mode: str = "append",
-            partition_col: str = "update_date") -> None:
+def publish(df: DataFrame, target: str, mode: str = "append", partition_col: str = "update_date",
+            run_date: dt.date | None = None) -> None:
     """Write the monthly snapshot partitioned by its run date.
 
     ``mode="append"`` adds the run's rows (a re-run of the same month
-    duplicates them).  ``mode="replace_run"`` overwrites only the partitions
-    present in ``df`` (dynamic partition overwrite), so a retried run
-    replaces its own month and keeps every other month.
+    duplicates them).  ``mode="replace_run"`` replaces the one partition of
+    ``run_date``, with nothing if the run has no rows, and keeps every other
+    month; it works the same for paths and catalog tables and changes no
+    session setting.
     """
     if mode not in ("append", "replace_run"):
         raise ValueError(f"unknown publish mode {mode!r}")
+    is_path = _is_path(target)
     spark = df.sparkSession
-    key = "spark.sql.sources.partitionOverwriteMode"
-    previous = spark.conf.get(key)
-    writer = df.write.partitionBy(partition_col)
-    try:
-        if mode == "replace_run":
-            spark.conf.set(key, "dynamic")
-            writer = writer.mode("overwrite")
-        else:
-            writer = writer.mode("append")
-        if _is_path(target):
-            writer.parquet(target)
-        else:
-            writer.saveAsTable(target)
-    finally:
-        spark.conf.set(key, previous)
+    if mode == "append" or not (is_path or spark.catalog.tableExists(target)):
+        writer = df.write.partitionBy(partition_col).mode("append")
+        return writer.parquet(target) if is_path else writer.saveAsTable(target)
+    if run_date is None:
+        raise ValueError("replace_run needs the run date whose rows it replaces")
+    own = df.where(F.col(partition_col) == F.lit(run_date))
+    if is_path:
+        return own.drop(partition_col).write.mode("overwrite").parquet(f"{target}/{partition_col}={run_date}")
+    columns = [c for c in spark.table(target).columns if c != partition_col]
+    spark.sql(f"INSERT OVERWRITE TABLE {target} PARTITION ({partition_col} = DATE'{run_date}') "
+              f"SELECT {', '.join(f'`{c}`' for c in columns)} FROM {{rows}}", rows=own)
+
+
+def read_run(spark: SparkSession, target: str, run_date: dt.date, partition_col: str = "update_date") -> DataFrame:
+    """The published rows of one run date."""
+    table = spark.read.parquet(target) if _is_path(target) else spark.table(target)
+    return table.where(F.col(partition_col) == F.lit(run_date))
 
 
 def stage(df: DataFrame, name: str | None = None, how: str = "view") -> DataFrame:

@@ -92,15 +92,15 @@ def testdata_sources(spark: SparkSession, sf_dir: str, params: RunParams) -> Sou
         p = t("part")
         return p.select(p.p_partkey.alias("pi_product_pk"), F.lit(1).alias("is_live"),
                         p.p_name.alias("short_desc"),
-                        p.p_size.alias("pi_raco_subsection_fk"),
+                        p.p_size.alias("pi_range_subsection_fk"),
                         (p.p_partkey % 40).alias("pi_website_category_l4_fk"))
 
-    def raco_subsection():
+    def range_subsection():
         s = F.col("p_size")
         return (t("part").select("p_size").distinct().where(s != 47)
-                .select(s.alias("pi_raco_subsection_pk"),
+                .select(s.alias("pi_range_subsection_pk"),
                         F.when(s % 10 == 0, 135).when(s % 10 == 1, F.lit(None))
-                        .otherwise(s).cast("int").alias("pi_raco_series_fk")))
+                        .otherwise(s).cast("int").alias("pi_range_series_fk")))
 
     def web_category_l4():
         k = F.col("k")
@@ -114,16 +114,19 @@ def testdata_sources(spark: SparkSession, sf_dir: str, params: RunParams) -> Sou
                         txt("L2 ", k % 5).alias("pi_website_category_l2_desc"),
                         (k % 13).alias("pi_website_category_l1_fk"),
                         _label(k % 13, L1_LABELS).alias("pi_website_category_l1_desc"),
-                        (k % 7).alias("pi_cmi_category_fk"),
-                        txt("CMI ", k % 7).alias("pi_cmi_category_desc"),
+                        (k % 7).alias("pi_buying_category_fk"),
+                        txt("CMI ", k % 7).alias("pi_buying_category_desc"),
                         txt("/browse/", k).alias("website_category_url")))
 
     def trans_item():
         li, o = t("lineitem"), t("orders")
         sign = F.when((li.l_returnflag == "R") & (li.l_linenumber % 5 == 0), -1).otherwise(1)
         money = (sign * F.floor(li.l_extendedprice / 10).cast("int") * F.lit(0.01).cast("decimal(2,2)"))
+        # some lines of loyalty transactions come once more without an entity
+        again = (li.l_linenumber == 1) & (li.l_suppkey % 4 == 0) & (li.l_orderkey % 50 == 3)
+        entity = F.explode(F.when(again, F.array(o.o_custkey, F.lit(None).cast("bigint"))).otherwise(F.array(o.o_custkey)))
         return (li.join(o, li.l_orderkey == o.o_orderkey)
-                .select(o.o_custkey.alias("pi_entity_fk"), li.l_orderkey.alias("pi_trans_fk"),
+                .select(entity.alias("pi_entity_fk"), li.l_orderkey.alias("pi_trans_fk"),
                         li.l_partkey.alias("pi_product_fk"),
                         o.o_orderdate.cast("date").alias("trans_date"),
                         (li.l_linenumber % 3).alias("pi_channel_fk"),
@@ -150,12 +153,15 @@ def testdata_sources(spark: SparkSession, sf_dir: str, params: RunParams) -> Sou
         o = t("orders")
         return o.select(o.o_orderkey.alias("pi_trans_pk"), o.o_orderdate.cast("date").alias("trans_date"),
                         F.when(o.o_orderkey % 3 == 0, o.o_orderkey).alias("pi_res_fk"),
-                        F.when(o.o_orderkey % 3 == 1, o.o_orderkey).alias("hrg_order_id"))
+                        F.when(o.o_orderkey % 3 == 1, o.o_orderkey).alias("delivery_order_id"))
 
     def reservation():
         o = t("orders")
+        # some reservations are there twice, a day apart
+        dates = F.when(o.o_orderkey % 60 == 0, F.array(o.o_orderdate, o.o_orderdate + F.expr("interval 1 day"))).otherwise(
+            F.array(o.o_orderdate))
         return o.where(o.o_orderkey % 3 == 0).select(
-            o.o_orderkey.alias("pi_res_pk"), o.o_orderdate.alias("res_datetime"),
+            o.o_orderkey.alias("pi_res_pk"), F.explode(dates).alias("res_datetime"),
             F.when(o.o_orderpriority == "1-URGENT", 0).otherwise(1).alias("is_registered_user"),
             F.when(o.o_orderstatus == "P", 0).otherwise(1).alias("is_prepaid"),
             o.o_custkey.alias("pi_cust_identifier_fk"))
@@ -163,7 +169,7 @@ def testdata_sources(spark: SparkSession, sf_dir: str, params: RunParams) -> Sou
     def home_delivery():
         o = t("orders")
         return o.where(o.o_orderkey % 3 == 1).select(
-            o.o_orderkey.alias("pi_hd_order_pk"), o.o_orderdate.alias("order_datetime"),
+            o.o_orderkey.alias("delivery_order_pk"), o.o_orderdate.alias("order_datetime"),
             F.when(o.o_orderstatus == "F", 1).otherwise(0).alias("is_registered_user"),
             o.o_custkey.alias("pi_cust_identifier_fk"))
 
@@ -226,7 +232,7 @@ def testdata_sources(spark: SparkSession, sf_dir: str, params: RunParams) -> Sou
 
     return Sources({
         "date_dim": date_dim, "burn_fact": burn_fact, "data_profile": data_profile,
-        "product": product, "raco_subsection": raco_subsection,
+        "product": product, "range_subsection": range_subsection,
         "web_category_l4": web_category_l4, "trans_item": trans_item, "channel": channel,
         "trans_type": trans_type, "trans_tender": trans_tender, "trans": trans,
         "reservation": reservation, "home_delivery": home_delivery,

@@ -22,5 +22,7 @@ def spark():
 @pytest.fixture(scope="session")
 def run_check(spark):
     """The run over the sf0.01 tables (FIXTURES.md goldens)."""
-    from rewardseg.plans.registry import shared_run
-    return shared_run(spark, SF_CHECK)
+    from rewardseg.plans.registry import make_run
+    run = make_run(spark, SF_CHECK, staging="parquet")
+    yield run
+    run.close()

@@ -3,8 +3,9 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from rewardseg.operators.bands import ntile_bands, ntile_bands_reference
+from rewardseg.operators.bands import ntile_bands, ntile_bands_reference, positive_ntile_bands
 
 
 def _long(spark, n_rows, seed):
@@ -33,3 +34,31 @@ def test_fewer_rows_than_tiles(spark):
     long = spark.createDataFrame([(1, "g", 5), (2, "g", 3), (3, "h", 1)],
                                  "pi_entity_fk long, category string, spend long")
     assert _tiles(ntile_bands(long, n=5, partitions=4)) == _tiles(ntile_bands_reference(long, n=5))
+
+
+@pytest.mark.parametrize("setting", [{}, {"spark.sql.exchange.reuse": "false"}, {"spark.sql.adaptive.enabled": "false"}])
+def test_tiles_do_not_depend_on_exchange_reuse(spark, setting):
+    """Over a million rows with ties, an extra column, whatever the planner reuses."""
+    rows = spark.range(1_200_000).select(
+        F.col("id").alias("pi_entity_fk"), F.concat(F.lit("c"), (F.col("id") % 3).cast("string")).alias("category"),
+        F.when(F.col("id") % 5 < 2, 0).otherwise(F.pmod(F.xxhash64("id"), F.lit(1000))).alias("spend"),
+        F.md5(F.col("id").cast("string")).alias("extra"))
+    before = {k: spark.conf.get(k) for k in setting if spark.conf.get(k, None) is not None}
+    try:
+        for k, v in setting.items():
+            spark.conf.set(k, v)
+        got = ntile_bands(rows, n=7, partitions=9, max_groups=3)
+        want = ntile_bands_reference(rows.drop("extra"), n=7).withColumnRenamed("spend_ntile", "want")
+        joined = got.join(want, ["pi_entity_fk", "category", "spend"])
+        assert joined.count() == 1_200_000 and joined.where("spend_ntile <> want").count() == 0
+        assert got.columns == ["pi_entity_fk", "category", "spend", "extra", "spend_ntile"]
+    finally:
+        for k in setting:
+            spark.conf.set(k, before[k]) if k in before else spark.conf.unset(k)
+
+
+def test_spenders_are_tiled_apart_from_zero_and_returns(spark):
+    long = spark.createDataFrame([(i, "g", s) for i, s in enumerate([0, 0, 0, -5, 1, 2, 3, 4, None])],
+                                 "pi_entity_fk long, category string, spend long")
+    got = {r["pi_entity_fk"]: r["spend_ntile"] for r in positive_ntile_bands(long, n=2, partitions=3).collect()}
+    assert got == {0: 1, 1: 1, 2: 1, 3: None, 4: 2, 5: 2, 6: 3, 7: 3, 8: None}

@@ -10,6 +10,7 @@ from rewardseg.operators import bands, linking
 from rewardseg.params import TEST_PARAMS
 from rewardseg.plans.pipeline import SNAPSHOT_COLUMNS, publish_run
 from rewardseg.plans.registry import make_run
+from rewardseg.session import ensure_checkpoint_dir
 from rewardseg.sources import testdata_sources as derive_sources
 
 
@@ -19,14 +20,24 @@ def _rows(df):
 
 def test_publish_run_end_to_end(spark):
     root = tempfile.mkdtemp(prefix="rewardseg-pub-")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(ensure_checkpoint_dir(spark))
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(folder)
+    before = {str(f.getPath().getName()) for f in files.listStatus(folder)}
     src = derive_sources(spark, SF_SMALL, TEST_PARAMS)
     snap = publish_run(src, TEST_PARAMS, f"{root}/snapshot", f"{root}/marker")
     written = spark.read.parquet(f"{root}/snapshot")
     assert set(written.columns) == set(SNAPSHOT_COLUMNS)
-    assert _rows(written.select(*SNAPSHOT_COLUMNS)) == _rows(snap)
+    first = _rows(written.select(*SNAPSHOT_COLUMNS))
+    assert first == _rows(snap.select(*SNAPSHOT_COLUMNS)) and first
     assert spark.read.parquet(f"{root}/marker").count() >= 1
     publish_run(src, TEST_PARAMS, f"{root}/snapshot", f"{root}/marker", mode="replace_run")
-    assert spark.read.parquet(f"{root}/snapshot").count() == snap.count()
+    again = spark.read.parquet(f"{root}/snapshot")
+    assert _rows(again.select(*SNAPSHOT_COLUMNS)) == first
+    left = spark._jvm.org.apache.hadoop.fs.Path(ensure_checkpoint_dir(spark))
+    store = left.getFileSystem(spark._jsc.hadoopConfiguration())
+    runs = {str(f.getPath().getName()) for f in store.listStatus(left)}
+    assert not {r for r in runs if r.startswith("run-")} - before, "staged tables of a finished run stay"
 
 
 def test_same_result_for_any_shuffle_partitioning(spark):

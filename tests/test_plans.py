@@ -79,16 +79,16 @@ def _star_sources(spark):
         "product": spark.createDataFrame([(1, 1, "a", 10, 1), (2, 1, "b", 11, 1), (3, 1, "c", 99, 1),
                                           (4, 1, "d", 12, 1)],
                                          "pi_product_pk long, is_live int, short_desc string, "
-                                         "pi_raco_subsection_fk int, pi_website_category_l4_fk long"),
-        "raco_subsection": spark.createDataFrame([(10, 135), (11, None), (12, 12)],
-                                                 "pi_raco_subsection_pk int, pi_raco_series_fk int"),
+                                         "pi_range_subsection_fk int, pi_website_category_l4_fk long"),
+        "range_subsection": spark.createDataFrame([(10, 135), (11, None), (12, 12)],
+                                                 "pi_range_subsection_pk int, pi_range_series_fk int"),
         "web_category_l4": spark.createDataFrame(
             [(1, "x", 5, "x", 1, "x", 1, "Toys", 1, "x", "u")],
             "pi_website_category_l4_pk long, pi_website_category_l4_desc string, "
             "pi_website_category_l3_fk long, pi_website_category_l3_desc string, "
             "pi_website_category_l2_fk long, pi_website_category_l2_desc string, "
             "pi_website_category_l1_fk long, pi_website_category_l1_desc string, "
-            "pi_cmi_category_fk long, pi_cmi_category_desc string, website_category_url string"),
+            "pi_buying_category_fk long, pi_buying_category_desc string, website_category_url string"),
         "trans_item": spark.createDataFrame([(7, 100 + p, p, d, 0, 0, money) for p in (1, 2, 3, 4)],
                                             "pi_entity_fk long, pi_trans_fk long, pi_product_fk long, "
                                             "trans_date date, pi_channel_fk int, pi_trans_type_fk int, "

@@ -2,8 +2,13 @@
 
 import datetime as dt
 import tempfile
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
 
 from rewardseg.sources import publish, stage, write_marker
+from rewardseg.sources.staging import Staging
 
 
 def _snap(spark, day, n):
@@ -18,14 +23,50 @@ def test_append_twice_doubles(spark):
     assert spark.read.parquet(out).count() == 6
 
 
-def test_replace_run_keeps_other_months(spark):
-    out = tempfile.mkdtemp(prefix="rewardseg-sink-") + "/snap"
+@pytest.mark.parametrize("kind", ["path", "table"])
+def test_replace_run_keeps_other_months(spark, kind):
+    name = f"snap_{uuid.uuid4().hex}"
+    out = tempfile.mkdtemp(prefix="rewardseg-sink-") + "/snap" if kind == "path" else name
+    read = (lambda: spark.read.parquet(out)) if kind == "path" else (lambda: spark.table(out))
     nov, dec = dt.date(2000, 11, 30), dt.date(2000, 12, 31)
-    publish(_snap(spark, nov, 2), out)
-    publish(_snap(spark, dec, 3), out)
-    publish(_snap(spark, dec, 3), out, mode="replace_run")
-    got = {r["update_date"]: r["count"] for r in spark.read.parquet(out).groupBy("update_date").count().collect()}
-    assert got == {nov: 2, dec: 3}
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+
+    def counts():
+        if kind == "table":
+            spark.catalog.refreshTable(out)
+        return {r["update_date"]: r["count"] for r in read().groupBy("update_date").count().collect()}
+    try:
+        publish(_snap(spark, nov, 2), out)
+        publish(_snap(spark, dec, 3), out)
+        for n in (3, 5, 0, 4):  # a re-run, a larger one, an empty one, and one after it
+            publish(_snap(spark, dec, n), out, mode="replace_run", run_date=dec)
+            assert counts() == ({nov: 2, dec: n} if n else {nov: 2})
+        assert sorted(r["pi_entity_fk"] for r in read().where(F.col("update_date") == dec).collect()) == [0, 1, 2, 3]
+        assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == mode
+        with pytest.raises(ValueError):
+            publish(_snap(spark, dec, 1), out, mode="replace_run")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_first_publish_of_a_table_may_replace(spark):
+    name, day = f"snap_{uuid.uuid4().hex}", dt.date(2000, 12, 31)
+    try:
+        publish(_snap(spark, day, 2), name, mode="replace_run", run_date=day)
+        assert spark.table(name).count() == 2
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_staging_folder_goes_with_the_run(spark):
+    staging = Staging(spark)
+    df = staging.write(_snap(spark, dt.date(2000, 1, 1), 5).where("pi_entity_fk > 1"), "rows")
+    assert df.count() == 3 and "Scan parquet" in df._jdf.queryExecution().executedPlan().toString()
+    folder = spark._jvm.org.apache.hadoop.fs.Path(staging.path)
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    assert store.exists(folder)
+    staging.remove()
+    assert not store.exists(folder)
 
 
 def test_marker_overwrites(spark):
