@@ -40,7 +40,7 @@ MAX_LANGUAGES = 64     # the most frequent labels; a model parameter
 SAMPLE, SAMPLE_CHARS = 150, 20_000
 EPOCHS, BATCH_CHAINS, STEP = 6, 600, 0.4
 FOLDS = 3
-SLICE_BYTES = 6_000_000
+SLICE_BYTES = 2_000_000
 SENTENCE_END = ".!?\n"
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
