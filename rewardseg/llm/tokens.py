@@ -30,6 +30,25 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+# the characters that stand for the bytes 128 to 255 in byte-level vocabularies: printable Latin-1
+# stands for itself, the others are numbered from 256 on, after the 33 bytes below 128 that are not printable
+_PRINTABLE = [*range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTE_CHAR = {b: chr(b) for b in _PRINTABLE} | {b: chr(256 + 34 + i) for i, b in enumerate(
+    [b for b in range(0x80, 0x100) if b not in set(_PRINTABLE)])}
+
+
+def byte_letters(word: str) -> str:
+    """How a byte-level vocabulary writes a word of letters."""
+    return word.encode().decode("latin-1").translate(_BYTE_CHAR)
+
+
+def _runs(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... for ``count`` numbers, one run after another."""
+    take = np.repeat((starts - np.cumsum(counts) + counts).astype(np.int32), counts)
+    take += np.arange(len(take), dtype=np.int32)
+    return take
+
+
 class ColumnEncoder:
     """``encode(column)`` -> (ids of all texts end to end, ids per text)."""
 
@@ -39,6 +58,8 @@ class ColumnEncoder:
         vocab = self.tokenizer.get_vocab()
         self.opens = np.zeros(max(vocab.values()) + 1, bool)
         self.opens[[i for token, i in vocab.items() if token.startswith(SPACE)]] = True
+        single = {m: self.tokenizer.model.tokenize(m) for m in ".,!?;:"}
+        self.marks = {m: t[0].id for m, t in single.items() if len(t) == 1}
         self._forget()
 
     def _forget(self) -> None:
@@ -58,24 +79,33 @@ class ColumnEncoder:
         place[kept] = np.arange(len(kept))
         self.rows = {k: {w: int(place[r]) for w, r in known.items() if place[r] >= 0} for k, known in self.rows.items()}
         counts = self.counts[kept]
-        ends = np.cumsum(counts)
-        self.pool = self.pool[np.repeat(self.starts[kept] - ends + counts, counts) + np.arange(counts.sum())]
-        self.starts, self.counts, self.hits = ends - counts, counts, np.ones(len(kept), np.int32)
+        self.pool = self.pool[_runs(self.starts[kept], counts)]
+        self.starts, self.counts, self.hits = np.cumsum(counts) - counts, counts, np.ones(len(kept), np.int32)
 
     def vocab_size(self) -> int:
         return self.tokenizer.get_vocab_size()
 
     def _learn(self, words: list[str], spaced: bool) -> None:
         """Encode unseen words, each after a space or (``spaced`` false) at
-        the start of a text.  A run of ASCII letters is one pre-token and
-        goes to the library's BPE model as it is; other spaced words are
-        encoded end to end, where only the first token of each begins with
-        a space."""
-        plain = [w for w in words if w.isascii() and w.isalpha()]
-        other = [w for w in words if not (w.isascii() and w.isalpha())]
-        bpe, lead = self.tokenizer.model.tokenize, SPACE if spaced else ""
-        if plain:
-            self._add(plain, spaced, [[t.id for t in bpe(lead + w)] for w in plain])
+        the start of a text.  A run of letters is one pre-token and goes to
+        the library's BPE model as it is; letters with one punctuation mark
+        behind are the ids of the letters and of the mark; other spaced
+        words are encoded end to end, where only the first token of each
+        begins with a space."""
+        known = self.rows[spaced]
+        letters, marked, other = [], [], []
+        for w in words:
+            if w.isalpha():
+                letters.append(w)
+            elif w[-1:] in self.marks and w[:-1].isalpha():
+                marked.append(w)
+            else:
+                other.append(w)
+        own = set(letters)
+        letters += dict.fromkeys(w[:-1] for w in marked if w[:-1] not in known and w[:-1] not in own)
+        if letters:
+            bpe, lead = self.tokenizer.model.tokenize, SPACE if spaced else ""
+            self._add(letters, spaced, [[t.id for t in bpe(lead + (w if w.isascii() else byte_letters(w)))] for w in letters])
         for i in range(0, len(other), LEARN_WORDS):
             part = other[i:i + LEARN_WORDS]
             if spaced and "" not in part:
@@ -87,6 +117,28 @@ class ColumnEncoder:
                     continue
             lead = " " if spaced else ""
             self._add(part, spaced, [self.tokenizer.encode(lead + w, add_special_tokens=False).ids for w in part])
+        self._settle()
+        if marked:
+            stems = np.fromiter((known[w[:-1]] for w in marked), np.int64, len(marked))
+            counts = self.counts[stems] + 1
+            ends = np.cumsum(counts)
+            ids = np.empty(int(ends[-1]), np.uint32)
+            is_mark = np.zeros(len(ids), bool)
+            is_mark[ends - 1] = True
+            ids[is_mark] = [self.marks[w[-1]] for w in marked]
+            ids[~is_mark] = self.pool[_runs(self.starts[stems], counts - 1)]
+            self._place(marked, spaced, ids, counts)
+            self._settle()
+
+    def _settle(self) -> None:
+        """Append what was encoded to the arrays."""
+        if self.new:
+            ids, counts = (np.concatenate(x) for x in zip(*self.new))
+            self.new = []
+            self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(counts) - counts])
+            self.counts = np.concatenate([self.counts, counts])
+            self.pool = np.concatenate([self.pool, ids])
+            self.hits = np.concatenate([self.hits, np.zeros(len(counts), np.int32)])
 
     def _add(self, words: list[str], spaced: bool, each: list[list[int]]) -> None:
         self._place(words, spaced, np.fromiter(itertools.chain.from_iterable(each), np.uint32),
@@ -100,14 +152,8 @@ class ColumnEncoder:
     def _rows_of(self, words: list[str], spaced: bool) -> np.ndarray:
         known = self.rows[spaced]
         missing = list(dict.fromkeys(w for w in words if w not in known))
-        self._learn(missing, spaced)
-        if self.new:
-            ids, counts = (np.concatenate(x) for x in zip(*self.new))
-            self.new = []
-            self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(counts) - counts])
-            self.counts = np.concatenate([self.counts, counts])
-            self.pool = np.concatenate([self.pool, ids])
-            self.hits = np.concatenate([self.hits, np.zeros(len(counts), np.int32)])
+        if missing:
+            self._learn(missing, spaced)
         return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -130,10 +176,7 @@ class ColumnEncoder:
         rows[opening] = self._rows_of(firsts, False)
         self.hits[distinct] += 1
         counts = self.counts[rows]
-        ends = np.cumsum(counts)
-        take = np.repeat((self.starts[rows] - ends + counts).astype(np.int32), counts)
-        take += np.arange(len(take), dtype=np.int32)
-        ids = self.pool[take]
+        ids = self.pool[_runs(self.starts[rows], counts)]
         per_text = np.add.reduceat(counts, opening) if len(opening) else np.empty(0, np.int64)
         if not whole.any():
             return ids, per_text

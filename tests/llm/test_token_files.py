@@ -91,3 +91,15 @@ def test_files_of_odd_documents(spark, odd_docs, no_docs, odd_rows):
     empty = f"{ensure_checkpoint_dir(spark)}/token-files-none"
     tf.write_token_files(no_docs, empty)
     assert tf.read_token_files(spark, empty).count() == 0
+
+
+def test_letters_are_one_piece_of_the_library():
+    from tokenizers import pre_tokenizers
+
+    from rewardseg.llm.tokens import byte_letters
+    cut = pre_tokenizers.ByteLevel(add_prefix_space=False).pre_tokenize_str
+    letters = [chr(c) for c in range(0x80, 0x30000) if chr(c).isalpha()]
+    assert len(letters) > 100_000
+    for i in range(0, len(letters), 50):
+        word = "a" + "".join(letters[i:i + 50])
+        assert [p for p, _ in cut(word)] == [byte_letters(word)]
