@@ -37,6 +37,7 @@ from rewardseg.llm.graph import components
 SHINGLE = 3
 MAX_BITS = 3
 SEED = 42
+HOT_SHARE = 2000
 SLICE_BYTES = 4_000_000
 SEGMENTS = ((0, 21), (21, 21), (42, 22))   # (first bit, bits)
 PAIRS = ((0, 1), (0, 2), (1, 2))
@@ -181,13 +182,23 @@ def grouped(docs: DataFrame, size: int = SHINGLE, max_bits: int = MAX_BITS) -> D
     """(doc_id, text_key, fp, group, component_id) per row: ``group`` names
     the linked component, ``component_id`` is its smallest doc_id."""
     rows = stage(fingerprint_rows(docs, size), "fingerprints")
-    prints = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "prints")
+    prints = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")), "prints")
     linked = prints.join(components(links(prints, max_bits)), F.col("fp") == F.col("node")).select("fp", "least", "component")
     least = linked.groupBy("component").agg(F.min("least").alias("component_id"))
     of_linked = linked.join(least, "component").select("fp", "component", "component_id")
     of_print = prints.join(of_linked, "fp", "left").select(
-        "fp", F.coalesce("component", "fp").alias("group"), F.coalesce("component_id", "least").alias("component_id"))
-    return rows.join(of_print, "fp").select("doc_id", "text_key", "fp", "group", "component_id")
+        "fp", "n", F.coalesce("component", "fp").alias("group"), F.coalesce("component_id", "least").alias("component_id"))
+    of_print = stage(of_print, "print-groups")
+    # a fingerprint of more than one in HOT_SHARE rows is one of at most HOT_SHARE: those go to every task, the
+    # others are joined by shuffle, where none is hot
+    total = of_print.agg(F.sum("n")).first()[0] or 0
+    hot = F.broadcast(of_print.where(F.col("n") * HOT_SHARE > total).select(
+        "fp", F.col("group").alias("hot_group"), F.col("component_id").alias("hot_id"), F.lit(True).alias("is_hot")))
+    marked = rows.join(hot, "fp", "left")
+    columns = ("doc_id", "text_key", "fp")
+    common = marked.where("is_hot is null").select(*columns).join(of_print.drop("n"), "fp")
+    return marked.where("is_hot").select(*columns, F.col("hot_group").alias("group"), F.col("hot_id").alias("component_id")
+                                         ).unionByName(common.select(*columns, "group", "component_id"))
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
