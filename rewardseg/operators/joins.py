@@ -4,42 +4,55 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import BinaryType, StringType
 
-# Dimension rows we are willing to ship to every executor.
-DIM_BROADCAST_ROWS = 2_000_000
+# Bytes of a dimension side we are willing to ship to every executor.
+DIM_BROADCAST_BYTES = 128 * 1024 * 1024
 
 
-def bounded_sizes(dims: dict[str, DataFrame], max_rows: int = DIM_BROADCAST_ROWS) -> dict[str, bool]:
-    """Which of ``dims`` provably have at most ``max_rows`` rows.
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row as a broadcast holds it: 8 per column and null word,
+    and the bytes of its strings."""
+    fixed = F.lit(8 * (len(df.columns) + 1)).cast("bigint")
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (StringType, BinaryType)):
+            fixed = fixed + F.coalesce(F.octet_length(F.col(f.name)), F.lit(0))
+    return fixed
 
-    One Spark job for all of them: the sides are tagged, unioned and
-    counted with partial aggregation, so every task ships one row per side
-    and the driver receives one row per side.  (A ``limit(n + 1)`` probe
-    would instead funnel up to n + 1 rows of every partition into a single
-    task -- billions of rows if a large table were passed by mistake.)
-    Counting a plain parquet source needs no column data at all.
+
+def bounded_sizes(dims: dict[str, DataFrame], max_bytes: int = DIM_BROADCAST_BYTES) -> dict[str, bool]:
+    """Which of ``dims`` hold at most ``max_bytes``.
+
+    One Spark job for all of them: the sides are tagged, unioned and summed
+    with partial aggregation, so every task ships one row per side and the
+    driver receives one row per side.  (A ``limit(n + 1)`` probe would
+    instead funnel up to n + 1 rows of every partition into a single task --
+    billions of rows if a large table were passed by mistake.)
     """
     if not dims:
         return {}
-    tagged = [df.select(F.lit(name).alias("_dim")) for name, df in dims.items()]
-    counts = {r["_dim"]: r["n"] for r in
-              reduce(DataFrame.unionAll, tagged).groupBy("_dim").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return {name: counts.get(name, 0) <= max_rows for name in dims}
+    tagged = [df.select(F.lit(name).alias("_dim"), row_bytes(df).alias("_bytes")) for name, df in dims.items()]
+    sizes = {r["_dim"]: r["n"] for r in
+             reduce(DataFrame.unionAll, tagged).groupBy("_dim").agg(F.sum("_bytes").alias("n")).collect()}
+    return {name: sizes.get(name, 0) <= max_bytes for name in dims}
 
 
-def key_stats(sides: dict[str, tuple[DataFrame, str]]) -> dict[str, tuple[int, int]]:
-    """Rows and distinct non-null keys of each side, one job for all sides.
+def key_stats(sides: dict[str, tuple[DataFrame, str]]) -> dict[str, tuple[int, int, int]]:
+    """Rows, distinct non-null keys and bytes of each side, one job for all.
 
-    Two-level count (per key, then per side), partial aggregation at both
-    levels; a side whose two numbers are equal has a unique, non-null key.
+    Two-level sums (per key, then per side), partial aggregation at both
+    levels; a side whose first two numbers are equal has a unique, non-null
+    key.
     """
-    tagged = [df.select(F.lit(name).alias("_side"), F.col(key).cast("string").alias("_key"))
+    tagged = [df.select(F.lit(name).alias("_side"), F.col(key).cast("string").alias("_key"), row_bytes(df).alias("_bytes"))
               for name, (df, key) in sides.items()]
-    per_key = reduce(DataFrame.unionAll, tagged).groupBy("_side", "_key").agg(F.count(F.lit(1)).alias("_c"))
-    rows = per_key.groupBy("_side").agg(F.sum("_c").alias("n"), F.count("_key").alias("n_keys")).collect()
-    got = {r["_side"]: (r["n"], r["n_keys"]) for r in rows}
-    return {name: got.get(name, (0, 0)) for name in sides}
+    per_key = reduce(DataFrame.unionAll, tagged).groupBy("_side", "_key").agg(
+        F.count(F.lit(1)).alias("_c"), F.sum("_bytes").alias("_b"))
+    rows = per_key.groupBy("_side").agg(F.sum("_c").alias("n"), F.count("_key").alias("n_keys"),
+                                        F.sum("_b").alias("bytes")).collect()
+    got = {r["_side"]: (r["n"], r["n_keys"], r["bytes"]) for r in rows}
+    return {name: got.get(name, (0, 0, 0)) for name in sides}
 
 
 def left_join_spreading_nulls(left: DataFrame, right: DataFrame, left_key: str, right_key: str,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from rewardseg import fixed_values as fv
 from rewardseg.functions import category_index, in_range, ne_or_null
-from rewardseg.operators.joins import DIM_BROADCAST_ROWS, bounded_sizes, broadcast_if, key_stats
+from rewardseg.operators.joins import DIM_BROADCAST_BYTES, bounded_sizes, broadcast_if, key_stats
 from rewardseg.params import RunParams
 from rewardseg.sources import Sources
 
@@ -53,7 +53,7 @@ STAR_KEYS = {
 def star_bounds(src: Sources, p: RunParams) -> Bounds:
     """Row-bound checks of every broadcast candidate of the star.
 
-    One job counts the rows and distinct keys of every dimension.  When the
+    One job sums the rows, distinct keys and bytes of every dimension.  When the
     product, subsection and category keys are unique, each product yields
     at most one gate row (every join of the gate is on one of those keys),
     so the gate's bound follows from the product count; otherwise the gate
@@ -61,8 +61,8 @@ def star_bounds(src: Sources, p: RunParams) -> Bounds:
     """
     sides = dict(star_dimensions(src, p), product=src["product"])
     stats = key_stats({name: (df, STAR_KEYS[name]) for name, df in sides.items()})
-    bounds = {name: n <= DIM_BROADCAST_ROWS for name, (n, _) in stats.items()}
-    unique = {name: n == keys for name, (n, keys) in stats.items()}
+    bounds = {name: size <= DIM_BROADCAST_BYTES for name, (_, _, size) in stats.items()}
+    unique = {name: n == keys for name, (n, keys, _) in stats.items()}
     bounds["unique_keys"] = all(unique[n] for n in ("product", "range_subsection", "web_category_l4"))
     if bounds["product"] and all(unique[n] for n in ("product", "range_subsection", "web_category_l4")):
         bounds["product_gate"] = True

@@ -17,18 +17,20 @@ class Sources(Mapping):
     catalog table, a parquet folder or a derived DataFrame.
     """
 
-    def __init__(self, builders: Mapping[str, Callable[[], DataFrame]]):
+    def __init__(self, builders: Mapping[str, Callable[[], DataFrame]],
+                 columns: Mapping[str, Mapping[str, str]] | None = None):
         unknown = set(builders) - set(CONTRACTS)
         if unknown:
             raise KeyError(f"unknown sources {sorted(unknown)}")
         self._builders = dict(builders)
+        self._columns = {name: dict(names) for name, names in (columns or {}).items()}
         self._cache: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._cache:
             if name not in self._builders:
                 raise KeyError(f"source {name!r} is not configured")
-            self._cache[name] = conform(self._builders[name](), name)
+            self._cache[name] = conform(self._builders[name](), name, self._columns.get(name))
         return self._cache[name]
 
     def __iter__(self):
@@ -38,14 +40,18 @@ class Sources(Mapping):
         return len(self._builders)
 
     @classmethod
-    def from_tables(cls, spark: SparkSession, tables: Mapping[str, str]) -> "Sources":
-        """Catalog tables by qualified name, e.g. ``{"burn_fact": "db.burn"}``."""
-        return cls({name: (lambda t=t: spark.read.table(t)) for name, t in tables.items()})
+    def from_tables(cls, spark: SparkSession, tables: Mapping[str, str],
+                    columns: Mapping[str, Mapping[str, str]] | None = None) -> "Sources":
+        """Catalog tables by qualified name, e.g. ``{"burn_fact": "db.burn"}``;
+        ``columns`` maps contract columns to a table's own names, e.g.
+        ``{"burn_fact": {"tran_points": "points"}}``."""
+        return cls({name: (lambda t=t: spark.read.table(t)) for name, t in tables.items()}, columns)
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, root: str,
-                     names: Mapping[str, str] | None = None) -> "Sources":
+                     names: Mapping[str, str] | None = None,
+                     columns: Mapping[str, Mapping[str, str]] | None = None) -> "Sources":
         """One parquet folder per source under ``root`` (file name = source
         name unless ``names`` maps it)."""
         names = dict(names or {n: n for n in CONTRACTS})
-        return cls({n: (lambda p=p: spark.read.parquet(f"{root}/{p}")) for n, p in names.items()})
+        return cls({n: (lambda p=p: spark.read.parquet(f"{root}/{p}")) for n, p in names.items()}, columns)

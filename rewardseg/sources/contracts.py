@@ -8,6 +8,8 @@ that inclusive date ranges keep the whole end day).
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, functions as F, types as T
 
 L, I, S, D = T.LongType(), T.IntegerType(), T.StringType(), T.DateType()
@@ -71,24 +73,52 @@ class ContractError(ValueError):
     pass
 
 
-def conform(df: DataFrame, name: str) -> DataFrame:
+_INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _loses(have: T.DataType, want: T.DataType) -> bool:
+    """Whether a cast could lose something without an error.  Integers that
+    do not fit and decimals with too many digits before the point raise in
+    ANSI mode; a timestamp becomes its date by contract."""
+    if isinstance(want, T.DecimalType):
+        if isinstance(have, T.DecimalType):
+            return have.scale > want.scale
+        return not isinstance(have, _INTEGERS)
+    if isinstance(want, _INTEGERS):
+        return not (isinstance(have, _INTEGERS) or isinstance(have, T.DecimalType) and have.scale == 0)
+    if isinstance(want, T.DateType):
+        return not isinstance(have, (T.TimestampType, T.TimestampNTZType))
+    if isinstance(want, T.TimestampNTZType):
+        return not isinstance(have, (T.TimestampType, T.DateType))
+    return isinstance(want, T.StringType) and not isinstance(have, (T.CharType, T.VarcharType, *_INTEGERS))
+
+
+def conform(df: DataFrame, name: str, columns: Mapping[str, str] | None = None) -> DataFrame:
     """Project ``df`` onto the contract of source ``name``.
 
-    Missing columns raise; extra columns are pruned (so the scan reads only
-    contract columns); types are cast to the contract, which also truncates
-    timestamp dates to dates.  Pure projection: parquet pushdown and column
-    pruning still reach the scan.
+    ``columns`` maps contract columns to the source's own names.  Missing
+    columns raise; extra columns are pruned (so the scan reads only contract
+    columns); types are cast to the contract, which also truncates timestamp
+    dates to dates.  A cast that could lose digits raises instead.  Pure
+    projection: parquet pushdown and column pruning still reach the scan.
     """
-    contract = CONTRACTS[name]
+    contract, named = CONTRACTS[name], dict(columns or {})
+    unknown = set(named) - {f.name for f in contract.fields}
+    if unknown:
+        raise ContractError(f"source {name!r} has no contract columns {sorted(unknown)}")
     have = {f.name.lower(): f for f in df.schema.fields}
-    missing = [f.name for f in contract.fields if f.name.lower() not in have]
+    source = {f.name: named.get(f.name, f.name).lower() for f in contract.fields}
+    missing = [s for s in source.values() if s not in have]
     if missing:
         raise ContractError(f"source {name!r} lacks columns {missing}")
     cols = []
     for field in contract.fields:
-        src = have[field.name.lower()]
+        src = have[source[field.name]]
         col = F.col(f"`{src.name}`")
         if src.dataType != field.dataType:
+            if _loses(src.dataType, field.dataType):
+                raise ContractError(f"source {name!r}: column {src.name!r} is {src.dataType.simpleString()}, "
+                                    f"{field.dataType.simpleString()} could lose values; cast it explicitly")
             col = col.cast(field.dataType)
         cols.append(col.alias(field.name))
     return df.select(*cols)

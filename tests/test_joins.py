@@ -1,6 +1,8 @@
 """Join helpers: NULL-key spreading left join, size statistics."""
 
-from rewardseg.operators.joins import key_stats, left_join_spreading_nulls
+from pyspark.sql import functions as F
+
+from rewardseg.operators.joins import bounded_sizes, key_stats, left_join_spreading_nulls
 
 
 def test_left_join_spreading_nulls_equals_plain_left_join(spark):
@@ -18,7 +20,13 @@ def test_key_stats_detects_duplicates_and_nulls(spark):
     dup = spark.createDataFrame([(1,), (1,), (2,)], "k long")
     nul = spark.createDataFrame([(1,), (None,)], "k long")
     assert key_stats({"u": (uniq, "k"), "d": (dup, "k"), "n": (nul, "k")}) == \
-        {"u": (3, 3), "d": (3, 2), "n": (2, 1)}
+        {"u": (3, 3, 48), "d": (3, 2, 48), "n": (2, 1, 32)}
+
+
+def test_broadcast_bound_counts_bytes_not_rows(spark):
+    narrow = spark.range(1000).select("id")
+    wide = spark.range(10).select("id", F.expr("repeat('x', 5000)").alias("s"))
+    assert bounded_sizes({"narrow": narrow, "wide": wide}, max_bytes=20_000) == {"narrow": True, "wide": False}
 
 
 def test_cluster_sizing_targets_128mb_shuffle_partitions():

@@ -157,3 +157,43 @@ def test_online_links_use_the_sweep_not_a_range_join(run_check):
     assert "BroadcastNestedLoopJoin" not in plan
     joins = [ln for ln in plan.splitlines() if "Join" in ln]
     assert not any("card_link_datetime" in ln or "card_unlink_datetime" in ln for ln in joins)
+
+
+def test_product_side_is_read_once(spark):
+    """With unique keys the item star reads the product table once."""
+    from conftest import SF_CHECK
+    from rewardseg.plans.registry import make_run
+    text = _plan(make_run(spark, SF_CHECK).items)
+    scans = [ln for ln in text.splitlines() if "FileScan parquet" in ln and "p_partkey" in ln and "p_size" in ln]
+    assert len(scans) == 1, scans
+
+
+def test_hot_account_is_split_in_the_snapshot_join(spark):
+    """Half of the links on one account: the one join on the account splits it."""
+    from rewardseg import fixed_values as fv
+    from rewardseg.plans.pipeline import snapshot
+    from rewardseg.sources.staging import Staging
+    staging = Staging(spark)
+    account = F.when(F.col("id") % 2 == 0, F.lit(7)).otherwise(F.col("id") % 5000)
+    linked = staging.write(spark.range(400_000).select(
+        F.col("id").alias("pi_entity_fk"), account.cast("bigint").alias("account_number"), F.lit(1).alias("current_value_score"),
+        *[F.lit(1).alias(b) for b in fv.BAND_COLUMNS], F.lit(1).cast("decimal(18,2)").alias("total_spend")).repartition(12), "links")
+    accounts = staging.write(spark.range(5000).select(
+        F.col("id").alias("account_number"), F.lit("S").alias("segment"), F.lit("B").alias("age_band"), F.lit("F").alias("gender"),
+        F.lit("R").alias("region"), F.lit("A").alias("acorn_category"), F.lit(1).cast("bigint").alias("points_balance")), "accounts")
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = snapshot(accounts, linked, RunParams(as_of=dt.date(2000, 12, 31), start_year=1996))
+        assert out.count() == 400_000
+        out.write.format("noop").mode("overwrite").save()
+        rows = out.groupBy().count()
+        rows.collect()
+        assert "skew=true" in _plan(rows)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+        staging.remove()

@@ -1,6 +1,8 @@
 """Source contracts: conform (prune, cast, reject), catalog-backed sources."""
 
 import datetime as dt
+import json
+from decimal import Decimal
 
 import pytest
 
@@ -44,3 +46,38 @@ def test_sources_from_catalog_tables(spark):
 def test_unknown_source_name_is_rejected():
     with pytest.raises(KeyError):
         Sources({"not_a_source": lambda: None})
+
+
+def test_own_column_names_are_mapped(spark):
+    df = spark.createDataFrame([(7, dt.date(2000, 1, 2), 200001, 1, -1)],
+                               "junk int, day date, period int, week int, relative_js_week_num int")
+    names = {"date_key": "DAY", "fin_period_no": "period", "week_no": "week", "relative_week": "relative_js_week_num"}
+    src = Sources({"date_dim": lambda: df}, {"date_dim": names})
+    assert [tuple(r) for r in src["date_dim"].collect()] == [(dt.date(2000, 1, 2), 200001, 1, -1)]
+    with pytest.raises(ContractError):
+        conform(df, "date_dim", {**names, "no_such": "day"})
+
+
+@pytest.mark.parametrize("kind,value", [("decimal(14,4)", Decimal("1.0051")), ("double", 1.5)])
+def test_narrowing_casts_are_refused(spark, kind, value):
+    df = spark.createDataFrame([(1, 1, 1, dt.date(2000, 1, 1), 1, 1, value)],
+                               "pi_entity_fk long, pi_trans_fk long, pi_product_fk long, trans_date date, pi_channel_fk int, "
+                               f"pi_trans_type_fk int, line_total {kind}")
+    with pytest.raises(ContractError):
+        conform(df, "trans_item")
+    score = spark.createDataFrame([(1, 3.7, dt.date(2000, 1, 1))], "entitykey long, current_value_score double, run_date date")
+    with pytest.raises(ContractError):
+        conform(score, "value_score")
+
+
+def test_job_publishes_from_a_source_mapping(spark, tmp_path):
+    from rewardseg.job import main
+    derived = derive_sources(spark, SF_SMALL, TEST_PARAMS)
+    for name in SOURCE_NAMES:
+        derived[name].write.parquet(f"{tmp_path}/in/{name}")
+    config = tmp_path / "sources.json"
+    config.write_text(json.dumps({"root": f"{tmp_path}/in"}))
+    args = ["--as-of", "2000-12-31", "--start-year", "1996", "--sources", str(config), "--snapshot", f"{tmp_path}/out",
+            "--marker", f"{tmp_path}/marker", "--mode", "replace_run"]
+    rows = main(args)
+    assert rows == main(args) == spark.read.parquet(f"{tmp_path}/out").count() > 0
