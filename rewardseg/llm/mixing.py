@@ -29,7 +29,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from rewardseg.llm.common import stage, table, word_count
+from rewardseg.llm.common import WORD, stage, table, word_count
 
 WEIGHTS = (5, 2, 1)
 SHARE, LIMIT = 1.5, 2.0
@@ -73,7 +73,8 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, limi
 
 def sampling_key(doc_id: Column, weight: Column, seed: int = SEED) -> Column:
     """An exponential variate of rate ``weight`` from a hash of the id."""
-    bits = F.pmod(F.xxhash64(F.lit(seed), doc_id), F.lit(1 << 52)).cast("double")
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit(""))))
+    bits = F.conv(F.substring(digest, 1, 13), 16, 10).cast("double")
     return -F.log((bits + 0.5) / float(1 << 52)) / weight
 
 
@@ -132,3 +133,43 @@ def mixed_documents(docs: DataFrame, doc_weights: DataFrame | None = None, **opt
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(table(spark, sf_dir, "documents"), quality_weights(table(spark, sf_dir, "labels")))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op4_sql(weights=WEIGHTS, share: float = SHARE, limit: float = LIMIT, seed: int = SEED) -> str:
+    """The same mix in DuckDB SQL, with one plain running sum per source."""
+    cycle = " ".join(f"WHEN {i} THEN {float(w)}" for i, w in enumerate(weights))
+    return f"""WITH sized AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{WORD}')), 0) AS size FROM documents),
+w AS (
+  SELECT doc_id AS weight_id, {LEAST_WEIGHT}::DOUBLE + {1 - LEAST_WEIGHT}::DOUBLE * avg(quality::DOUBLE) AS weight
+  FROM labels WHERE quality BETWEEN 0 AND 1 AND doc_id IS NOT NULL GROUP BY doc_id),
+keyed AS (
+  SELECT doc_id, source, size,
+         -ln((('0x' || substr(md5('{seed}:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE + 0.5::DOUBLE) / {float(1 << 52)}::DOUBLE)
+           / coalesce(weight, {DEFAULT_WEIGHT}::DOUBLE) AS key
+  FROM sized LEFT JOIN w ON weight_id = doc_id),
+per AS (
+  SELECT source, sum(size)::BIGINT AS source_size, {limit}::DOUBLE * sum(size)::BIGINT AS most,
+         (CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(weights)} {cycle} END)::DOUBLE AS weight
+  FROM sized GROUP BY source),
+goal AS (SELECT {share}::DOUBLE * sum(source_size)::DOUBLE AS goal FROM per),
+-- a source is full if the level of itself and all sources of a larger ratio reaches its ratio
+leveled AS (
+  SELECT p.*, most / weight AS ratio,
+         (SELECT coalesce(sum(q.most), 0) FROM per q WHERE q.most / q.weight < p.most / p.weight) AS held_before,
+         (SELECT sum(q.weight) FROM per q WHERE q.most / q.weight >= p.most / p.weight) AS weight_from
+  FROM per p),
+filled AS (SELECT l.*, (goal - held_before) / weight_from >= ratio AS is_full, goal FROM leveled l, goal),
+targets AS (
+  SELECT source, source_size, CASE WHEN is_full THEN most ELSE weight * ((goal -
+           (SELECT coalesce(sum(most), 0) FROM filled WHERE is_full)) / (SELECT sum(weight) FROM filled WHERE NOT is_full)) END AS target
+  FROM filled),
+placed AS (
+  SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS epochs,
+         coalesce(sum(size) OVER (PARTITION BY k.source ORDER BY key, doc_id, size
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM keyed k JOIN targets t ON t.source IS NOT DISTINCT FROM k.source)
+SELECT doc_id, size::BIGINT AS size, source_size, target,
+       (size * (epochs + CASE WHEN before + size / 2 <= target - epochs * source_size AND target - epochs * source_size > 0
+                                AND epochs < {limit} THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM placed"""

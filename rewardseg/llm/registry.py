@@ -2,14 +2,14 @@
 
 from rewardseg.llm.language import op10_language
 from rewardseg.llm.licenses import op9_licenses
-from rewardseg.llm.mixing import op4_mixing
+from rewardseg.llm.mixing import op4_mixing, op4_sql
 from rewardseg.llm.packing import op5_packing
 from rewardseg.llm.permutations import op2_permutation_search
 from rewardseg.llm.quality import op6_quality
 from rewardseg.llm.simhash import op3_simhash
 from rewardseg.llm.spotsigs import op7_spotsigs
 from rewardseg.llm.token_files import op8_token_files
-from rewardseg.llm.urls import op1_url_filter
+from rewardseg.llm.urls import op1_sql, op1_url_filter
 
 QUERIES = {
     "op1_url_filter": op1_url_filter,
@@ -23,4 +23,4 @@ QUERIES = {
     "op9_licenses": op9_licenses,
     "op10_language": op10_language,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {"op1_url_filter": op1_sql(), "op4_mixing": op4_sql()}

@@ -141,3 +141,63 @@ def filter_urls(pages: DataFrame, rules=RULES) -> DataFrame:
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"))
+
+
+def op1_sql(rules=RULES) -> str:
+    """The same filter in DuckDB SQL, one block of tables per level."""
+    def text(v):
+        return "'" + v.replace("'", "''") + "'"
+
+    cases = []
+    for rule, verdict in sorted(rules, key=lambda r: -len(r[0])):
+        domain, slash, rest = rule.partition("/")
+        cases.append((f"(host = {text(domain)} OR suffix(host, {text('.' + domain)})) AND prefix(path, {text(slash + rest)})", rule, verdict))
+    rule_case = "CASE " + " ".join(f"WHEN {c} THEN {text(r)}" for c, r, _ in cases) + " END"
+    verdict_case = "CASE rule " + " ".join(f"WHEN {text(r)} THEN {text(v)}" for _, r, v in cases) + " END"
+    kind = ("CASE WHEN next IS NULL THEN 'end' WHEN next IN ('*', '**') THEN 'any' "
+            "WHEN contains(next, '*') THEN 'part' ELSE 'name' END")
+    names = [f"{v}_{k}" for v in LABELS for k in KINDS]
+    cells = ", ".join(f'coalesce(sum("{v}") FILTER (kind = {text(k)}), 0)::DOUBLE AS {v}_{k}' for v in LABELS for k in KINDS)
+    again = ", ".join(f"sum({c}) AS {c}" for c in names)
+    chi = " + ".join(
+        f"CASE WHEN n * a{i} > 0 THEN ({c} - n * a{i} / whole) ** 2 / (n * a{i} / whole) ELSE 0 END"
+        f" + CASE WHEN (whole - n) * a{i} > 0 THEN ({c} - n * a{i} / whole) ** 2 / ((whole - n) * a{i} / whole) ELSE 0 END"
+        for i, c in enumerate(names))
+    everyone = ", ".join(f"sum({c}) OVER node_of AS a{i}" for i, c in enumerate(names))
+    levels = []
+    for i in range(DEPTH + 1):
+        levels.append(f"""
+at{i} AS (SELECT *, shape[{i + 1}] AS seg, shape[{i + 2}] AS next FROM state{i}),
+branch{i} AS (
+  SELECT host, node, seg, {cells}, sum("block" + "allow" + "none")::DOUBLE AS n
+  FROM (SELECT *, {kind} AS kind FROM at{i} WHERE seg IS NOT NULL) GROUP BY host, node, seg),
+named{i} AS (
+  SELECT host, node, CASE WHEN n >= {MIN_SUPPORT} AND n >= {MIN_SHARE}::DOUBLE * whole THEN seg ELSE '*' END AS seg, any_value(whole) AS whole,
+         sum(n) AS n, {again}
+  FROM (SELECT *, sum(n) OVER (PARTITION BY host, node) AS whole FROM branch{i}) GROUP BY 1, 2, 3),
+kept{i} AS (
+  SELECT host, node, seg FROM (SELECT *, {everyone} FROM named{i} WINDOW node_of AS (PARTITION BY host, node))
+  WHERE seg <> '*' AND (n = whole OR {chi} >= {CRITICAL})),
+state{i + 1} AS (
+  SELECT host, shape, "block", "allow", "none", CASE WHEN seg IS NULL THEN node ELSE node || '/' ||
+           CASE WHEN seg IN ('**', '') OR (host, node, seg) IN (FROM kept{i}) THEN seg ELSE '*' END END AS node
+  FROM at{i})""")
+    return f"""WITH parsed AS (
+  SELECT page_id, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '{UPPER}', '{LOWER}'), '') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+ruled AS (SELECT *, {rule_case} AS rule FROM parsed),
+cut AS (
+  SELECT *, {verdict_case} AS by_rule, string_split(regexp_replace(regexp_replace(regexp_replace(path,
+           '(?i)[0-9a-f-]{{16,}}', '*', 'g'), '[0-9]+', '*', 'g'), '^/', ''), '/') AS parts FROM ruled),
+shaped AS (
+  SELECT *, CASE WHEN path = '' THEN [] WHEN len(parts) <= {DEPTH} THEN parts ELSE parts[1:{DEPTH}] || ['**'] END AS shape FROM cut),
+state0 AS (
+  SELECT host, shape, count(*) FILTER (by_rule = 'block') AS "block", count(*) FILTER (by_rule = 'allow') AS "allow",
+         count(*) FILTER (by_rule IS NULL) AS "none", '' AS node FROM shaped GROUP BY host, shape),{",".join(levels)},
+judged AS (
+  SELECT host, node, (sum("block") + {PRIOR / 2}::DOUBLE) / (sum("block") + sum("allow") + {PRIOR}::DOUBLE) AS blocked_share
+  FROM state{DEPTH + 1} GROUP BY host, node)
+SELECT page_id, host, path, rule,
+       coalesce(by_rule, CASE WHEN blocked_share >= {REJECT}::DOUBLE THEN 'block' ELSE 'allow' END) AS verdict,
+       node AS template, blocked_share
+FROM shaped JOIN state{DEPTH + 1} USING (host, shape) JOIN judged USING (host, node)"""
