@@ -20,6 +20,9 @@ no rows; other columns are ignored.
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from collections import defaultdict
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -182,10 +185,13 @@ def scan_texts(texts: list[bytes], index: Index):
             base = int(bounds[t]) - len(texts[t]) - 1
             found.append((t, int(of[lo]), matched, matched / size, int(starts[first + a]) - base, int(ends[first + b - 1]) - base))
         lo = hi
-    # of overlapping reports in a text the best stays
-    kept = []
+    # of overlapping reports in a text the best stays; what is kept lies apart, so only neighbours can overlap
+    kept, spans = [], defaultdict(list)
     for report in sorted(found, key=lambda r: (r[0], -r[2], -r[3], r[4], r[1])):
-        if not any(k[0] == report[0] and report[4] < k[5] and k[4] < report[5] for k in kept[-64:]):
+        own, span = spans[report[0]], (report[4], report[5])
+        at = bisect_left(own, span)
+        if (at == 0 or own[at - 1][1] <= span[0]) and (at == len(own) or span[1] <= own[at][0]):
+            own.insert(at, span)
             kept.append(report)
     return kept
 

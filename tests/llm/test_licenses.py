@@ -58,6 +58,8 @@ def test_exact_edited_and_repeated_notices(make_docs, no_docs, odd_docs):
     assert {k: sorted(r.license for r in v) for k, v in by.items()} == {
         1: ["MIT"], 2: ["MIT"], 3: ["MIT"] * 3, 4: ["Apache-2.0", "CC-BY-NC-4.0"], None: ["MIT"], 9: ["GPL-3.0-only"]}
     assert by[1][0].span == MIT.rstrip() and by[1][0].coverage == 1.0 and 0.75 <= by[2][0].coverage < 1
+    many = make_docs([(1, "Released under the MIT License. some words between. " * 300, "en", "a")])
+    assert licenses.scan(many).count() == 300
     assert licenses.scan(no_docs).count() == 0 and licenses.scan(odd_docs).count() == 0
     assert licenses.scan(docs, templates=()).count() == 0
 
