@@ -145,7 +145,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, n_pivots: int = P
                     out.append((np.full(len(best), q_ids[j]), ids[of][best], score[best]))
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[c] for o in out])) for c in range(3)],
                                                  ["query_id", "vec_id", "score"])
-    met = (index_blocks.join(asked, F.col("g") == F.col("q"))
+    # estimates know nothing of the size of a block, so the kind of join is fixed
+    met = (index_blocks.join(asked.hint("merge"), F.col("g") == F.col("q"))
            .select("ids", "vectors", "places", "query_ids", "query_vectors", "query_places")
            .mapInArrow(run, "query_id long, vec_id long, score double"))
     nearest = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

@@ -175,7 +175,8 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     left, right = keyed.select("key", F.col("fp").alias("a")), keyed.select(F.col("key").alias("k"), F.col("fp").alias("b"))
     near = (F.col("key") == F.col("k")) & (F.col("a") < F.col("b")) & (
         F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)
-    return left.join(right, near).select("a", "b").distinct()
+    # a planner's estimate knows nothing of the keys per fingerprint, so the kind of join is fixed
+    return left.join(right.hint("merge"), near).select("a", "b").distinct()
 
 
 def grouped(docs: DataFrame, size: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
