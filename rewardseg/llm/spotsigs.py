@@ -99,7 +99,8 @@ def near_pairs(sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                         F.col("rare.sig").alias("key"), F.explode(F.array(F.col("part"), F.col("part") + 1)).alias("part"))
     right = keyed.select(F.col("fp").alias("b"), F.col("n").alias("nb"), F.col("sigs").alias("sb"),
                          F.col("rare.sig").alias("key"), "part")
-    pairs = left.join(right, ["key", "part"]).where(
+    # estimates know nothing of the length of the sets, so the kind of join is fixed
+    pairs = left.join(right.hint("merge"), ["key", "part"]).where(
         (F.col("a") != F.col("b")) & (F.col("na") <= F.col("nb")) & (F.col("na") >= threshold * F.col("nb") - 1e-9))
     return (pairs.withColumn("likeness", likeness(F.col("sa"), F.col("sb"))).where(F.col("likeness") >= threshold)
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "likeness").distinct())
