@@ -19,6 +19,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_KEPT: dict = {}
+
+
+def kept(kind, make):
+    """A helper that a Python worker keeps between tasks (a vocabulary, a
+    table).  A task that asks for another kind lets the last one go, so a
+    reused worker holds one at a time."""
+    if kind not in _KEPT:
+        _KEPT.clear()
+        _KEPT[kind] = make()
+    return _KEPT[kind]
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into a fresh folder under the cluster's shared
     checkpoint folder and read it back: lineage is cut, every executor can

@@ -24,7 +24,6 @@ other columns are ignored.
 
 from __future__ import annotations
 
-import functools
 import sys
 
 import numpy as np
@@ -32,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from rewardseg.llm.common import byte_sizes, fresh_name, slices, table
+from rewardseg.llm.common import byte_sizes, fresh_name, kept, slices, table
 
 LEXICON_BITS, GRAM_BITS = 15, 16
 GRAMS = (2, 3, 4)
@@ -46,9 +45,12 @@ SENTENCE_END = ".!?\n"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-@functools.cache
 def letter_tables() -> tuple[np.ndarray, np.ndarray]:
-    """(is a letter, its lower case) per code point."""
+    """(is a letter, its lower case) per code point (kept between tasks)."""
+    return kept("letters", _letter_tables)
+
+
+def _letter_tables() -> tuple[np.ndarray, np.ndarray]:
     points = range(sys.maxunicode + 1)
     letter = np.fromiter((chr(c).isalpha() for c in points), bool, len(points))
     lower = np.arange(len(points), dtype=np.uint32)

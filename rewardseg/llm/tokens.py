@@ -17,6 +17,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
+from rewardseg.llm.common import kept
+
 # A space before any white space or at the end: such texts are not cut.
 _UNCUT = r" [\s\x0b\x1c-\x1f\x{85}\p{Z}]| \z"
 MEMO_WORDS = 800_000
@@ -186,14 +188,9 @@ class ColumnEncoder:
         return np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
 
 
-_ENCODERS: dict[str, ColumnEncoder] = {}
-
-
 def encoder(path: str) -> ColumnEncoder:
     """The worker process's encoder for a vocabulary file (kept between tasks)."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = ColumnEncoder(path)
-    return _ENCODERS[path]
+    return kept(("encoder", path), lambda: ColumnEncoder(path))
 
 
 def with_end(ids: np.ndarray, per_text: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
