@@ -224,7 +224,8 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None
     columns = [where[c].to_numpy(np.int64) for c in ("first", "copies", "sequence", "offset")]
     before = Window.partitionBy("length").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     bases = per_shard.select("length", "shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    numbered = (pieces.join(bases, ["length", "shard"])
+    # a row per length and task: their number follows the input, so they are not broadcast
+    numbered = (pieces.join(bases.hint("merge"), ["length", "shard"])
                 .select("doc_id", "piece", "start", "length", "ids_crc32",
                         (F.col("base") + F.col("nth")).alias("number")))
 
