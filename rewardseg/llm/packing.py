@@ -37,6 +37,7 @@ END_ID = 0
 STEPS = 160          # weight updates per linear program
 RATE = 8.0           # how fast a length's weight falls as its demand gets covered
 POWER = 1.6          # a length's value before any update: long pieces first, short ones to fill
+MEMO_WORDS = 450_000  # words that a worker remembers; less memory for more encoding
 LAST_PIECES = 4000   # pieces left for best fit after the last rounding
 
 
@@ -50,7 +51,7 @@ def document_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int
     the task ``shard``."""
     def run(batches):
         from pyspark import TaskContext
-        enc, shard = encoder(tokenizer), TaskContext.get().partitionId()
+        enc, shard = encoder(tokenizer, MEMO_WORDS), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
             ids_of_doc = batch.column(0).to_pylist()

@@ -188,9 +188,9 @@ class ColumnEncoder:
         return np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
 
 
-def encoder(path: str) -> ColumnEncoder:
+def encoder(path: str, memo_words: int = MEMO_WORDS) -> ColumnEncoder:
     """The worker process's encoder for a vocabulary file (kept between tasks)."""
-    return kept(("encoder", path), lambda: ColumnEncoder(path))
+    return kept(("encoder", path, memo_words), lambda: ColumnEncoder(path, memo_words))
 
 
 def with_end(ids: np.ndarray, per_text: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
