@@ -9,9 +9,14 @@ templates); a document's fingerprints found in it pick candidates (template,
 region of the text).  Each region is aligned with its template by a local
 alignment banded around the diagonals of its hits, which reports the share
 of the template's words that match (coverage) and the span in the text.
-Of overlapping reports the one with most matched words, then the highest
+A template is named only where its identifying phrases (version, Lesser,
+Affero, NC, SA, ND, "any later version") stand unbroken in the span.  Of
+overlapping reports the one with most matched words, then the highest
 coverage, stays.
 
+The templates (``license_templates``) are whole texts of licences, and their
+standard notices in all versions.
+
 Defined cases: null and empty texts, and texts without a template, give no
 rows; null doc_ids and repeated rows are scanned one by one; several
 occurrences in one text give a row each; an empty table or no templates give
@@ -27,34 +32,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rewardseg.llm.common import byte_sizes, slices, table
-
-# Wording of common licence notices, by SPDX identifier.
-TEMPLATES = (
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
-                   "compliance with the License. You may obtain a copy of the License at"),
-    ("MIT", "Released under the MIT License"),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
-            "documentation files (the \"Software\"), to deal in the Software without restriction"),
-    ("GPL-2.0-only", "This work is licensed under the GNU General Public License, version 2"),
-    ("GPL-3.0-only", "This work is licensed under the GNU General Public License, version 3"),
-    ("GPL-3.0-or-later", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
-                         "General Public License as published by the Free Software Foundation, either version 3 of the "
-                         "License, or (at your option) any later version"),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
-                     "that the following conditions are met"),
-    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
-            "granted"),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0"),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0"),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0"),
-)
+from rewardseg.llm.common import byte_sizes, kept, slices, table
+from rewardseg.llm.license_templates import TEMPLATES
 
 GRAM, WINDOW = 3, 2
 MIN_COVERAGE = 0.75
 MATCH, MISMATCH, GAP = 2, -1, -1
+LONG = 64     # words from which a template keeps only grams that it has once, and is aligned a row at a time
+BEHIND = 8    # words after a span that can hold a phrase against it
 SLICE_BYTES = 6_000_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -78,17 +63,22 @@ def words_of(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.add.reduceat(np.where(inside, value, np.uint64(0)), starts) * _MIX, starts, ends
 
 
+def grams_of(words: np.ndarray) -> np.ndarray:
+    n = max(0, len(words) - GRAM + 1)
+    gram = np.zeros(n, np.uint64)
+    for i in range(GRAM):
+        gram = gram * np.uint64(1_000_003) + words[i:i + n]
+    gram = gram * _MIX
+    return gram ^ (gram >> np.uint64(31))
+
+
 def winnow(words: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(position, fingerprint): the grams that are smallest in a window,
     within each text (``text`` numbers the words' texts)."""
     n = len(words) - GRAM + 1
     if n <= 0:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
-    gram = np.zeros(n, np.uint64)
-    for i in range(GRAM):
-        gram = gram * np.uint64(1_000_003) + words[i:i + n]
-    gram = gram * _MIX
-    gram ^= gram >> np.uint64(31)
+    gram = grams_of(words)
     whole = text[:n] == text[GRAM - 1:]
     big = np.uint64(0xFFFFFFFFFFFFFFFF)
     gram = np.where(whole, gram, big)
@@ -104,23 +94,58 @@ def winnow(words: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return at, gram[at]
 
 
+def _run(phrase: str) -> bytes:
+    return words_of(np.frombuffer(phrase.encode(), np.uint8))[0].tobytes()
+
+
+def _stands(phrase: bytes, words: np.ndarray) -> bool:
+    """Whether a run of words stands unbroken among the words."""
+    raw, at = words.tobytes(), -1
+    while (at := raw.find(phrase, at + 1)) >= 0:
+        if at % 8 == 0:
+            return True
+    return False
+
+
 class Index:
     """Inverted index of the templates' grams.  A template keeps all its
-    grams (it is short); the texts are winnowed."""
+    grams, a long one those that it has once; the texts are winnowed."""
 
     def __init__(self, templates):
-        self.names = [name for name, _ in templates]
-        self.words = [words_of(np.frombuffer(t.encode(), np.uint8))[0] for _, t in templates]
-        post = []
+        self.names = [template[0] for template in templates]
+        self.words = [words_of(np.frombuffer(template[1].encode(), np.uint8))[0] for template in templates]
+        phrases = [template[2] if len(template) > 2 else () for template in templates]
+        self.needed = [[_run(p) for p in own if not p.startswith("!")] for own in phrases]
+        self.barred = [[_run(p[1:]) for p in own if p.startswith("!")] for own in phrases]
+        grams, of, at = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         for i, words in enumerate(self.words):
-            text = np.zeros(len(words), np.int64)
-            for shift in range(WINDOW):  # all windows of all grams
-                at, gram = winnow(words[shift:], text[shift:])
-                post += [(int(g), i, int(a) + shift) for a, g in zip(at, gram)]
-        post = sorted(set(post))
-        self.grams = np.array([p[0] for p in post], np.uint64)
-        self.of = np.array([p[1] for p in post], np.int64)
-        self.at = np.array([p[2] for p in post], np.int64)
+            gram = grams_of(words)
+            _, where, times = np.unique(gram, return_index=True, return_counts=True)
+            place = np.sort(where[times == 1]) if len(words) > LONG else np.arange(len(gram))
+            grams.append(gram[place])
+            of.append(np.full(len(place), i))
+            at.append(place)
+        grams, of, at = np.concatenate(grams), np.concatenate(of), np.concatenate(at)
+        order = np.lexsort((at, of, grams))
+        self.grams, self.of, self.at = grams[order], of[order], at[order]
+
+    def may_match(self, i: int, window: np.ndarray) -> bool:
+        """Whether the template's phrases and enough of its words are there."""
+        words = self.words[i]
+        if len(window) < MIN_COVERAGE * len(words):
+            return False
+        if not all(_stands(phrase, window) for phrase in self.needed[i]):
+            return False
+        if len(words) <= LONG:
+            return True
+        (own, n), (there, m) = (np.unique(w, return_counts=True) for w in (words, window))
+        both = np.intersect1d(own, there, assume_unique=True, return_indices=True)
+        return np.minimum(n[both[1]], m[both[2]]).sum() >= MIN_COVERAGE * len(words)
+
+    def named(self, i: int, window: np.ndarray, a: int, b: int) -> bool:
+        """Whether the span a..b of the window has the template's name."""
+        return (all(_stands(phrase, window[a:b]) for phrase in self.needed[i])
+                and not any(_stands(phrase, window[a:b + BEHIND]) for phrase in self.barred[i]))
 
     def hits(self, at: np.ndarray, gram: np.ndarray):
         """(word position in the text, template, word position in it)."""
@@ -154,6 +179,38 @@ def align(template: np.ndarray, text: np.ndarray, low: int, high: int) -> tuple[
     return best[1], best[2], best[3]
 
 
+_SCORE, _WORDS = 40, 20   # bits of a packed cell below the score, and below the matched words
+
+
+def align_rows(template: np.ndarray, text: np.ndarray, low: int, high: int) -> tuple[int, int, int]:
+    """``align`` with a row of the band at a time: a cell is one number
+    (score, matched words, first word)."""
+    one, none = np.int64(1) << _SCORE, np.int64(-1) << 62
+    width = high - low + 1
+    across = np.arange(width) * -GAP * one
+    above = np.full(width, none)
+    best, end = np.int64(0), 0
+    for i, word in enumerate(template):
+        place = np.arange(i + low, i + high + 1)
+        inside = (place >= 0) & (place < len(text))
+        if not inside.any():
+            above = np.full(width, none)
+            continue
+        equal = inside & (text[np.clip(place, 0, len(text) - 1)] == word)
+        cell = np.where(above > none, above, place) + np.where(equal, MATCH * one + (1 << _WORDS), MISMATCH * one)
+        cell[:-1] = np.maximum(cell[:-1], np.where(above[1:] > none, above[1:] + GAP * one, none))
+        cell = np.where(inside, cell, none // 2)
+        cell = np.maximum.accumulate(cell + across) - across
+        cell = np.where(inside & (cell >= 1 << _WORDS), cell, none)
+        hit = np.where(equal, cell, none)
+        at = int(np.argmax(hit))
+        if hit[at] > none and hit[at] >> _WORDS > best >> _WORDS:
+            best, end = hit[at], int(place[at]) + 1
+        above = cell
+    mask = (1 << _WORDS) - 1
+    return int(best >> _WORDS) & mask, int(best) & mask, end
+
+
 def scan_texts(texts: list[bytes], index: Index):
     """(text number, template, matched, coverage, start byte, end byte)."""
     joined = np.frombuffer(b"\0".join(texts), np.uint8)
@@ -166,41 +223,46 @@ def scan_texts(texts: list[bytes], index: Index):
     found = []
     order = np.lexsort((at, of, text[at]))
     at, of, there = at[order], of[order], there[order]
-    lo = 0
+    lo, last_end = 0, {}
     while lo < len(at):
-        size = len(index.words[of[lo]])
+        i, t = int(of[lo]), int(text[at[lo]])
+        size = len(index.words[i])
         band = max(2, size // 8)
         hi = lo + 1
         # hits of one template on nearby diagonals, close to one another, are one region
-        while (hi < len(at) and of[hi] == of[lo] and text[at[hi]] == text[at[lo]]
+        while (hi < len(at) and of[hi] == i and text[at[hi]] == t
                and at[hi] - at[hi - 1] <= size and abs((at[hi] - there[hi]) - (at[lo] - there[lo])) <= band):
             hi += 1
         diagonals = at[lo:hi] - there[lo:hi]
-        first = max(int(diagonals.min()) - band, int(np.searchsorted(text, text[at[lo]], "left")))
-        last = min(int(diagonals.max()) + size + band, int(np.searchsorted(text, text[at[lo]], "right")))
-        matched, a, b = align(index.words[of[lo]], words[first:last], int(diagonals.min()) - band - first,
-                              int(diagonals.max()) + band - first)
-        if matched >= MIN_COVERAGE * size:
-            t = int(text[at[lo]])
-            base = int(bounds[t]) - len(texts[t]) - 1
-            found.append((t, int(of[lo]), matched, matched / size, int(starts[first + a]) - base, int(ends[first + b - 1]) - base))
+        first = max(int(diagonals.min()) - band, int(np.searchsorted(text, t, "left")))
+        last = min(int(diagonals.max()) + size + band, int(np.searchsorted(text, t, "right")))
+        window = words[first:last]
+        seen = size > LONG and at[hi - 1] < last_end.get((t, i), 0)
+        if not seen and index.may_match(i, window):
+            method = align_rows if size > LONG else align
+            matched, a, b = method(index.words[i], window, int(diagonals.min()) - band - first, int(diagonals.max()) + band - first)
+            behind = words[first:min(last + BEHIND, int(np.searchsorted(text, t, "right")))]
+            if matched >= MIN_COVERAGE * size and index.named(i, behind, a, b):
+                base = int(bounds[t]) - len(texts[t]) - 1
+                found.append((t, i, matched, matched / size, int(starts[first + a]) - base, int(ends[first + b - 1]) - base))
+                last_end[t, i] = first + b
         lo = hi
     # of overlapping reports in a text the best stays; what is kept lies apart, so only neighbours can overlap
-    kept, spans = [], defaultdict(list)
+    best, spans = [], defaultdict(list)
     for report in sorted(found, key=lambda r: (r[0], -r[2], -r[3], r[4], r[1])):
         own, span = spans[report[0]], (report[4], report[5])
         at = bisect_left(own, span)
         if (at == 0 or own[at - 1][1] <= span[0]) and (at == len(own) or span[1] <= own[at][0]):
             own.insert(at, span)
-            kept.append(report)
-    return kept
+            best.append(report)
+    return best
 
 
 def scan(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
     """doc_id, license, matched_words, coverage, start, end (code points of
     the text) and the matched text, one row per occurrence."""
     def run(batches):
-        index = Index(templates)
+        index = kept(("licenses", tuple(templates)), lambda: Index(templates))
         for batch in batches:
             ids, column = batch.column(0).to_pylist(), batch.column(1)
             for lo, hi in slices(byte_sizes(column), SLICE_BYTES):
