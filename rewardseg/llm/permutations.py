@@ -9,15 +9,16 @@ differences; the members of the smallest sums, a ``RERANK`` share of every
 block, are ranked again by the exact inner product.
 
 Nearness is the inner product in double precision on the original vectors.
-All vectors are indexed; blocks are made where the rows lie, without a
-shuffle.  Blocks of queries meet all blocks of vectors in groups; only each
+All distinct vectors are indexed, each once with its ``k`` + 1 smallest ids
+(a query's own and ``k`` others); so copies take one place of the share, and
+vectors that tie at its edge are all ranked again.  Blocks of queries meet all blocks of vectors in groups; only each
 meeting's best ``k`` go on, and a window with a group limit keeps each
 query's best.  Measured recall at 20 is in the README.
 
 Defined cases: vectors that are null, empty, zero or hold null or
 non-finite components take no part, neither do rows without an id; a shorter
-vector counts as padded with zeros; rows sharing a vec_id are indexed one by
-one, and a query never finds its own id; fewer candidates than ``k`` give
+vector counts as padded with zeros; a vec_id with several vectors counts
+once, with the nearest of them, and a query never finds its own id; fewer candidates than ``k`` give
 all of them; an empty table gives no rows; other columns are ignored.
 """
 
@@ -61,33 +62,60 @@ def pivot_places(vectors: np.ndarray, pivots: np.ndarray, prefix: int) -> np.nda
     return np.minimum(places, prefix)
 
 
+def distinct_vectors(rows: DataFrame, ids: int) -> DataFrame:
+    """(members, vector): every distinct vector with its smallest ``ids``
+    vec_ids.  A vector is known by 128 bits of hash; the ids of a vector that
+    many rows share are cut in salted parts before they meet."""
+    parts = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    keyed = rows.select("vec_id", "vector", *[F.xxhash64(F.lit(i), "vector").alias(f"h{i}") for i in (1, 2)])
+    salted = keyed.select("h1", "h2", "vec_id").distinct().withColumn("salt", F.pmod(F.xxhash64(F.lit(3), "vec_id"), F.lit(parts)))
+    smallest = Window.partitionBy("h1", "h2", "salt").orderBy("vec_id")
+    cut = salted.withColumn("place", F.row_number().over(smallest)).where(F.col("place") <= ids)
+    lists = cut.groupBy("h1", "h2", "salt").agg(F.collect_list("vec_id").alias("part"))  # at most ids, in each of the parts
+    members = lists.groupBy("h1", "h2").agg(
+        F.slice(F.sort_array(F.flatten(F.collect_list("part"))), 1, ids).alias("members"))
+    return keyed.groupBy("h1", "h2").agg(F.first("vector").alias("vector")).join(members.hint("merge"), ["h1", "h2"]).select(
+        "members", "vector")
+
+
 def blocks(rows: DataFrame, pivots: np.ndarray, size: int, prefix: int) -> DataFrame:
-    """(ids, vectors, places) per block of at most ``size`` rows; the places
-    are pivot-major: one inverted file after another."""
+    """(ids, sizes, vectors, places) per block of at most ``size`` rows
+    (members, vector): the ids of all members, and how many each row has; the
+    places are pivot-major: one inverted file after another."""
     width = pivots.shape[1]
 
     def run(batches):
-        ids, parts, held = [], [], 0
+        ids, sizes, parts, held = [], [], [], 0
 
         def flush(n):
-            nonlocal ids, parts, held
-            all_ids, all_rows = np.concatenate(ids), np.concatenate(parts)
-            own, ids, parts = all_rows[:n], [all_ids[n:]], [all_rows[n:]]
-            held = len(ids[0])
-            return pa.RecordBatch.from_arrays(
-                [pa.array([all_ids[:n].astype("<i8").tobytes()], pa.binary()), pa.array([own.astype("<f8").tobytes()], pa.binary()),
-                 pa.array([np.ascontiguousarray(pivot_places(own, pivots, prefix).T).tobytes()], pa.binary())],
-                ["ids", "vectors", "places"])
+            nonlocal ids, sizes, parts, held
+            all_ids, all_sizes, all_rows = np.concatenate(ids), np.concatenate(sizes), np.concatenate(parts)
+            own, cut = all_rows[:n], int(all_sizes[:n].sum())
+            ids, sizes, parts = [all_ids[cut:]], [all_sizes[n:]], [all_rows[n:]]
+            held = len(sizes[0])
+            places = np.ascontiguousarray(pivot_places(own, pivots, prefix).T)
+            columns = (all_ids[:cut].astype("<i8"), all_sizes[:n].astype("<i4"), own.astype("<f8"), places)
+            return pa.RecordBatch.from_arrays([pa.array([c.tobytes()], pa.binary()) for c in columns],
+                                              ["ids", "sizes", "vectors", "places"])
 
         for batch in batches:
-            ids.append(np.asarray(batch.column(0)))
+            members = batch.column(0)
+            ids.append(np.asarray(members.flatten()))
+            sizes.append(np.diff(np.asarray(members.offsets)))
             parts.append(_matrix(batch.column(1), width))
             held += batch.num_rows
             while held >= size:
                 yield flush(size)
         if held:
             yield flush(held)
-    return rows.select("vec_id", "vector").mapInArrow(run, "ids binary, vectors binary, places binary")
+    return rows.select("members", "vector").mapInArrow(run, "ids binary, sizes binary, vectors binary, places binary")
+
+
+def candidates(far: np.ndarray, take: int) -> np.ndarray:
+    """The members of the ``take`` smallest distances, with all that tie."""
+    if take >= len(far):
+        return np.arange(len(far))
+    return np.flatnonzero(far <= np.partition(far, take - 1)[take - 1])
 
 
 def footrule(query: np.ndarray, files: np.ndarray, prefix: int) -> np.ndarray:
@@ -107,9 +135,10 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, n_pivots: int = P
            rerank: float = RERANK) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k nearest found."""
     spark = vectors.sparkSession
-    index = usable(vectors)
+    index = stage(distinct_vectors(usable(vectors), k + 1), "permutation-vectors")
     # the pivots: a sample of bounded size, the same on every run
-    picked = index.orderBy(F.xxhash64(F.lit(SEED), "vec_id"), "vec_id", F.xxhash64("vector")).limit(n_pivots).collect()
+    first = F.element_at("members", 1)
+    picked = index.orderBy(F.xxhash64(F.lit(SEED), first), first, F.xxhash64("vector")).limit(n_pivots).collect()
     width = index.agg(F.max(F.size("vector"))).first()[0] or 0
     pivots = np.zeros((len(picked), width))
     for i, r in enumerate(picked):
@@ -118,39 +147,44 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, n_pivots: int = P
     # blocks of one scan partition each would be small: gather the rows into full blocks first
     n = index.count()
     index_blocks = blocks(index.repartition(max(1, -(-n // BLOCK))), pivots, BLOCK, prefix).select(
-        "ids", "vectors", "places", F.pmod(F.xxhash64("ids"), F.lit(groups)).alias("g"))
+        "ids", "sizes", "vectors", "places", F.pmod(F.xxhash64("ids"), F.lit(groups)).alias("g"))
     index_blocks = stage(index_blocks, "permutations")
     used = [r["g"] for r in index_blocks.select("g").distinct().collect()]  # at most one per shuffle partition
-    asked = blocks(usable(queries).repartition(max(1, min(groups, n // 2000))), pivots, QUERY_BLOCK, prefix).select(
+    asking = usable(queries).select(F.array("vec_id").alias("members"), "vector")
+    asked = blocks(asking.repartition(max(1, min(groups, n // 2000))), pivots, QUERY_BLOCK, prefix).select(
         F.col("ids").alias("query_ids"), F.col("vectors").alias("query_vectors"), F.col("places").alias("query_places"),
         F.explode(F.array(*[F.lit(g) for g in used]) if used else F.array().cast("array<int>")).alias("q"))
 
     def run(batches):
         for batch in batches:
-            columns = [batch.column(i) for i in range(6)]
+            columns = [batch.column(i) for i in range(7)]
             for i in range(batch.num_rows):
-                ids, rows, places, q_ids, q_rows, q_places = (c[i].as_buffer() for c in columns)
-                ids, q_ids = np.frombuffer(ids, "<i8"), np.frombuffer(q_ids, "<i8")
+                ids, sizes, rows, places, q_ids, q_rows, q_places = (c[i].as_buffer() for c in columns)
+                ids, sizes, q_ids = np.frombuffer(ids, "<i8"), np.frombuffer(sizes, "<i4"), np.frombuffer(q_ids, "<i8")
+                starts = np.cumsum(sizes) - sizes
                 rows, q_rows = np.frombuffer(rows, "<f8").reshape(-1, width), np.frombuffer(q_rows, "<f8").reshape(-1, width)
                 files, asking = (np.frombuffer(p, np.int16).reshape(len(pivots), -1) for p in (places, q_places))
                 far = footrule(asking, files, prefix)
-                take = min(len(ids), max(RERANK_LEAST * k, int(np.ceil(rerank * len(ids)))))
-                near = np.argpartition(far, take - 1, axis=1)[:, :take] if take < len(ids) else np.broadcast_to(
-                    np.arange(len(ids)), far.shape)
+                take = max(RERANK_LEAST * k, int(np.ceil(rerank * len(rows))))
                 out = []
                 for j in range(len(q_ids)):
-                    of = near[j][ids[near[j]] != q_ids[j]]
-                    score = (rows[of] * q_rows[j]).sum(1)
-                    best = np.lexsort((ids[of], -score))[:k]
-                    out.append((np.full(len(best), q_ids[j]), ids[of][best], score[best]))
+                    near = candidates(far[j], take)
+                    n = sizes[near]
+                    of = ids[np.repeat(starts[near] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+                    score = np.repeat((rows[near] * q_rows[j]).sum(1), n)
+                    order = np.lexsort((of, -score))
+                    order = order[of[order] != q_ids[j]]
+                    # an id counts once, with its best score
+                    best = order[np.sort(np.unique(of[order], return_index=True)[1])[:k]]
+                    out.append((np.full(len(best), q_ids[j]), of[best], score[best]))
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[c] for o in out])) for c in range(3)],
                                                  ["query_id", "vec_id", "score"])
     # estimates know nothing of the size of a block, so the kind of join is fixed
     met = (index_blocks.join(asked.hint("merge"), F.col("g") == F.col("q"))
-           .select("ids", "vectors", "places", "query_ids", "query_vectors", "query_places")
+           .select("ids", "sizes", "vectors", "places", "query_ids", "query_vectors", "query_places")
            .mapInArrow(run, "query_id long, vec_id long, score double"))
     nearest = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (met.dropDuplicates(["query_id", "vec_id", "score"]).withColumn("rank", F.row_number().over(nearest))
+    return (met.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("rank", F.row_number().over(nearest))
             .where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"))
 
 

@@ -59,3 +59,34 @@ def test_odd_vectors(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert permutations.search(none, none).count() == 0
     assert permutations.search(data.where("vec_id = 20"), data.where("vec_id = 20")).count() == 0
+
+
+def test_copies_take_one_place_and_ids_count_once(spark):
+    rng = np.random.default_rng(11)
+    vectors = rng.normal(size=(3000, 16))
+    ids = rng.permutation(3000)
+    small, large = rng.normal(size=16), 1.5 * rng.normal(size=16)
+    vectors[:1000] = small
+    vectors[1000:1100] = large
+    data = [(int(i), v.tolist()) for i, v in zip(ids, vectors)]
+    near = vectors[1500] * 1.5
+    data += [(9999, (near + rng.normal(size=16) / 1000).tolist()) for _ in range(40)]  # one id, many vectors
+    frame = spark.createDataFrame(data, "vec_id long, embedding array<double>").repartition(5)
+    asked = [*map(int, ids[:10]), *map(int, ids[1000:1010]), *map(int, ids[1500:1520])]
+    found = {}
+    for r in permutations.search(frame, frame.where(permutations.F.col("vec_id").isin(asked))).collect():
+        found.setdefault(r.query_id, []).append((-r.score, r.vec_id))
+    of = dict(data[:3000])
+    hits = 0
+    for q in asked:
+        scores = {}
+        for i, v in data:
+            if i != q:
+                scores[i] = max(scores.get(i, -np.inf), float(np.dot(v, of[q])))
+        got, want = sorted(found[q]), sorted((-s, i) for i, s in scores.items())[:20]
+        assert len({i for _, i in got}) == 20
+        hits += len({i for _, i in got} & {i for _, i in want})
+        if q in ids[1000:1010]:  # the nearest are the copies: their smallest ids
+            copies = sorted(int(i) for i in ids[1000:1100] if i != q)[:20]
+            assert [i for _, i in got] == copies
+    assert hits >= 0.95 * 20 * len(asked)
