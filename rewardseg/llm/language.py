@@ -11,7 +11,9 @@ the one with the largest posterior mass.
 
 The lexicon counts every word of every training document; the weights are
 fitted by gradient steps on the chain likelihood over a bounded sample
-(``SAMPLE`` documents per language, by hash, of at most ``SAMPLE_CHARS``).
+(``SAMPLE`` documents per language, by hash, and of a longer one a passage of
+``SAMPLE_CHARS`` at a place by hash).  Every label is learned: the driver's
+arrays grow with the number of languages, by about 1.5 MB each.
 
 Everything inside a task is arrays over code points: a word is known by a
 64-bit hash of its lower-cased letters.
@@ -28,14 +30,13 @@ import sys
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from rewardseg.llm.common import byte_sizes, fresh_name, kept, slices, table
 
 LEXICON_BITS, GRAM_BITS = 15, 16
 GRAMS = (2, 3, 4)
-MAX_LANGUAGES = 64     # the most frequent labels; a model parameter
 SAMPLE, SAMPLE_CHARS = 150, 20_000
 EPOCHS, BATCH_CHAINS, STEP = 6, 600, 0.4
 FOLDS = 3
@@ -225,24 +226,20 @@ def held_out(column: str):
 
 def lexicon_counts(rows: DataFrame, languages: list[str]) -> DataFrame:
     """(language, bucket, n): word counts of all training texts, summed in
-    each task and then over tasks."""
+    each slice, each task and then over tasks."""
     number = {v: i for i, v in enumerate(languages)}
 
     def run(batches):
-        total = np.zeros((len(languages), 1 << LEXICON_BITS), np.int64)
         for batch in batches:
             texts, langs = batch.column(0), batch.column(1).to_pylist()
             for lo, hi in slices(byte_sizes(texts), SLICE_BYTES):
                 words = Words([t or "" for t in texts.slice(lo, hi - lo).to_pylist()])
                 if words.n:
                     own = np.array([number[v] for v in langs[lo:hi]], np.int64)[words.text]
-                    key = own * (1 << LEXICON_BITS) + words.lexicon()[words.word]
-                    total += np.bincount(key, minlength=total.size).reshape(total.shape)
-        for i in range(len(languages)):
-            used = np.flatnonzero(total[i])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(used), i), pa.int32()), pa.array(used, pa.int32()), pa.array(total[i, used])],
-                ["language", "bucket", "n"])
+                    key, n = np.unique(own * (1 << LEXICON_BITS) + words.lexicon()[words.word], return_counts=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(key >> LEXICON_BITS, pa.int32()), pa.array(key & ((1 << LEXICON_BITS) - 1), pa.int32()),
+                         pa.array(n, pa.int64())], ["language", "bucket", "n"])
     return rows.select("text", "lang").mapInArrow(run, "language int, bucket int, n long").groupBy(
         "language", "bucket").agg(F.sum("n").alias("n"))
 
@@ -252,27 +249,29 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        F.col("lang").cast("string").alias("lang")).where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out("doc_id"))
-    by_size = (rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang")
-               .limit(MAX_LANGUAGES).collect())
-    sizes = dict(sorted((r["lang"], r["n"]) for r in by_size))
-    languages = list(sizes)
+    worded = F.col("text").rlike("\\p{L}")
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count_if(worded).alias("n")).collect()}
+    languages = sorted(sizes)
     if not languages:
         return Model([], np.zeros((1 << LEXICON_BITS, 0)))
-    rows = rows.where(F.col("lang").isin(languages))
     counts = lexicon_counts(rows, languages).toPandas()  # at most buckets x languages rows
     n = np.zeros((1 << LEXICON_BITS, len(languages)))
     n[counts["bucket"].to_numpy(int), counts["language"].to_numpy(int)] = counts["n"].to_numpy()
     share = np.log((n + 0.5) / (n.sum(0) + 0.5 * len(n)))
     lexicon = np.clip(share - share.mean(1, keepdims=True), -3, 3)
     key = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-    ample = F.create_map(*[x for v in languages for x in (F.lit(v), F.lit(int(min(1.0, 3 * sample / sizes[v]) * (1 << 30))))])
-    drawn = (rows.where((F.length("text") <= SAMPLE_CHARS) & (key < ample[F.col("lang")]))
-             .select("lang", "text", key.alias("key"), "doc_id"))
-    texts, labels = [], []
-    for i, v in enumerate(languages):
-        for r in drawn.where(F.col("lang") == v).orderBy("key", "doc_id").limit(sample).select("text").collect():
-            texts.append(r["text"])
-            labels.append(i)
+    ample = F.create_map(*[x for v in languages for x in (
+        F.lit(v), F.lit(int(min(1.0, 3 * sample / max(1, sizes[v])) * (1 << 30))))])
+    spare = F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0))
+    start = F.pmod(F.xxhash64(F.lit(1), "doc_id"), spare + 1).cast("int") + 1
+    first = Window.partitionBy("lang").orderBy("key", "doc_id")
+    drawn = (rows.where(worded & (key < ample[F.col("lang")]))
+             .select("lang", F.substring("text", start, F.lit(SAMPLE_CHARS)).alias("text"), key.alias("key"), "doc_id")
+             .withColumn("place", F.row_number().over(first)).where(F.col("place") <= sample))
+    rows_drawn = sorted(drawn.collect(), key=lambda r: (r["lang"], r["place"]))  # at most sample per language
+    texts = [r["text"] for r in rows_drawn]
+    number = {v: i for i, v in enumerate(languages)}
+    labels = [number[r["lang"]] for r in rows_drawn]
     return fit(texts, np.array(labels, np.int64), languages, lexicon)
 
 

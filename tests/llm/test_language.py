@@ -73,3 +73,35 @@ def test_odd_documents(odd_docs, odd_rows, no_docs, make_docs):
     assert language.predict(no_docs, language.train(no_docs), ["doc_id"]).count() == 0
     unlabelled = make_docs([(3, "some words", None, "a")])
     assert [r.lang_pred for r in language.predict(unlabelled, language.train(unlabelled), ["doc_id"]).collect()] == ["und"]
+
+
+def _made_up(language_number, rng, words):
+    """Text in a language of its own letters pairs."""
+    own = [chr(97 + language_number % 26) + chr(97 + language_number // 26 + i) + chr(97 + i) for i in range(12)]
+    return " ".join(rng.choice(own) + rng.choice(own) for _ in range(words))
+
+
+def test_rare_languages_are_learned(make_docs):
+    rng = np.random.default_rng(3)
+    rows = [(i, _made_up(i % 70, rng, 40), f"l{i % 70:02}", "a") for i in range(70 * 8)]
+    rows += [(1000 + i, _made_up(i % 64, rng, 40), f"l{i % 64:02}", "a") for i in range(64 * 2)]
+    docs = make_docs(rows)
+    model = language.train(docs)
+    assert len(model.languages) == 70
+    got = language.predict(docs, model, ["doc_id", "lang"]).collect()
+    rare = [r for r in got if r.lang >= "l64"]
+    assert sum(r.lang_pred == r.lang for r in rare) >= 0.9 * len(rare)
+
+
+def test_a_language_of_long_texts_is_drawn(make_docs, monkeypatch):
+    rng = np.random.default_rng(5)
+    length = language.SAMPLE_CHARS // 5
+    docs = make_docs([(i, _made_up(i % 3, rng, length if i % 3 == 2 else 60), f"l{i % 3}", "a") for i in range(60)])
+    drawn = []
+    fit = language.fit
+    monkeypatch.setattr(language, "fit", lambda texts, labels, *rest: drawn.append((texts, labels)) or fit(texts, labels, *rest))
+    model = language.train(docs)
+    (texts, labels), = drawn
+    assert set(labels) == {0, 1, 2} and max(map(len, texts)) == language.SAMPLE_CHARS
+    got = language.predict(docs, model, ["doc_id", "lang"]).collect()
+    assert all(r.lang_pred == r.lang for r in got)
