@@ -6,7 +6,9 @@ formed: the anchor and the chain of the next ``CHAIN`` content words (words
 that are not anchors themselves).  The fingerprint is the set of signatures;
 its name is a hash of the sorted set, so equal texts have equal fingerprints,
 and the likeness of two documents is the Jaccard coefficient of their sets.
-A text without any signature is represented by the chain of all its words.
+A text without any signature, as one in a language that the anchors are not
+of, code or a list, is represented by all its chains of ``CHAIN`` + 1
+neighbouring words; a text without a word by those of its runs of other marks.
 
 ``near_pairs`` finds all pairs of distinct fingerprints of a likeness of at
 least ``threshold``: the sets are partitioned by their length, so that a
@@ -16,8 +18,8 @@ filter), and candidates are pruned by length before the sets are compared.
 
 Everything runs on DataFrame functions.
 
-Defined cases: null text is the empty text; texts without a word all have
-the same one-signature set; a null doc_id comes last in descending order;
+Defined cases: null text is the empty text; texts of spaces alone all
+have the same one-signature set; a null doc_id comes last in descending order;
 rows sharing a doc_id follow one another by the hash of their text; a single
 row is its own next document; an empty table gives no rows; other columns
 are ignored.
@@ -63,8 +65,27 @@ def signatures(text: Column) -> Column:
         return F.xxhash64(first, *words_after)
 
     found = F.sort_array(F.array_distinct(F.transform(spots, chain)))
-    # bound to a name by a one-element transform, so that the set is made once
-    return F.get(F.transform(F.array(found), lambda s: F.when(F.size(s) > 0, s).otherwise(F.array(F.xxhash64(F.trim(words))))), 0)
+    # bound to a name, so that the set is made once
+    return _bound(found, lambda s: F.when(F.size(s) > 0, s).otherwise(all_chains(text)))
+
+
+def _bound(value: Column, use) -> Column:
+    """``use`` of a value that is made once (by a one-element transform)."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def all_chains(text: Column) -> Column:
+    """The sorted set of hashes of all chains of CHAIN + 1 words (of fewer
+    words: of one chain)."""
+    words = F.trim(F.regexp_replace(F.lower(text), "[^\\p{L}\\p{N}]+", " "))
+    marks = F.trim(F.regexp_replace(F.lower(text), "\\s+", " "))
+
+    def chains(w):
+        return F.sort_array(F.array_distinct(F.transform(
+            F.sequence(F.lit(0), F.size(w) - CHAIN - 1), lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(CHAIN + 1)]))))
+
+    return _bound(F.when(words == "", marks).otherwise(words), lambda t: _bound(
+        F.split(t, " "), lambda w: F.when(F.size(w) > CHAIN, chains(w)).otherwise(F.array(F.xxhash64(t)))))
 
 
 def fingerprint(sigs: Column) -> Column:

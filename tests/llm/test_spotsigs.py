@@ -97,3 +97,17 @@ def test_near_pairs_equal_brute_force(spark):
     want = {(a, b): jaccard(set(x), set(y)) for a, x in named.items() for b, y in named.items()
             if a < b and jaccard(set(x), set(y)) >= 0.8}
     assert got == want and len(want) > 20
+
+
+def test_other_languages_and_marks(make_docs):
+    polish = ("Wczoraj wieczorem dzieci poszły nad rzekę, gdzie rybacy naprawiali swoje stare łodzie i śpiewali piosenki o "
+              "dalekich morzach, których nikt już nie pamiętał").split()
+    changed = [*polish[:-1], "zapomniał"]
+    code = "x1 = f(y2); return z3 + w4; if q5 > r6: print(s7); del_ t8 = u9"
+    texts = [" ".join(polish), " ".join(changed), code, code.replace("s7", "s70"), "!!! ???", "*** ---", "", " \t\n ",
+             "日本語。今日は天気。明日は雨。昨日は雪。", "日本語。今日は天気。明日は雨。昨日は風。"]
+    rows = {r.doc_id: r for r in spotsigs.with_next(make_docs([(i, t, None, None) for i, t in enumerate(texts)])).select(
+        "doc_id", spotsigs.likeness(F.col("sigs"), F.col("next_sigs")).alias("near"),
+        spotsigs.fingerprint(F.col("sigs")).alias("name")).collect()}
+    assert rows[1].near > 0.8 and rows[3].near > 0.6 and rows[9].near > 0.3   # each with the one before it
+    assert len({rows[i].name for i in (4, 5, 6)}) == 3 and rows[6].name == rows[7].name
