@@ -152,14 +152,10 @@ class Run:
 def account_side(segments: DataFrame, data_profile: DataFrame) -> DataFrame:
     """Per account: segment, every distinct demographics row and points
     balance (all their pairs, as joining the profile twice gives)."""
-    points = F.struct(F.col("total_points").alias("points_balance"))
-    per_account = data_profile.groupBy("account_number").agg(
-        F.collect_set(F.struct("age_band", "gender", "region", "acorn_category")).alias("demographics"),
-        F.collect_set(points).alias("points"))
-    return (segments.join(per_account, "account_number")
-            .select("account_number", "segment", "points", F.explode("demographics").alias("d"))
-            .select("account_number", "segment", "d.*", F.explode("points").alias("p"))
-            .select("account_number", "segment", "age_band", "gender", "region", "acorn_category", "p.points_balance"))
+    demographics = data_profile.select("account_number", "age_band", "gender", "region", "acorn_category").distinct()
+    points = data_profile.select("account_number", F.col("total_points").alias("points_balance")).distinct()
+    return (segments.join(demographics, "account_number").join(points, "account_number")
+            .select("account_number", "segment", "age_band", "gender", "region", "acorn_category", "points_balance"))
 
 
 def snapshot(accounts: DataFrame, linked: DataFrame, p: RunParams) -> DataFrame:
