@@ -1,5 +1,6 @@
 """The registered queries of the operators, and their DuckDB SQL."""
 
+from rewardseg.llm.conversations import op11_conversation_trie, op11_sql
 from rewardseg.llm.language import op10_language
 from rewardseg.llm.licenses import op9_licenses
 from rewardseg.llm.mixing import op4_mixing, op4_sql
@@ -22,5 +23,6 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_licenses": op9_licenses,
     "op10_language": op10_language,
+    "op11_conversation_trie": op11_conversation_trie,
 }
-ORACLE_SQL = {"op1_url_filter": op1_sql(), "op4_mixing": op4_sql()}
+ORACLE_SQL = {"op1_url_filter": op1_sql(), "op4_mixing": op4_sql(), "op11_conversation_trie": op11_sql()}
