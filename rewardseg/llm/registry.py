@@ -1,5 +1,6 @@
 """The registered queries of the operators, and their DuckDB SQL."""
 
+from rewardseg.llm.alignment import op12_token_alignment
 from rewardseg.llm.conversations import op11_conversation_trie, op11_sql
 from rewardseg.llm.language import op10_language
 from rewardseg.llm.licenses import op9_licenses
@@ -24,5 +25,6 @@ QUERIES = {
     "op9_licenses": op9_licenses,
     "op10_language": op10_language,
     "op11_conversation_trie": op11_conversation_trie,
+    "op12_token_alignment": op12_token_alignment,
 }
 ORACLE_SQL = {"op1_url_filter": op1_sql(), "op4_mixing": op4_sql(), "op11_conversation_trie": op11_sql()}

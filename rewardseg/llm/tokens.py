@@ -5,12 +5,14 @@ follows anything and precedes a non-space always opens a new pre-token.
 So a text is cut there, each distinct piece of a batch is encoded once by
 the library (and remembered in a bounded memo), and the ids are laid out by
 array gathers.  Texts where a space stands before white space or at the
-end are encoded whole.
+end are encoded whole, and so are all texts if the vocabulary file is not
+of such a tokenizer.
 """
 
 from __future__ import annotations
 
 import itertools
+import json
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +46,27 @@ def byte_letters(word: str) -> str:
     return word.encode().decode("latin-1").translate(_BYTE_CHAR)
 
 
+def cuts_at_spaces(tokenizer: Tokenizer) -> bool:
+    """Whether the tokenizer is a byte-level BPE that opens a token at every
+    space behind a character that is not white space."""
+    kind = json.loads(tokenizer.to_str())
+    before = kind.get("pre_tokenizer") or {}
+    return (kind["model"]["type"] == "BPE" and kind.get("normalizer") is None and before.get("type") == "ByteLevel"
+            and before.get("use_regex", True) and not before.get("add_prefix_space") and not any(
+                t["normalized"] or t["lstrip"] or t["rstrip"] or " " in t["content"] for t in kind.get("added_tokens", [])))
+
+
+def byte_table(tokenizer: Tokenizer) -> list[bytes]:
+    """The bytes of every id of a byte-level vocabulary."""
+    code = {c: b for b, c in _BYTE_CHAR.items()} | {chr(b): b for b in range(0x21, 0x7F)} | {
+        chr(256 + i): b for i, b in enumerate([*range(0x21), 0x7F])}
+    vocab = tokenizer.get_vocab()
+    out = [b""] * (max(vocab.values()) + 1)
+    for entry, i in vocab.items():
+        out[i] = bytes(code[c] for c in entry) if all(c in code for c in entry) else entry.encode()
+    return out
+
+
 def _runs(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """start, start + 1, ... for ``count`` numbers, one run after another."""
     take = np.repeat((starts - np.cumsum(counts) + counts).astype(np.int32), counts)
@@ -57,6 +80,7 @@ class ColumnEncoder:
     def __init__(self, path: str, memo_words: int = MEMO_WORDS):
         self.tokenizer = Tokenizer.from_file(path)
         self.memo_words = memo_words
+        self.by_word = cuts_at_spaces(self.tokenizer)
         vocab = self.tokenizer.get_vocab()
         self.opens = np.zeros(max(vocab.values()) + 1, bool)
         self.opens[[i for token, i in vocab.items() if token.startswith(SPACE)]] = True
@@ -162,6 +186,9 @@ class ColumnEncoder:
         if isinstance(column, pa.ChunkedArray):
             column = column.combine_chunks()
         texts = pc.fill_null(column.cast(pa.large_string()), "")
+        if not self.by_word:
+            each = [e.ids for e in self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
+            return np.fromiter(itertools.chain.from_iterable(each), np.uint32), np.fromiter(map(len, each), np.int64, len(each))
         whole = pc.match_substring_regex(texts, _UNCUT).to_numpy(zero_copy_only=False)
         cut = pc.if_else(pa.array(whole), pa.scalar("", pa.large_string()), texts)
         pieces = pc.split_pattern(cut, " ")
