@@ -7,6 +7,7 @@ from rewardseg.llm.licenses import op9_licenses
 from rewardseg.llm.mixing import op4_mixing, op4_sql
 from rewardseg.llm.packing import op5_packing
 from rewardseg.llm.permutations import op2_permutation_search
+from rewardseg.llm.pii import op13_personal_data
 from rewardseg.llm.quality import op6_quality
 from rewardseg.llm.simhash import op3_simhash
 from rewardseg.llm.spotsigs import op7_spotsigs
@@ -26,5 +27,6 @@ QUERIES = {
     "op10_language": op10_language,
     "op11_conversation_trie": op11_conversation_trie,
     "op12_token_alignment": op12_token_alignment,
+    "op13_personal_data": op13_personal_data,
 }
 ORACLE_SQL = {"op1_url_filter": op1_sql(), "op4_mixing": op4_sql(), "op11_conversation_trie": op11_sql()}
