@@ -1,8 +1,19 @@
-"""Sinks: overwrite marker table, dated append snapshot, staged intermediates."""
+"""Sinks: overwrite marker table, dated append snapshot, staged intermediates.
+
+``replace_run`` publishes in two phases.  The run's rows are first written
+whole into a folder of their own beside the published ones, in one whose
+name starts with ``_``, so that no reader sees it.  Only then they take the
+month's place: in a catalog table by pointing the partition at the new
+folder, one change of the catalog; under a path by two renames.  A write that
+fails leaves the old month as it was; a driver lost between the two renames
+leaves it in ``_publish``, and ``repair`` (which publishing and ``read_run``
+call first) puts it back.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -30,8 +41,8 @@ def publish(df: DataFrame, target: str, mode: str = "append", partition_col: str
     ``mode="append"`` adds the run's rows (a re-run of the same month
     duplicates them).  ``mode="replace_run"`` replaces the one partition of
     ``run_date``, with nothing if the run has no rows, and keeps every other
-    month; it works the same for paths and catalog tables and changes no
-    session setting.
+    month, which stays readable until the new rows are whole; it works the
+    same for paths and catalog tables and changes no session setting.
     """
     if mode not in ("append", "replace_run"):
         raise ValueError(f"unknown publish mode {mode!r}")
@@ -42,16 +53,94 @@ def publish(df: DataFrame, target: str, mode: str = "append", partition_col: str
         return writer.parquet(target) if is_path else writer.saveAsTable(target)
     if run_date is None:
         raise ValueError("replace_run needs the run date whose rows it replaces")
-    own = df.where(F.col(partition_col) == F.lit(run_date))
+    own = df.where(F.col(partition_col) == F.lit(run_date)).drop(partition_col)
     if is_path:
-        return own.drop(partition_col).write.mode("overwrite").parquet(f"{target}/{partition_col}={run_date}")
+        _replace_folder(own, target, f"{partition_col}={run_date}")
+    else:
+        _replace_partition(own, target, partition_col, run_date)
+
+
+WAITING = "_publish"     # holds what is being published or replaced
+
+
+def _files(spark: SparkSession, *paths: str):
+    """The file system of the first path, and the paths as it takes them."""
+    found = [spark._jvm.org.apache.hadoop.fs.Path(p) for p in paths]
+    return found[0].getFileSystem(spark._jsc.hadoopConfiguration()), found
+
+
+def _move(store, source, target) -> None:
+    if not store.rename(source, target):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
+def _replace_folder(own: DataFrame, target: str, month: str) -> None:
+    """Write beside, then rename: the old month away, the new one in."""
+    spark, waiting = own.sparkSession, f"{target}/{WAITING}"
+    repair(spark, target)
+    new = f"{waiting}/new-{uuid.uuid4().hex}"
+    store, (at, old, fresh) = _files(spark, f"{target}/{month}", f"{waiting}/{month}", new)
+    try:
+        own.write.parquet(new)
+        store.mkdirs(old.getParent())
+        if store.exists(at):
+            _move(store, at, old)
+        _move(store, fresh, at)
+        store.delete(old, True)
+    finally:
+        store.delete(fresh, True)
+
+
+def repair(spark: SparkSession, target: str) -> list[str]:
+    """Finish a publish under a path that was cut between its renames: a
+    month that lies in the waiting folder and is missing from the target goes
+    back, one that has its successor is deleted.  Returns the months put back."""
+    store, (waiting,) = _files(spark, f"{target}/{WAITING}")
+    back = []
+    if not store.exists(waiting):
+        return back
+    for found in store.listStatus(waiting):
+        name = found.getPath().getName()
+        if name.startswith("new-"):
+            continue
+        _, (at,) = _files(spark, f"{target}/{name}")
+        if store.exists(at):
+            store.delete(found.getPath(), True)
+        else:
+            _move(store, found.getPath(), at)
+            back.append(name)
+    return back
+
+
+def _replace_partition(own: DataFrame, target: str, partition_col: str, run_date: dt.date) -> None:
+    """Write beside, then point the month's partition at the new folder."""
+    spark, month = own.sparkSession, f"{partition_col} = DATE'{run_date}'"
+    of_table = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE FORMATTED {target}").collect()}
+    store, (fresh,) = _files(spark, f"{of_table['Location']}/{WAITING}/{run_date}-{uuid.uuid4().hex}")
     columns = [c for c in spark.table(target).columns if c != partition_col]
-    spark.sql(f"INSERT OVERWRITE TABLE {target} PARTITION ({partition_col} = DATE'{run_date}') "
-              f"SELECT {', '.join(f'`{c}`' for c in columns)} FROM {{rows}}", rows=own)
+    try:
+        own.select(*columns).write.format(of_table.get("Provider", "parquet")).save(fresh.toString())
+        had = [r for r in spark.sql(f"SHOW PARTITIONS {target}").collect() if r[0] == f"{partition_col}={run_date}"]
+        if not had:
+            spark.sql(f"ALTER TABLE {target} ADD PARTITION ({month}) LOCATION '{fresh.toString()}'")
+            old = None
+        else:
+            detail = spark.sql(f"DESCRIBE FORMATTED {target} PARTITION ({month})").collect()
+            at_partition = [r.col_name for r in detail].index("# Detailed Partition Information")
+            old = next(r.data_type for r in detail[at_partition:] if r.col_name == "Location")
+            spark.sql(f"ALTER TABLE {target} PARTITION ({month}) SET LOCATION '{fresh.toString()}'")
+        spark.catalog.refreshTable(target)
+    except Exception:
+        store.delete(fresh, True)
+        raise
+    if old:
+        store.delete(_files(spark, old)[1][0], True)
 
 
 def read_run(spark: SparkSession, target: str, run_date: dt.date, partition_col: str = "update_date") -> DataFrame:
     """The published rows of one run date."""
+    if _is_path(target):
+        repair(spark, target)
     table = spark.read.parquet(target) if _is_path(target) else spark.table(target)
     return table.where(F.col(partition_col) == F.lit(run_date))
 

@@ -7,7 +7,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from rewardseg.sources import publish, stage, write_marker
+from rewardseg.sources import publish, sinks, stage, write_marker
 from rewardseg.sources.staging import Staging
 
 
@@ -49,6 +49,44 @@ def test_replace_run_keeps_other_months(spark, kind):
         spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
+@pytest.mark.parametrize("kind", ["path", "table"])
+def test_a_broken_write_keeps_the_old_month(spark, kind):
+    name = f"snap_{uuid.uuid4().hex}"
+    out = tempfile.mkdtemp(prefix="rewardseg-sink-") + "/snap" if kind == "path" else name
+    nov, dec = dt.date(2000, 11, 30), dt.date(2000, 12, 31)
+    rows = lambda: sorted(tuple(r) for r in (spark.read.parquet(out) if kind == "path" else spark.table(out)).collect())
+    try:
+        publish(_snap(spark, nov, 2), out)
+        publish(_snap(spark, dec, 3), out)
+        before = rows()
+        # some tasks write whole files before another one fails
+        broken = spark.range(0, 4000, 1, 8).select(
+            F.when(F.col("id") == 3999, F.raise_error(F.lit("lost")).cast("long")).otherwise(F.col("id")).alias("pi_entity_fk"),
+            F.lit(dec).alias("update_date"))
+        with pytest.raises(Exception, match="lost"):
+            publish(broken, out, mode="replace_run", run_date=dec)
+        assert rows() == before
+        publish(_snap(spark, dec, 1), out, mode="replace_run", run_date=dec)
+        assert [r for r in rows() if r[1] == dec] == [(0, dec)] and len(rows()) == 3
+        publish(_snap(spark, dec, 2), out)      # and it is appended to as before
+        assert len(rows()) == 5
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_a_publish_cut_between_its_renames_is_repaired(spark):
+    out, dec = tempfile.mkdtemp(prefix="rewardseg-sink-") + "/snap", dt.date(2000, 12, 31)
+    publish(_snap(spark, dt.date(2000, 11, 30), 2), out)
+    publish(_snap(spark, dec, 3), out)
+    store, (at, away, parent) = sinks._files(spark, f"{out}/update_date={dec}", f"{out}/{sinks.WAITING}/update_date={dec}", f"{out}/{sinks.WAITING}")
+    store.mkdirs(parent)
+    assert store.rename(at, away)
+    assert sinks.read_run(spark, out, dec).count() == 3         # put back by the reader
+    store.mkdirs(away)                                          # the new month is in, the old one still there
+    assert sinks.repair(spark, out) == [] and not store.exists(away)
+    assert sinks.read_run(spark, out, dec).count() == 3
+
+
 def test_first_publish_of_a_table_may_replace(spark):
     name, day = f"snap_{uuid.uuid4().hex}", dt.date(2000, 12, 31)
     try:
