@@ -99,3 +99,50 @@ def test_odd_documents_equal_brute_force(odd_docs, no_docs, odd_rows, make_docs)
     assert len(kept) == len(least)
     assert sorted(r.doc_id for r in kept if r.doc_id is not None) == sorted(v for v in least.values() if v is not None)
     assert simhash.near_duplicates(no_docs).count() == 0 and simhash.deduplicate(no_docs).count() == 0
+
+
+def spread(rng, centres, each, bits):
+    """Signed fingerprints around a few centres."""
+    out = set()
+    for _ in range(centres):
+        c = rng.getrandbits(64)
+        for _ in range(each):
+            p = c
+            for bit in rng.sample(range(64), rng.randrange(bits + 1)):
+                p ^= 1 << bit
+            out.add(p - (1 << 64) if p >> 63 else p)
+    return sorted(out)
+
+
+def test_spanning_links_equal_brute_force(spark):
+    rng, mask = random.Random(6), (1 << 64) - 1
+    prints = spread(rng, 40, 1, 0) + spread(rng, 6, 30, 3) + spread(rng, 3, 60, 5)
+    group = groups(len(prints), lambda i, j: ((prints[i] ^ prints[j]) & mask).bit_count() <= 3)
+    linked = {i for i, g in enumerate(group) if group.count(g) > 1}
+    least = {g: min(p for p, h in zip(prints, group) if h == g) for g in set(group)}
+    want = {prints[i]: least[group[i]] for i in linked}
+    frame = spark.createDataFrame([(p,) for p in prints], "fp long").repartition(3)
+    for chunk in (3, 20, 2000):  # keys cut into many parts, a few, none
+        assert dict(simhash.spanning_links(frame, chunk=chunk).collect()) == want
+    for bits in (0, 1, 2):
+        group = groups(len(prints), lambda i, j: ((prints[i] ^ prints[j]) & mask).bit_count() <= bits)
+        got = simhash.spanning_links(frame, max_bits=bits, chunk=7).groupBy("component").count().collect()
+        assert sorted(r["count"] for r in got) == sorted(group.count(g) for g in set(group) if group.count(g) > 1)
+    assert simhash.spanning_links(frame.limit(0)).count() == 0
+
+
+def test_links_of_a_dense_key_are_few():
+    rng = random.Random(7)
+    fps = np.array(spread(rng, 1, 3000, 2), np.int64)
+    a, b = simhash.key_links(np.array([0]), np.array([len(fps)]), fps, 3)
+    assert len(a) == len(fps) - 1 and (np.bitwise_count((a ^ b).view(np.uint64)) <= 3).all()
+    small = fps[:50]
+    a, _ = simhash.key_links(np.array([0]), np.array([50]), small, 3)
+    assert len(a) <= 100
+
+
+def test_clashing_names(spark):
+    rows = [(1, "one two three four", "a", 1, 2, "x"), (2, "one two three four", "b", 3, 4, "y"), (3, "another text altogether here", "c", 5, 6, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, keep_doc_id string, keep_turn int, keep_no_id int, keep_text_key string")
+    kept = simhash.deduplicate(docs)
+    assert kept.columns == docs.columns and {r.keep_doc_id for r in kept.collect()} == {"a", "c"}
