@@ -72,6 +72,41 @@ def left_join_spreading_nulls(left: DataFrame, right: DataFrame, left_key: str,
             .drop("_jk_null", "_jk", "_rk_null", "_rk"))
 
 
+# A key with more than one in HOT_SHARE of the rows is hot; there are fewer than HOT_SHARE of them.
+HOT_SHARE = 1000
+GRID = 8
+
+
+def hot_keys(df: DataFrame, key: str, share: int = HOT_SHARE) -> DataFrame:
+    """The keys that hold more than one in ``share`` rows of ``df``: fewer
+    than ``share`` rows, so they may be broadcast.  Two passes over ``df``,
+    with partial aggregation."""
+    total = df.count()
+    per_key = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return per_key.where(F.col("_n") * share > total).select(key)
+
+
+def join_splitting(left: DataFrame, right: DataFrame, key: str, hot: DataFrame, grid: int = GRID) -> DataFrame:
+    """``left INNER JOIN right USING (key)`` with the rows of ``hot`` keys
+    (a bounded list) dealt over ``grid`` x ``grid`` cells.
+
+    A hot key's left rows get a row number of the grid by their hash and go
+    to every column of it, its right rows get a column and go to every row:
+    each pair meets in one cell.  All other keys have one cell, so the join
+    is on (key, row, column).  Adaptive execution can split a hot key only
+    in a join that both sides are shuffled for, the first one of a chain;
+    this also splits it in the later ones."""
+    cells = reduce(DataFrame.unionAll, [hot.select(F.col(key).alias("_hot"), F.lit(i).alias("_to")) for i in range(grid)])
+
+    def dealt(df: DataFrame, own: str, other: str) -> DataFrame:
+        is_hot = F.col("_hot").isNotNull()
+        by_hash = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(grid)).cast("int")
+        return df.join(F.broadcast(cells), F.col(key) == F.col("_hot"), "left").select(
+            *df.columns, F.when(is_hot, by_hash).otherwise(F.lit(0)).alias(own), F.coalesce("_to", F.lit(0)).alias(other))
+    joined = dealt(left, "_row", "_col").join(dealt(right, "_col", "_row"), [key, "_row", "_col"])
+    return joined.drop("_row", "_col")
+
+
 def broadcast_if(df: DataFrame, bounded: bool) -> DataFrame:
     """Hint a side whose bound follows from an already checked one (e.g. a
     distinct projection of a checked dimension)."""

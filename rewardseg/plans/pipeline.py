@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from rewardseg import fixed_values as fv
 from rewardseg.operators import linking, loyalty, products, profile, redemptions, spend
+from rewardseg.operators.joins import hot_keys, join_splitting
 from rewardseg.params import RunParams
 from rewardseg.sources import Sources, publish, write_marker
 from rewardseg.sources.sinks import read_run
@@ -31,16 +32,20 @@ class Run:
     several later steps read (online orders, entity-grain category spend, the
     account side of the snapshot) to the run's folder on shared storage, so
     that it is made once and a lost executor does not send the run back to
-    the fact scan; ``close()`` removes the folder."""
+    the fact scan; ``close()`` removes the folder.  ``staging="shared"``
+    writes only what one step reads twice, the online orders (for the days
+    that the link sweep is asked about, and to join its answers): a query of
+    one spend step then evaluates their three joins once."""
 
     def __init__(self, src: Sources, params: RunParams, staging: str = "view"):
-        if staging not in ("view", "parquet"):
+        if staging not in ("view", "shared", "parquet"):
             raise ValueError(f"unknown staging {staging!r}")
         self.src = src
         self.p = redemptions.resolve_params(src, params)
         self.src_session = src["date_dim"].sparkSession
         self.staging = Staging(self.src_session)
         self._staged = staging == "parquet"
+        self._shared = staging != "view"
 
     def _stage(self, df: DataFrame, name: str) -> DataFrame:
         return self.staging.write(df, name) if self._staged else df
@@ -89,7 +94,8 @@ class Run:
 
     @cached_property
     def online_orders(self) -> DataFrame:
-        return self._stage(loyalty.online_orders(self.src, self.p), "online-orders")
+        orders = loyalty.online_orders(self.src, self.p)
+        return self.staging.write(orders, "online-orders") if self._shared else orders
 
     def flags(self, dedup: bool = False) -> DataFrame:
         return loyalty.transaction_flags(self.src, self.p, dedup_online=dedup, orders=self.online_orders)
@@ -142,20 +148,30 @@ class Run:
 
     @cached_property
     def account_side(self) -> DataFrame:
-        return self._stage(account_side(self.segments, self.src["data_profile"]), "accounts")
+        return self._stage(account_side(self.segments, self.src["data_profile"], self._stage), "accounts")
 
     @cached_property
     def snapshot(self) -> DataFrame:
         return snapshot(self.account_side, self.link_account, self.p)
 
 
-def account_side(segments: DataFrame, data_profile: DataFrame) -> DataFrame:
+def account_side(segments: DataFrame, data_profile: DataFrame, stage=None) -> DataFrame:
     """Per account: segment, every distinct demographics row and points
-    balance (all their pairs, as joining the profile twice gives)."""
-    demographics = data_profile.select("account_number", "age_band", "gender", "region", "acorn_category").distinct()
-    points = data_profile.select("account_number", F.col("total_points").alias("points_balance")).distinct()
-    return (segments.join(demographics, "account_number").join(points, "account_number")
-            .select("account_number", "segment", "age_band", "gender", "region", "acorn_category", "points_balance"))
+    balance (all their pairs, as joining the profile twice gives).
+
+    The profile is read once, to its distinct rows, which ``stage(df, name)``
+    may keep; both sides come from these.  An account with a large share of
+    them is split in both joins of the chain."""
+    demographic = ("age_band", "gender", "region", "acorn_category")
+    rows = data_profile.select("account_number", *demographic, F.col("total_points").alias("points_balance")).distinct()
+    rows = stage(rows, "profiles") if stage else rows
+    hot = hot_keys(rows, "account_number")
+    hot = stage(hot, "hot-accounts") if stage else hot
+    demographics = rows.select("account_number", *demographic).distinct()
+    points = rows.select("account_number", "points_balance").distinct()
+    owned = join_splitting(segments.select("account_number", "segment"), demographics, "account_number", hot)
+    return join_splitting(owned, points, "account_number", hot).select(
+        "account_number", "segment", *demographic, "points_balance")
 
 
 def snapshot(accounts: DataFrame, linked: DataFrame, p: RunParams) -> DataFrame:
