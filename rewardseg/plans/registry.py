@@ -6,6 +6,7 @@ grows with them) and runs one operator or step of the segmentation.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -16,8 +17,9 @@ from rewardseg.functions import in_range, matched
 from rewardseg.operators import bands, linking, loyalty, products, profile, redemptions
 from rewardseg.operators.joins import broadcast_if
 from rewardseg.params import TEST_PARAMS, RunParams
-from rewardseg.plans.pipeline import Run
-from rewardseg.sources import publish, testdata_sources
+from rewardseg.plans.pipeline import SNAPSHOT_COLUMNS, Run, publish_run
+from rewardseg.sources import SOURCE_NAMES, Sources, publish, testdata_sources
+from rewardseg.sources.staging import Staging
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -120,6 +122,44 @@ def _q_published(r: Run) -> DataFrame:
         F.count(F.lit(1)).alias("n_rows"), F.sum("total_spend").cast("decimal(18,2)").alias("total_spend"))
 
 
+# Facts are stored by the year of a date; other sources whole.
+STORED_BY = {"burn_fact": "tran_date", "trans_item": "trans_date", "trans": "trans_date"}
+
+
+def store_sources(src: Sources, folder: str, tag: str) -> tuple[dict[str, str], dict[str, dict[str, str]]]:
+    """Write every source as a catalog table under ``folder``, with column
+    names of the table's own and the facts partitioned by year.  Returns what
+    ``Sources.from_tables`` takes: the tables and the column mapping."""
+    tables, columns = {}, {}
+    for name in SOURCE_NAMES:
+        df = src[name]
+        columns[name] = {c: f"w_{c}" for c in df.columns}
+        tables[name] = f"source_{name}_{tag}"
+        rows = df.select(*[F.col(c).alias(columns[name][c]) for c in df.columns])
+        by = STORED_BY.get(name)
+        if by:
+            rows = rows.withColumn("stored_year", F.year(columns[name][by]))
+        writer = rows.write.option("path", f"{folder}/{name}")
+        (writer.partitionBy("stored_year") if by else writer).saveAsTable(tables[name])
+    return tables, columns
+
+
+def _q_job_over_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monthly job as deployed: sources in catalog tables with their own
+    column names and partitions, read through the column mapping, the run
+    published to a catalog table twice (``replace_run``); the published month."""
+    staging, tag = Staging(spark), uuid.uuid4().hex
+    tables, columns = store_sources(testdata_sources(spark, sf_dir, TEST_PARAMS), f"{staging.path}/sources", tag)
+    snapshot, marker = f"snapshot_{tag}", f"marker_{tag}"
+    try:
+        for _ in range(2):
+            rows = publish_run(Sources.from_tables(spark, tables, columns), TEST_PARAMS, snapshot, marker, mode="replace_run")
+        return staging.write(rows.select(*SNAPSHOT_COLUMNS), "published")
+    finally:
+        for table in (*tables.values(), snapshot, marker):
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
 def _q_segments_rolling(r: Run) -> DataFrame:
     p = replace(r.p, activity="rolling_12m")
     return redemptions.segments(redemptions.redemption_groups(r.summary, p))
@@ -155,30 +195,31 @@ QUERIES: dict[str, Query] = {
     "reservation_left_join": _run(lambda r: loyalty.reservation_left_join(r.src, r.p)),
     "delivery_left_join": _run(lambda r: loyalty.delivery_left_join(r.src, r.p)),
     "coalesce_key_join": _run(lambda r: loyalty.online_orders(r.src, r.p)),
-    "online_loyalty": _run(_q_online_loyalty),
-    "online_loyalty_rows": _run(_q_online_rows),
-    "flag_loyalty_online": _run(_q_online_flag(dedup=False)),
-    "flag_loyalty_online_dedup": _run(_q_online_flag(dedup=True)),
+    "online_loyalty": _run(_q_online_loyalty, "shared"),
+    "online_loyalty_rows": _run(_q_online_rows, "shared"),
+    "flag_loyalty_online": _run(_q_online_flag(dedup=False), "shared"),
+    "flag_loyalty_online_dedup": _run(_q_online_flag(dedup=True), "shared"),
     # Part II -- spend
-    "entity_spend": _run(lambda r: r.entity_spend()),
-    "entity_spend_dedup": _run(lambda r: r.entity_spend(dedup=True)),
-    "eligible_customers": _run(lambda r: r.eligible),
-    "category_spend": _run(lambda r: r.category_spend()),
-    "category_spend_dedup": _run(lambda r: r.category_spend(dedup=True)),
+    "entity_spend": _run(lambda r: r.entity_spend(), "shared"),
+    "entity_spend_dedup": _run(lambda r: r.entity_spend(dedup=True), "shared"),
+    "eligible_customers": _run(lambda r: r.eligible, "shared"),
+    "category_spend": _run(lambda r: r.category_spend(), "shared"),
+    "category_spend_dedup": _run(lambda r: r.category_spend(dedup=True), "shared"),
     "value_score_month": _run(_q_value_score),
-    "spend_bands": _run(lambda r: profile.spend_bands(r.category_spend())),
-    "band_technology_fixed": _run(lambda r: profile.technology_band_fixed(r.category_spend())),
-    "retail_profile": _run(lambda r: r.retail_profile),
-    "profile_duplicates": _run(lambda r: profile.profile_duplicates(r.retail_profile)),
+    "spend_bands": _run(lambda r: profile.spend_bands(r.category_spend()), "shared"),
+    "band_technology_fixed": _run(lambda r: profile.technology_band_fixed(r.category_spend()), "shared"),
+    "retail_profile": _run(lambda r: r.retail_profile, "shared"),
+    "profile_duplicates": _run(lambda r: profile.profile_duplicates(r.retail_profile), "shared"),
     "ntile_bands": _run(_q_ntile, "parquet"),
     "ntile_bands_spenders": _run(_q_ntile_spenders, "parquet"),
     # Part III -- linking and snapshot
-    "link_loyalty": _run(lambda r: r.link_loyalty),
-    "link_account": _run(lambda r: r.link_account),
-    "link_cardinality": _run(lambda r: linking.link_cardinality(r.link_account)),
-    "link_rank": _run(lambda r: linking.link_rank(r.link_account, LINK_MAX_RANK)),
-    "account_collapse": _run(lambda r: linking.account_collapse(r.link_account)),
-    "link_share": _run(lambda r: linking.link_share(r.link_account)),
+    "link_loyalty": _run(lambda r: r.link_loyalty, "shared"),
+    "link_account": _run(lambda r: r.link_account, "shared"),
+    "link_cardinality": _run(lambda r: linking.link_cardinality(r.link_account), "shared"),
+    "link_rank": _run(lambda r: linking.link_rank(r.link_account, LINK_MAX_RANK), "shared"),
+    "account_collapse": _run(lambda r: linking.account_collapse(r.link_account), "shared"),
+    "link_share": _run(lambda r: linking.link_share(r.link_account), "shared"),
     "snapshot": _run(lambda r: r.snapshot, "parquet"),
     "published_months": _run(_q_published, "parquet"),
+    "job_over_tables": _q_job_over_tables,
 }

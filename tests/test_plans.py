@@ -197,3 +197,13 @@ def test_hot_account_is_split_in_the_snapshot_join(spark):
         for k, v in before.items():
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
         staging.remove()
+
+
+def test_online_orders_are_evaluated_once(spark):
+    """A query of one spend step reads its online orders from the run's folder, twice; their outer joins are not in its plan."""
+    from conftest import SF_SMALL
+    from rewardseg.plans.registry import QUERIES
+    for name in ("entity_spend", "category_spend", "flag_loyalty_online", "online_loyalty"):
+        text = _plan(QUERIES[name](spark, SF_SMALL))
+        assert "res_datetime" not in text and "_jk_null" not in text, name
+        assert len([ln for ln in text.splitlines() if "FileScan parquet [pi_trans_pk" in ln or "FileScan parquet [order_date" in ln]) >= 1, name
