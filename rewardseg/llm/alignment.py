@@ -31,6 +31,7 @@ columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 
 import numpy as np
@@ -44,14 +45,16 @@ from rewardseg.llm.common import byte_sizes, kept, slices, stage, table
 from rewardseg.llm.tokens import byte_table, cuts_at_spaces, default_tokenizer
 
 HOT_PAIRS = 1 << 20
-MEMO_WORDS = 250_000
-MEMO_LINKS = 4_000_000
-SLICE_BYTES = 4_000_000
-COUNT_PAIRS = 2_000_000   # pairs that a task gathers before it sums them
-LEARN_WORDS = 4000
+MEMO_WORDS = 120_000
+MEMO_LINKS = 2_000_000
+SLICE_BYTES = 1_500_000
+COUNT_PAIRS = 1_000_000   # pairs that a task gathers before it sums them
+LEARN_WORDS = 8000
+JOINED_WORDS = 100
 SPACE = "▁"          # how sentencepiece writes a space
 _CUT = re.compile(r"(?<=\S)(?= )")
 _UNEVEN = re.compile(r"\s ")
+_SPACE = re.compile(r"\s|\u2581")
 
 
 def default_pieces() -> str:
@@ -133,6 +136,7 @@ class Aligner:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.vocab_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)]
         self.a_sizes, self.b_sizes = (np.fromiter(map(len, t), np.int64, len(t)) for t in (self.a_bytes, self.b_bytes))
+        self.a_opens, self.b_opens = (np.array([x[:1] == b" " for x in t]) for t in (self.a_bytes, self.b_bytes))
         self.space = self.b.piece_to_id(SPACE)
         self.by_word = cuts_at_spaces(self.a) and not any(SPACE in p.lstrip(SPACE) for p in pieces)
         self.forget()
@@ -143,6 +147,25 @@ class Aligner:
         self.numbers = np.empty((0, 5), np.int64)        # A tokens, B tokens, groups, links, group links; -1: does not spell the word
         self.pairs = np.empty(0, np.int64)
         self.starts = np.empty(0, np.int64)
+        self.uses = np.empty(0, np.int64)
+        self.new: list[tuple[np.ndarray, ...]] = []      # starts, pairs and numbers learned since
+        self.new_links = 0
+
+    def _thin(self) -> None:
+        """Make room: half of it for the words used most, if more than once."""
+        keep = np.flatnonzero(self.uses > 1)
+        if len(keep) > MEMO_WORDS // 2:
+            keep = np.sort(keep[np.argpartition(-self.uses[keep], MEMO_WORDS // 2)[:MEMO_WORDS // 2]])
+        if int(np.maximum(self.numbers[keep, 3], 0).sum()) > MEMO_LINKS // 2 or not self.by_word:
+            return self.forget()
+        place = np.full(len(self.uses), -1, np.int64)
+        place[keep] = np.arange(len(keep))
+        at = place.tolist()
+        self.rows = {w: at[r] for w, r in self.rows.items() if at[r] >= 0}
+        self.texts = [self.texts[i] for i in keep.tolist()]
+        links = np.maximum(self.numbers[keep, 3], 0)
+        self.pairs = self.pairs[_runs(self.starts[keep], links)]
+        self.starts, self.numbers, self.uses = np.cumsum(links) - links, self.numbers[keep], np.ones(len(keep), np.int64)
 
     def _words(self, text: str) -> list[str]:
         if not self.by_word:
@@ -151,18 +174,53 @@ class Aligner:
             return [w[1:] for w in _CUT.split(" " + text)]
         return text.split(" ")
 
-    def _tokens(self, words: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        a = [e.ids for e in self.a.encode_batch_fast([" " + w for w in words], add_special_tokens=False)]
-        b = self.b.encode(words, num_threads=1)
-        return a, [ids if w else [self.space] for w, ids in zip(words, b)]
+    def _tokens(self, words: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per tokenizer: the ids of all words, each after a space, end to
+        end, and how many each word has.  Words without white space are
+        encoded many at a time, where a token that begins with a space
+        begins a word."""
+        sides = []
+        for encode, opens in ((self._encode_a, self.a_opens), (self._encode_b, self.b_opens)):
+            ids, counts = [], []
+            for i in range(0, len(words), JOINED_WORDS):
+                part = words[i:i + JOINED_WORDS]
+                joined = " ".join(part)
+                plain = self.by_word and "" not in part and len(_SPACE.findall(joined)) == len(part) - 1
+                flat = np.array(encode([joined])[0], np.int64) if plain else None
+                if flat is not None and opens[flat].sum() == len(part):
+                    counts.append(np.diff(np.flatnonzero(opens[flat]), append=len(flat)))
+                    ids.append(flat)
+                    continue
+                each = encode(part)
+                counts.append(np.fromiter(map(len, each), np.int64, len(each)))
+                ids.append(np.fromiter(itertools.chain.from_iterable(each), np.int64))
+            sides.append((np.concatenate(ids), np.concatenate(counts)) if ids else (np.empty(0, np.int64), np.empty(0, np.int64)))
+        return sides
+
+    def _encode_a(self, words: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.a.encode_batch_fast([" " + w for w in words], add_special_tokens=False)]
+
+    def _encode_b(self, words: list[str]) -> list[list[int]]:
+        return [ids if w else [self.space] for w, ids in zip(words, self.b.encode(words, num_threads=1))]
+
+    def _spelled(self, words: list[str], sides) -> np.ndarray:
+        """Which words the tokens of both kinds spell."""
+        plain = [b" " + w.encode() for w in words]
+        whole, sizes = b"".join(plain), np.fromiter(map(len, plain), np.int64, len(plain))
+        fits = np.ones(len(words), bool)
+        for (ids, counts), spell, bytes_of in zip(sides, (self.a_bytes, self.b_bytes), (self.a_sizes, self.b_sizes)):
+            ends = np.cumsum(counts)
+            total = np.concatenate([[0], np.cumsum(bytes_of[ids])])
+            if (total[ends] - total[ends - counts] == sizes).all() and b"".join(map(spell.__getitem__, ids.tolist())) == whole:
+                continue
+            fits &= [b"".join(map(spell.__getitem__, ids[e - n:e].tolist())) == w for w, e, n in zip(plain, ends.tolist(), counts.tolist())]
+        return fits
 
     def _learn(self, words: list[str]) -> None:
-        a, b = self._tokens(words)
-        fits = [b"".join(map(self.a_bytes.__getitem__, x)) == b"".join(map(self.b_bytes.__getitem__, y)) == b" " + w.encode()
-                for w, x, y in zip(words, a, b)]
-        a, b = ([x if fit else [] for x, fit in zip(side, fits)] for side in (a, b))
-        a_ids, b_ids = (np.array([i for x in side for i in x], np.int64) for side in (a, b))
-        a_word, b_word = (np.repeat(np.arange(len(words)), [len(x) for x in side]) for side in (a, b))
+        sides = self._tokens(words)
+        fits = self._spelled(words, sides)
+        (a_ids, a_count), (b_ids, b_count) = ((ids, n) if fits.all() else (ids[np.repeat(fits, n)], np.where(fits, n, 0)) for ids, n in sides)
+        a_word, b_word = (np.repeat(np.arange(len(words)), n) for n in (a_count, b_count))
         of_a, of_b, _ = overlap_links(self.a_sizes[a_ids], self.b_sizes[b_ids])
         a_group, b_group = group_numbers(self.a_sizes[a_ids], self.b_sizes[b_ids])
         n_groups = int(a_group[-1]) + 1 if len(a_group) else 0
@@ -170,53 +228,62 @@ class Aligner:
         group_word = np.zeros(n_groups, np.int64)
         group_word[a_group] = a_word
         count = lambda word, weights=None: np.bincount(word, weights, len(words)).astype(np.int64)
-        numbers = np.stack([count(a_word), count(b_word), count(group_word), count(a_word[of_a]), count(group_word, per_group)], axis=1)
-        numbers[~np.array(fits, bool)] = -1
+        numbers = np.stack([a_count, b_count, count(group_word), count(a_word[of_a]), count(group_word, per_group)], axis=1)
+        numbers[~fits] = -1
         # spelled groups: ids joined by commas, sides by |, groups by ;
-        sides = []
+        spelled = []
         for ids, group in ((a_ids, a_group), (b_ids, b_group)):
-            spelled = list(map(str, ids.tolist()))
-            cuts = np.flatnonzero(np.diff(group, prepend=-1)).tolist() + [len(spelled)]
-            sides.append([",".join(spelled[x:y]) if y > x + 1 else spelled[x] for x, y in zip(cuts, cuts[1:])])
-        groups = [f"{x}|{y}" for x, y in zip(*sides)]
-        ends = np.cumsum(np.maximum(numbers[:, 2], 0)).tolist()
+            texts = list(map(str, ids.tolist()))
+            for at in np.flatnonzero(np.diff(group, prepend=-1) == 0).tolist():
+                texts[at] = "," + texts[at]
+            spelled.append(texts)
+        marks = np.searchsorted(group_word, np.arange(len(words) + 1)).tolist()
+        firsts = [np.searchsorted(group, np.arange(n_groups + 1)).tolist() for group in (a_group, b_group)]
+        groups = ["".join(spelled[0][x:y]) + "|" + "".join(spelled[1][u:v]) if y > x + 1 or v > u + 1 else spelled[0][x] + "|" + spelled[1][u]
+                  for x, y, u, v in zip(firsts[0], firsts[0][1:], firsts[1], firsts[1][1:])]
         base = len(self.texts)
-        self.texts += [";".join(groups[x:y]) for x, y in zip([0, *ends], ends)]
+        self.texts += [";".join(groups[x:y]) if y > x + 1 else groups[x] if y > x else "" for x, y in zip(marks, marks[1:])]
         self.rows.update(zip(words, range(base, base + len(words))))
         links = np.maximum(numbers[:, 3], 0)
-        self.starts = np.concatenate([self.starts, len(self.pairs) + np.cumsum(links) - links])
-        self.pairs = np.concatenate([self.pairs, a_ids[of_a] * len(self.b_bytes) + b_ids[of_b]])
-        self.numbers = np.concatenate([self.numbers, numbers])
+        self.new.append((len(self.pairs) + self.new_links + np.cumsum(links) - links, a_ids[of_a] * len(self.b_bytes) + b_ids[of_b], numbers))
+        self.new_links += int(links.sum())
 
     def align(self, texts: list[str | None]):
         """Per text: (A tokens, B tokens, groups, links, group links), the
         groups' digest, and the id pairs of its links."""
-        if len(self.texts) > MEMO_WORDS or len(self.pairs) > MEMO_LINKS:
-            self.forget()
+        if len(self.texts) > MEMO_WORDS or len(self.pairs) > MEMO_LINKS or not self.by_word:
+            self._thin()
         split = [self._words(t) if t else [] for t in texts]
-        missing = list(dict.fromkeys(w for words in split for w in words if w not in self.rows))
-        if not self.by_word:   # whole texts: one at a time, none kept
-            self.forget()
+        missing = list(set().union(*split).difference(self.rows))
+        odd = [w for w in missing if not w or _SPACE.search(w)]      # encoded one by one, so kept apart from the others
+        if odd:
+            missing = [*set(missing).difference(odd), *odd]
         for i in range(0, len(missing), LEARN_WORDS):
             self._learn(missing[i:i + LEARN_WORDS])
-        for words in split:
-            rows = list(map(self.rows.__getitem__, words))
+        if self.new:
+            starts, pairs, numbers = zip(*self.new)
+            self.starts, self.pairs, self.numbers = (np.concatenate([x, *y]) for x, y in zip(
+                (self.starts, self.pairs, self.numbers), (starts, pairs, numbers)))
+            self.new, self.new_links = [], 0
+        every = [np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words)) for words in split]
+        self.uses = np.concatenate([self.uses, np.zeros(len(self.texts) - len(self.uses), np.int64)])
+        self.uses += np.bincount(np.concatenate(every), minlength=len(self.uses))
+        for rows in every:
             numbers = self.numbers[rows]
-            if not rows or (numbers[:, 0] < 0).any():
+            if not len(rows) or (numbers[:, 0] < 0).any():
                 yield np.zeros(5, np.int64), "", np.empty(0, np.int64)
                 continue
-            spelled = ";".join(map(self.texts.__getitem__, rows))
+            spelled = ";".join(map(self.texts.__getitem__, rows.tolist()))
             yield numbers.sum(axis=0), hashlib.sha256(spelled.encode()).hexdigest(), self.pairs[_runs(self.starts[rows], numbers[:, 3])]
 
     def positions(self, text: str) -> tuple[np.ndarray, ...] | None:
         """(A ids, their bytes, B ids, their bytes) of a whole text; None if
         they do not spell it."""
-        a, b = self._tokens(self._words(text))
-        a, b = ([i for x in side for i in x] for side in (a, b))
-        spelled = b" " + text.encode()
-        if b"".join(map(self.a_bytes.__getitem__, a)) != spelled or b"".join(map(self.b_bytes.__getitem__, b)) != spelled:
+        words = self._words(text)
+        sides = self._tokens(words)
+        if not self._spelled(words, sides).all():
             return None
-        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        (a, _), (b, _) = sides
         return a, self.a_sizes[a], b, self.b_sizes[b]
 
 
