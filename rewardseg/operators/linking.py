@@ -72,18 +72,39 @@ def link_share(linked: DataFrame) -> DataFrame:
                                                   (F.col("entities") / F.col("base")).alias("share"))
 
 
+def _best_first() -> list:
+    return [F.col("total_spend").desc_nulls_last(), F.col("pi_entity_fk").asc(), F.col("current_value_score").asc_nulls_first()]
+
+
 def link_rank(linked: DataFrame, max_rank: int = 1) -> DataFrame:
     """Keep the ``max_rank`` best-spending entities per account (ties broken
     by entity key, so the result is deterministic).  The rank filter lets
     Catalyst insert a partial per-group limit before the shuffle, so a hot
     account ships at most ``max_rank`` rows per map task."""
-    order = Window.partitionBy("account_number").orderBy(F.col("total_spend").desc_nulls_last(),
-                                                         F.col("pi_entity_fk").asc(),
-                                                         F.col("current_value_score").asc_nulls_first())
+    order = Window.partitionBy("account_number").orderBy(*_best_first())
     return (linked.withColumn("link_rank", F.row_number().over(order))
             .where(F.col("link_rank") <= max_rank))
 
 
+def rank_through_cards(profile: DataFrame, cards: DataFrame, full_card: DataFrame, max_rank: int = 1) -> DataFrame:
+    """``link_rank(link_account(...), max_rank)`` without the whole chain:
+    the best entities are kept per card hash before accounts are attached.
+
+    An account's entities are those of its card hashes, so one that is among
+    the account's best is among the best of every hash that leads to it.  Per
+    hash ``max_rank`` rows stay (the limit is applied before the shuffle, so a
+    card that a third of the entities share ships at most ``max_rank`` rows
+    per map task), and only these are joined to accounts, made distinct (an
+    entity may be reached through several hashes) and ranked."""
+    order = Window.partitionBy("loyalty_card_hash").orderBy(*_best_first())
+    per_card = (link_loyalty(profile, cards).withColumn("_card_rank", F.row_number().over(order))
+                .where(F.col("_card_rank") <= max_rank))
+    accounts = full_card.select("account_number", "loyalty_id").distinct()
+    linked = (per_card.join(accounts, F.col("loyalty_card_hash") == F.col("loyalty_id"), "inner")
+              .select("pi_entity_fk", "account_number", *LINK_COLUMNS).distinct())
+    return link_rank(linked, max_rank)
+
+
 def account_collapse(linked: DataFrame) -> DataFrame:
     """One row per account: entity count, summed spend (each entity once),
     best score and the highest band per category over its entities."""

@@ -125,6 +125,25 @@ def online_link_rows(links: DataFrame) -> DataFrame:
             .drop("_one"))
 
 
+def tender_flags(src: Sources) -> DataFrame:
+    """Per transaction with a loyalty tender: in-store loyalty and redemption
+    flags.  Over tenders bucketed on the transaction this needs no shuffle."""
+    t = F.col("pi_tender_type_fk")
+    return (src["trans_tender"].where(t.isin(fv.TENDER_LOYALTY_INSTORE, fv.TENDER_REDEMPTION_INSTORE)).groupBy("pi_trans_fk")
+            .agg(F.max(F.when(t == fv.TENDER_LOYALTY_INSTORE, 1).otherwise(0)).alias("loyalty_instore"),
+                 F.max(F.when(t == fv.TENDER_REDEMPTION_INSTORE, 1).otherwise(0)).alias("instore_red")))
+
+
+def online_flags(src: Sources, p: RunParams, dedup_online: bool = False, orders: DataFrame | None = None) -> DataFrame:
+    """Per transaction with a valid online link: the online flag and the
+    multiplicity of the (non-distinct) online join."""
+    rows = _link_rows(src, p, orders)
+    if dedup_online:
+        rows = rows.select("pi_trans_pk", "order_date", F.lit(1).alias("n_links")).distinct()
+    per_trans = rows.groupBy(F.col("pi_trans_pk").alias("pi_trans_fk")).agg(F.sum("n_links").cast("bigint").alias("multiplicity"))
+    return per_trans.select("pi_trans_fk", F.lit(1).alias("loyalty_online"), "multiplicity")
+
+
 def transaction_flags(src: Sources, p: RunParams, dedup_online: bool = False,
                       orders: DataFrame | None = None) -> DataFrame:
     """Per transaction: in-store loyalty and redemption flags, online flag and

@@ -49,6 +49,21 @@ def flagged_lines(items: DataFrame, flags: DataFrame) -> DataFrame:
                     F.coalesce(F.col("multiplicity"), F.lit(1)).alias("multiplicity"))
 
 
+def flagged_bucketed_lines(items: DataFrame, tender: DataFrame, online: DataFrame) -> DataFrame:
+    """``flagged_lines`` for line items and tenders stored bucketed on the
+    transaction: the two flag sides are joined one after the other on the
+    key of the buckets, so neither lines nor tenders are shuffled (a union of
+    both sides would lose the tenders' buckets).  The lines of one
+    transaction lie in one task, so they are summed per (transaction, entity,
+    category) there before the joins."""
+    summed = (items.select("pi_trans_fk", "pi_entity_fk", "spend_category", to_cents(F.col("line_total")).alias("cents"))
+              .groupBy("pi_trans_fk", "pi_entity_fk", "spend_category").agg(F.sum("cents").alias("cents")))
+    j = summed.join(tender, "pi_trans_fk", "left").join(online, "pi_trans_fk", "left")
+    return j.select("pi_entity_fk", "spend_category", "cents",
+                    *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in FLAG_COLUMNS],
+                    F.coalesce("multiplicity", F.lit(1).cast("bigint")).alias("multiplicity"))
+
+
 def _weighted() -> Column:
     return F.col("cents") * F.col("multiplicity")
 

@@ -37,7 +37,7 @@ class Run:
     that the link sweep is asked about, and to join its answers): a query of
     one spend step then evaluates their three joins once."""
 
-    def __init__(self, src: Sources, params: RunParams, staging: str = "view"):
+    def __init__(self, src: Sources, params: RunParams, staging: str = "view", bucketed: bool = False):
         if staging not in ("view", "shared", "parquet"):
             raise ValueError(f"unknown staging {staging!r}")
         self.src = src
@@ -46,6 +46,7 @@ class Run:
         self.staging = Staging(self.src_session)
         self._staged = staging == "parquet"
         self._shared = staging != "view"
+        self._bucketed = bucketed
 
     def _stage(self, df: DataFrame, name: str) -> DataFrame:
         return self.staging.write(df, name) if self._staged else df
@@ -102,6 +103,9 @@ class Run:
 
     def lines(self, dedup: bool = False) -> DataFrame:
         """Line items with their transaction flags (the one spend stream)."""
+        if self._bucketed:
+            return spend.flagged_bucketed_lines(self.items, loyalty.tender_flags(self.src),
+                                                loyalty.online_flags(self.src, self.p, dedup, self.online_orders))
         return spend.flagged_lines(self.items, self.flags(dedup))
 
     def entity_spend(self, dedup: bool = False) -> DataFrame:

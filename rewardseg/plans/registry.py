@@ -216,7 +216,7 @@ QUERIES: dict[str, Query] = {
     "link_loyalty": _run(lambda r: r.link_loyalty, "shared"),
     "link_account": _run(lambda r: r.link_account, "shared"),
     "link_cardinality": _run(lambda r: linking.link_cardinality(r.link_account), "shared"),
-    "link_rank": _run(lambda r: linking.link_rank(r.link_account, LINK_MAX_RANK), "shared"),
+    "link_rank": _run(lambda r: linking.rank_through_cards(r.profiled, r.entity_cards, r.src["full_card"], LINK_MAX_RANK), "shared"),
     "account_collapse": _run(lambda r: linking.account_collapse(r.link_account), "shared"),
     "link_share": _run(lambda r: linking.link_share(r.link_account), "shared"),
     "snapshot": _run(lambda r: r.snapshot, "parquet"),

@@ -137,6 +137,13 @@ def _replace_partition(own: DataFrame, target: str, partition_col: str, run_date
         store.delete(_files(spark, old)[1][0], True)
 
 
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str | None = None) -> None:
+    """A catalog table bucketed and sorted on ``key`` (one file per bucket):
+    joins and sums on it, with tables of as many buckets, need no shuffle."""
+    writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+
+
 def read_run(spark: SparkSession, target: str, run_date: dt.date, partition_col: str = "update_date") -> DataFrame:
     """The published rows of one run date."""
     if _is_path(target):

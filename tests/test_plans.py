@@ -207,3 +207,53 @@ def test_online_orders_are_evaluated_once(spark):
         text = _plan(QUERIES[name](spark, SF_SMALL))
         assert "res_datetime" not in text and "_jk_null" not in text, name
         assert len([ln for ln in text.splitlines() if "FileScan parquet [pi_trans_pk" in ln or "FileScan parquet [order_date" in ln]) >= 1, name
+
+
+def test_bucketed_lines_and_tenders_are_not_shuffled(spark):
+    """Line items and tenders bucketed on the transaction: neither is shuffled for the flags or the sums per
+    transaction, and spend is the same."""
+    from conftest import SF_SMALL
+    from rewardseg.params import TEST_PARAMS
+    from rewardseg.sources.sinks import write_bucketed
+    derived = derive_sources(spark, SF_SMALL, TEST_PARAMS)
+    root, builders = tempfile.mkdtemp(prefix="rewardseg-bucket-"), {n: (lambda n=n: derived[n]) for n in derived}
+    names = {"trans_item": "co_bucketed_item", "trans_tender": "co_bucketed_tender"}
+    try:
+        for source, name in names.items():
+            write_bucketed(derived[source], name, "pi_trans_fk", 8, f"{root}/{source}")
+            builders[source] = lambda name=name: spark.table(name)
+        plain = Run(derived, TEST_PARAMS, staging="shared")
+        run = Run(Sources(builders), TEST_PARAMS, staging="shared", bucketed=True)
+        lines = _plan(run.lines())
+        shuffled = [ln for ln in lines.splitlines() if re.search(r"Exchange hashpartitioning\(pi_trans_[fp]k", ln)]
+        assert len(shuffled) == 1, shuffled       # the online links, which come from the orders' accounts
+        assert lines.count("co_bucketed_") == 2 and not any("line_total" in ln for ln in shuffled)
+        for of in (lambda r: r.entity_spend(), lambda r: r.entity_spend(dedup=True), lambda r: r.category_spend()):
+            got, want = of(run), of(plain)
+            assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0 and want.count()
+    finally:
+        for name in names.values():
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_shared_card_ships_its_best_entities_only(spark):
+    """A card hash that half of the entities share: each map task passes on at most max_rank rows of it, and the
+    result is that of ranking the whole chain."""
+    from rewardseg import fixed_values as fv
+    from rewardseg.operators import linking
+    profile = spark.range(0, 4000, 1, 4).select(
+        F.col("id").alias("pi_entity_fk"), F.when(F.col("id") % 7 > 0, F.col("id") % 5).cast("int").alias("current_value_score"),
+        *[F.lit(1).alias(b) for b in fv.BAND_COLUMNS], (F.col("id") % 90).cast("decimal(18,2)").alias("total_spend"))
+    profile = profile.unionByName(profile.where("pi_entity_fk % 50 = 1").withColumn("current_value_score", F.lit(9)))
+    cards = (spark.range(4000).select(F.col("id").alias("pi_entity_fk"), F.when(F.col("id") % 2 == 0, "hot").otherwise(
+        F.concat(F.lit("h"), F.col("id") % 300)).alias("loyalty_card_hash"))
+        .union(spark.range(900).selectExpr("id", "concat('h', id % 70)")).distinct())
+    full_card = spark.range(400).selectExpr("id % 210 AS account_number", "if(id % 9 = 0, 'hot', concat('h', id)) AS loyalty_id")
+    for k in (1, 3):
+        got = linking.rank_through_cards(profile, cards, full_card, k)
+        want = linking.link_rank(linking.link_account(profile, linking.entity_accounts(cards, full_card)), k)
+        assert got.columns == want.columns
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0 and want.count()
+    plan = _plan(got)
+    limit = next(i for i, ln in enumerate(plan.splitlines()) if "WindowGroupLimit [loyalty_card_hash" in ln and "Partial" in ln)
+    assert any("Exchange hashpartitioning(loyalty_card_hash" in ln for ln in plan.splitlines()[:limit])
