@@ -12,10 +12,12 @@ variate divided by its quality weight, the smallest keys come first, and
 documents are taken while the running sum of their sizes stays nearer to
 the budget with them than without them.
 
-Scale: documents shrink to (doc_id, source, size, key) once.  A source's
-key range is cut into slots of about ``SLOT_ROWS`` documents; the running
-sum is one over slot totals and one inside each slot, so no source, however
-large, is ordered in one task.
+Scale: documents shrink to (doc_id, source, size, key) once, equal ones to
+one row with their number.  They are range-partitioned in the order of
+(source, key, id, size, text); a task's run of one source is a slot.  The
+running sum is one over slot totals and one inside each slot, so no source,
+however large and whatever the weights, is ordered in one task, nor are the
+rows without an id, which share a key.
 
 Defined cases: null text has size 0; the null source is a source of its own
 and comes last; sizes of 0 are taken 0 words (``copies`` still counts
@@ -27,14 +29,18 @@ of the same names as the working ones are ignored.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from rewardseg.llm.common import WORD, stage, table, word_count
+from rewardseg.llm.common import WORD, fresh_name, stage, table, word_count
 
 WEIGHTS = (5, 2, 1)
 SHARE, LIMIT = 1.5, 2.0
 SEED = 42
 SLOT_ROWS = 4000
+MOST_SLOTS = 20_000
+UNFOLD = 10_000
 SALTS = 16
 LEAST_WEIGHT, DEFAULT_WEIGHT = 0.25, 0.625
 
@@ -92,22 +98,27 @@ def mix(docs: DataFrame, doc_weights: DataFrame | None = None, weights=WEIGHTS,
         weight = F.lit(1.0)
     rows = stage(rows.select("doc_id", "source", "text_key", "size", sampling_key(F.col("doc_id"), weight, seed).alias("key")), "mix-rows")
     targets = stage(source_targets(rows, weights, share, limit), "mix-targets")
-    # every source's row once per salt: a hot source is spread over the salts
+    # equal rows are one row with a number of them; every source's row once per salt: a hot source is spread over the salts
+    folded = rows.groupBy("doc_id", "source", "text_key", "size", "key").agg(F.count(F.lit(1)).alias("rows"))
     spread = targets.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int"))
+    salted = folded.withColumn("salt", F.pmod(F.xxhash64("key", "text_key"), F.lit(SALTS)).cast("int"))
     known = salted.join(spread.withColumnRenamed("source", "of").withColumnRenamed("salt", "s"),
                         F.col("source").eqNullSafe(F.col("of")) & (F.col("salt") == F.col("s")))
-    # 1 - exp(-key) rises with the key and fills (0, 1)
-    slots = F.ceil(F.col("n_docs") / SLOT_ROWS)
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
-    known = known.select("doc_id", "source", "text_key", "rank", "size", "key", "source_size", "target", epochs.alias("epochs"),
-                         F.floor((1 - F.exp(-F.col("key"))) * slots).alias("slot"))
-    per_slot = known.groupBy("rank", "slot").agg(F.sum("size").alias("slot_size"))
+    known = known.select("doc_id", "source", "text_key", "rank", "size", "key", "rows", "source_size", "target", epochs.alias("epochs"))
+    order = ["key", "doc_id", "size", "text_key"]
+    n_docs = targets.agg(F.sum("n_docs")).first()[0] or 0
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(math.ceil(n_docs / SLOT_ROWS), MOST_SLOTS))
+    # a slot is a task's run of one source in the order of the keys, whatever weights or ids they come from
+    known = stage(known.repartitionByRange(parts, "rank", *order).withColumn("slot", F.spark_partition_id()), "mix-slots")
+    words = F.col("size") * F.col("rows")
+    per_slot = known.groupBy("rank", "slot").agg(F.sum(words).alias("slot_size"))
     earlier = Window.partitionBy("rank").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
     per_slot = per_slot.select("rank", "slot", F.coalesce(F.sum("slot_size").over(earlier), F.lit(0)).alias("slot_start"))
-    inside = Window.partitionBy("rank", "slot").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("rank", "slot").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     placed = (known.join(per_slot, ["rank", "slot"])
-              .withColumn("before", F.col("slot_start") + F.coalesce(F.sum("size").over(inside), F.lit(0))))
+              .withColumn("before", F.col("slot_start") + F.coalesce(F.sum(words).over(inside), F.lit(0))))
+    placed = _unfolded(placed)
     budget = F.col("target") - F.col("epochs") * F.col("source_size")
     chosen = (F.col("before") + F.col("size") / 2 <= budget) & (budget > 0) & (F.col("epochs") < limit)
     copies = F.col("epochs") + F.when(chosen, 1).otherwise(0)
@@ -115,18 +126,30 @@ def mix(docs: DataFrame, doc_weights: DataFrame | None = None, weights=WEIGHTS,
                          copies.cast("int").alias("copies"))
 
 
+def _unfolded(placed: DataFrame) -> DataFrame:
+    """Each of ``rows`` equal rows again, ``before`` being the words in front
+    of it; a large number is dealt over tasks in pieces of UNFOLD rows."""
+    few = placed.where(F.col("rows") <= UNFOLD).withColumn("turn", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1)))
+    pieces = placed.where(F.col("rows") > UNFOLD).withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("rows") - 1) / UNFOLD))))
+    first = F.col("piece") * UNFOLD
+    many = pieces.repartition("doc_id", "source", "text_key", "piece").withColumn(
+        "turn", F.explode(F.sequence(first, F.least(first + UNFOLD, F.col("rows")) - 1))).drop("piece")
+    return few.unionByName(many).withColumn("before", F.col("before") + F.col("turn") * F.col("size")).drop("turn")
+
+
 def mixed_documents(docs: DataFrame, doc_weights: DataFrame | None = None, **options) -> DataFrame:
     """The mix itself: the rows of ``docs``, all columns, as often as they are
     taken.  Rows equal in doc_id, source and text stand for one another."""
     taken = mix(docs, doc_weights, **options).groupBy("doc_id", "source", "text_key").agg(
         F.sum("copies").cast("int").alias("mix_copies")).where("mix_copies > 0")
-    taken = taken.select(*[F.col(c).alias(f"mix_{c}") for c in ("doc_id", "source", "text_key")], "mix_copies")
+    of_id, of_source, of_text, times, turn = (fresh_name(f"mix_{c}", docs.columns) for c in ("doc_id", "source", "text_key", "copies", "turn"))
+    taken = taken.select(F.col("doc_id").alias(of_id), F.col("source").alias(of_source), F.col("text_key").alias(of_text), F.col("mix_copies").alias(times))
     doc_id, source = docs["doc_id"].cast("long"), docs["source"].cast("string")
-    same = ((F.xxhash64(docs["text"].cast("string")) == F.col("mix_text_key")) &
-            doc_id.eqNullSafe(F.col("mix_doc_id")) & source.eqNullSafe(F.col("mix_source")))
-    turn = F.row_number().over(Window.partitionBy("mix_text_key", "mix_doc_id", "mix_source").orderBy("mix_text_key"))
-    return (docs.join(taken, same).withColumn("mix_turn", turn).where("mix_turn = 1")
-            .withColumn("mix_turn", F.explode(F.array_repeat(F.lit(1), F.col("mix_copies"))))
+    same = ((F.xxhash64(docs["text"].cast("string")) == F.col(of_text)) &
+            doc_id.eqNullSafe(F.col(of_id)) & source.eqNullSafe(F.col(of_source)))
+    first = F.row_number().over(Window.partitionBy(of_text, of_id, of_source).orderBy(of_text))
+    return (docs.join(taken, same).withColumn(turn, first).where(F.col(turn) == 1)
+            .withColumn(turn, F.explode(F.array_repeat(F.lit(1), F.col(times))))
             .select(*[docs[c] for c in docs.columns]))
 
 

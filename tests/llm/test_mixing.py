@@ -78,3 +78,40 @@ def test_better_documents_come_first(make_docs, spark):
     rows = mixing.mix(make_docs(docs), mixing.quality_weights(labels), weights=(1, 1), share=0.5).collect()
     good = sum(r.copies for r in rows if r.doc_id % 2)
     assert good > 1.5 * sum(r.copies for r in rows if not r.doc_id % 2)
+
+
+def test_low_weights_and_missing_ids_spread_over_slots(spark, no_labels):
+    """Documents of a low weight, and rows without an id (one key), are cut into slots like any other."""
+    from pyspark.sql import functions as F
+    docs = spark.range(0, 30_000, 1, 4).select(
+        F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"), F.lit("s").alias("source"))
+    labels = docs.where("doc_id is not null").select("doc_id", F.lit(0).alias("quality"))
+    seen = []
+    original = mixing.stage
+
+    def keep(df, name):
+        seen.append((name, original(df, name)))
+        return seen[-1][1]
+    mixing.stage = keep
+    try:
+        rows = mixing.mix(docs, mixing.quality_weights(labels)).collect()
+    finally:
+        mixing.stage = original
+    slots = dict(seen)["mix-slots"].groupBy("rank", "slot").count().collect()
+    assert len(slots) >= 8 and max(r["count"] for r in slots) < 3 * 30_000 / 8
+    assert len(rows) == 30_000 and abs(sum(r.taken for r in rows) - rows[0].target) <= 2
+
+
+def test_many_equal_rows(spark, monkeypatch, make_docs):
+    monkeypatch.setattr(mixing, "UNFOLD", 7)
+    docs = [(None, "the same text", "en", "a")] * 100 + [(5, "the same text", "en", "a")] * 50 + [(i, "w " * (i % 5), "en", "b") for i in range(60)]
+    rows = mixing.mix(make_docs(docs)).collect()
+    check(rows, docs)
+    assert sum(r.doc_id is None for r in rows) == 100 and sum(r.doc_id == 5 and r.source == "a" for r in rows) == 50
+
+
+def test_clashing_names(spark):
+    docs = spark.createDataFrame([(1, "a b", "s", "x", 1, 2), (2, "c d", "s", "y", 3, 4)],
+                                 "doc_id long, text string, source string, mix_doc_id string, mix_copies int, mix_turn int")
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == docs.columns and {r.mix_doc_id for r in mixed.collect()} <= {"x", "y"} and mixed.count()
