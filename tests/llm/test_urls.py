@@ -27,12 +27,27 @@ def shape(path):
     path = re.sub("[0-9]+", "*", re.sub("(?i)[0-9a-f-]{16,}", "*", path))
     if path == "":
         return ()
-    parts = (path[1:] if path.startswith("/") else path).split("/")
-    return tuple(parts if len(parts) <= urls.DEPTH else [*parts[:urls.DEPTH], "**"])
+    return tuple((path[1:] if path.startswith("/") else path).split("/"))
 
 
 def kind(segment):
-    return "end" if segment is None else "any" if segment in ("*", "**") else "part" if "*" in segment else "name"
+    return "end" if segment is None else "any" if segment == "*" else "part" if "*" in segment else "name"
+
+
+def by_label(cells):
+    out = Counter()
+    for (label, _), n in cells.items():
+        out[label] += n
+    return out
+
+
+def chi_square(branch, whole):
+    n, total, chi = sum(branch.values()), sum(whole.values()), 0.0
+    for cell, both in whole.items():
+        for size in (n, total - n):
+            if size:
+                chi += (branch[cell] - n * both / total) ** 2 / (size * both / total)
+    return chi
 
 
 def brute(pages):
@@ -41,31 +56,31 @@ def brute(pages):
     rule = [best_rule(h, p) for _, h, p in parsed]
     verdict = dict(urls.RULES)
     counts = Counter((h, shape(p), verdict.get(r, "none")) for (_, h, p), r in zip(parsed, rule))
-    node = {(h, s): "" for h, s, _ in counts}
-    for level in range(urls.DEPTH + 1):
+    node, level = {(h, s): "" for h, s, _ in counts}, 0
+    alive = set(node)
+    while alive:
         cells = defaultdict(lambda: defaultdict(Counter))
+        alive = {(h, s) for h, s in alive if level < len(s)}
         for (h, s, label), n in counts.items():
-            if level < len(s):
+            if (h, s) in alive:
                 after = s[level + 1] if level + 1 < len(s) else None
                 cells[h, node[h, s]][s[level]][label, kind(after)] += n
-        kept = set()
+        name = {}
         for key, branches in cells.items():
-            total = sum(sum(c.values()) for c in branches.values())
-            named = defaultdict(Counter)
+            whole = sum(branches.values(), Counter())
+            total = sum(whole.values())
+            if total < urls.MIN_SUPPORT or len({label for label, _ in whole}) == 1:
+                continue
             for seg, c in branches.items():
                 n = sum(c.values())
-                named[seg if n >= urls.MIN_SUPPORT and n >= urls.MIN_SHARE * total else "*"] += c
-            everyone = sum(named.values(), Counter())
-            for seg, c in named.items():
-                n, chi = sum(c.values()), 0.0
-                for cell, both in everyone.items():
-                    for size in (n, total - n):
-                        if size:
-                            chi += (c[cell] - n * both / total) ** 2 / (size * both / total)
-                if seg != "*" and (chi >= urls.CRITICAL or n == total):
-                    kept.add((*key, seg))
-        node = {(h, s): o if level >= len(s) else o + "/" + (
-            s[level] if (h, o, s[level]) in kept or s[level] in ("**", "") else "*") for (h, s), o in node.items()}
+                if n >= urls.MIN_SUPPORT:
+                    told = n == total or chi_square(c, whole) >= urls.CRITICAL
+                else:
+                    told = any(label != "none" for label, _ in c) and chi_square(by_label(c), by_label(whole)) >= urls.CRITICAL_LABELS
+                name[(*key, seg)] = seg if seg == "" or seg != "*" and told else "*"
+        split = {x for x in alive if (x[0], node[x], x[1][level]) in name}
+        node |= {x: node[x] + "/" + name.get((x[0], node[x], x[1][level]), "**") for x in alive}
+        alive, level = split, level + 1
     share = defaultdict(Counter)
     for (h, s, label), n in counts.items():
         share[h, node[h, s]][label] += n
@@ -101,3 +116,25 @@ def test_empty_table_and_no_rules(spark):
     assert urls.filter_urls(none).count() == 0
     one = spark.createDataFrame([(1, "http://a.net/fr/1")], "page_id long, url string")
     assert [(r.rule, r.verdict) for r in urls.filter_urls(one, rules=()).collect()] == [(None, "allow")]
+
+
+def test_rare_blocked_branches_do_not_mark_all_others(spark):
+    """150 unlabelled sections of 20 pages beside one of 20 blocked pages, and 400 of 3 beside one of 5: the clean pages
+    stay; paths that differ deep down are told apart."""
+    rows = [f"http://many.net/section{chr(97 + i // 26)}{chr(97 + i % 26)}/{j}" for i in range(150) for j in range(20)]
+    rows += [f"http://many.net/es/{j}" for j in range(20)]
+    rows += [f"http://few.net/part{chr(97 + i // 26)}{chr(97 + i % 26)}/{j}" for i in range(400) for j in range(3)] + [f"http://few.net/fr/{j}" for j in range(5)]
+    rules = (*urls.RULES, ("deep.org/a/b/c/d/bad/", "block"), ("deep.org/a/b/c/d/good/", "allow"))
+    rows += [f"http://deep.org/a/b/c/d/{x}/{j}" for x in ("bad", "good", "other") for j in range(30)]
+    data = spark.createDataFrame([(i, u) for i, u in enumerate(rows)], "page_id long, url string")
+    got = urls.filter_urls(data, rules).collect()
+    blocked = {r.host + r.path.rsplit("/", 1)[0] for r in got if r.verdict == "block"}
+    assert blocked == {"many.net/es", "few.net/fr", "deep.org/a/b/c/d/bad"}
+    deep = {r.path.split("/")[5]: r.template for r in got if r.host == "deep.org"}
+    assert deep == {x: f"/a/b/c/d/{x}/**" if x != "other" else deep["other"] for x in deep} and deep["other"] not in (deep["bad"], deep["good"])
+
+
+def test_long_paths(spark):
+    rows = [f"http://x.net/{'es' if i % 2 else 'de'}/" + "/".join(["s"] * (50 + i % 40)) for i in range(60)] + ["http://x.net/" + "a/" * 5000]
+    got = urls.filter_urls(spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")).collect()
+    assert all((r.verdict == "block") == r.path.startswith("/es/") for r in got)
