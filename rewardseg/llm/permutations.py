@@ -1,12 +1,19 @@
 """Approximate nearest neighbours with a permutation index.
 
-A vector is represented by the order of its ``PREFIX`` nearest pivots
-(pivots are a bounded sample of the vectors).  The index is a set of blocks
-of vectors; a block holds an inverted file per pivot: the pivot's place in
-the order of every member, ``PREFIX`` where it is not among the nearest.  A
-query reads the files of its own nearest pivots and adds up footrule
-differences; the members of the smallest sums, a ``RERANK`` share of every
-block, are ranked again by the exact inner product.
+A vector is represented by the order of its ``PREFIX`` nearest pivots, by
+direction (pivots are a bounded sample of the vectors).  The index is a set
+of blocks of vectors; a block holds an inverted file per pivot: the members
+that have it among their nearest, in order of its place there.  A query
+reads the files of its own nearest pivots and adds up what each common pivot
+takes off the footrule distance (the place that a missing pivot would have
+counts ``PREFIX``).
+
+Footrule sees directions, the inner product also norms.  In each meeting of
+a block with queries, a line through the exact cosines of a few members
+turns footrule into an expected cosine; times the norm it ranks the members,
+and the first ones, a ``RERANK`` share of every block, are ranked again by
+the exact inner product.  Recall does not suffer from a few large vectors,
+nor from vectors that all point one way.
 
 Nearness is the inner product in double precision on the original vectors.
 All distinct vectors are indexed, each once with its ``k`` + 1 smallest ids
@@ -31,7 +38,8 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from rewardseg.llm.common import stage, table
 
 PIVOTS, PREFIX = 256, 96
-RERANK, RERANK_LEAST = 0.12, 10   # share of a block; and at least so many times k
+RERANK, RERANK_LEAST = 0.15, 10   # share of a block; and at least so many times k
+FITTED = 256                      # members whose exact cosines place the line
 BLOCK, QUERY_BLOCK = 8192, 256
 K, QUERY_STEP = 20, 20
 SEED = 42
@@ -78,10 +86,42 @@ def distinct_vectors(rows: DataFrame, ids: int) -> DataFrame:
         "members", "vector")
 
 
-def blocks(rows: DataFrame, pivots: np.ndarray, size: int, prefix: int) -> DataFrame:
-    """(ids, sizes, vectors, places) per block of at most ``size`` rows
-    (members, vector): the ids of all members, and how many each row has; the
-    places are pivot-major: one inverted file after another."""
+def nearest_pivots(vectors: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
+    """The numbers of each vector's nearest pivots, nearest first."""
+    return np.argsort(-(vectors @ pivots.T), axis=1, kind="stable")[:, :prefix]
+
+
+def posting_lists(order: np.ndarray, n_pivots: int) -> tuple[np.ndarray, np.ndarray]:
+    """(members, offsets): the inverted files one after another, each in the
+    order of places; entries of pivot p at place b are those from
+    ``offsets[p * prefix + b]`` on."""
+    n, prefix = order.shape
+    key = (order.astype(np.int64) * prefix + np.arange(prefix)).ravel()
+    by_key = np.argsort(key, kind="stable")
+    return (by_key // prefix).astype(np.uint16), np.concatenate([[0], np.cumsum(np.bincount(key, minlength=n_pivots * prefix))])
+
+
+def common_places(orders: np.ndarray, members: np.ndarray, offsets: np.ndarray, n: int) -> np.ndarray:
+    """What the common pivots of each query (its pivots in order) and each of
+    ``n`` members take off their footrule distance, halved: PREFIX less the
+    larger of a pivot's two places, over all common pivots."""
+    prefix = orders.shape[1]
+    place_of = np.repeat(np.arange(len(offsets) - 1) % prefix, np.diff(offsets))
+    out = np.empty((len(orders), n), np.float32)
+    for i, order in enumerate(orders.astype(np.int64)):
+        starts = offsets[order * prefix]
+        counts = offsets[(order + 1) * prefix] - starts
+        ends = np.cumsum(counts)
+        at = np.repeat(starts - ends + counts, counts) + np.arange(ends[-1])
+        out[i] = np.bincount(members[at], prefix - np.maximum(place_of[at], np.repeat(np.arange(prefix), counts)), n)
+    return out
+
+
+def blocks(rows: DataFrame, pivots: np.ndarray, size: int, prefix: int, files: bool = True) -> DataFrame:
+    """(ids, sizes, vectors, places, offsets) per block of at most ``size``
+    rows (members, vector): the ids of all members, how many each row has, the
+    vectors and the inverted files, or with ``files`` false each row's nearest
+    pivots in ``places``."""
     width = pivots.shape[1]
 
     def run(batches):
@@ -93,10 +133,11 @@ def blocks(rows: DataFrame, pivots: np.ndarray, size: int, prefix: int) -> DataF
             own, cut = all_rows[:n], int(all_sizes[:n].sum())
             ids, sizes, parts = [all_ids[cut:]], [all_sizes[n:]], [all_rows[n:]]
             held = len(sizes[0])
-            places = np.ascontiguousarray(pivot_places(own, pivots, prefix).T)
-            columns = (all_ids[:cut].astype("<i8"), all_sizes[:n].astype("<i4"), own.astype("<f8"), places)
+            order = nearest_pivots(own, pivots, prefix)
+            places, offsets = posting_lists(order, len(pivots)) if files else (order.astype(np.int16), np.empty(0))
+            columns = (all_ids[:cut].astype("<i8"), all_sizes[:n].astype("<i4"), own.astype("<f8"), places, offsets.astype("<i8"))
             return pa.RecordBatch.from_arrays([pa.array([c.tobytes()], pa.binary()) for c in columns],
-                                              ["ids", "sizes", "vectors", "places"])
+                                              ["ids", "sizes", "vectors", "places", "offsets"])
 
         for batch in batches:
             members = batch.column(0)
@@ -108,7 +149,19 @@ def blocks(rows: DataFrame, pivots: np.ndarray, size: int, prefix: int) -> DataF
                 yield flush(size)
         if held:
             yield flush(held)
-    return rows.select("members", "vector").mapInArrow(run, "ids binary, sizes binary, vectors binary, places binary")
+    return rows.select("members", "vector").mapInArrow(run, "ids binary, sizes binary, vectors binary, places binary, offsets binary")
+
+
+def expected_scores(common: np.ndarray, rows: np.ndarray, queries: np.ndarray, fitted: int = FITTED) -> np.ndarray:
+    """Inner products over the query's norm that footrule lets expect
+    (queries x members)."""
+    norms = np.sqrt((rows * rows).sum(1))
+    sample = np.unique(np.linspace(0, len(rows) - 1, min(len(rows), fitted)).astype(int))
+    cosines = (queries / np.sqrt((queries * queries).sum(1))[:, None]) @ (rows[sample] / norms[sample, None]).T
+    x, y = common[:, sample].ravel(), cosines.ravel()
+    spread = ((x - x.mean()) ** 2).sum()
+    slope = max(0.0, float(((x - x.mean()) * (y - y.mean())).sum() / spread)) if spread > 0 else 0.0
+    return norms * (y.mean() + slope * (common - x.mean()))
 
 
 def candidates(far: np.ndarray, take: int) -> np.ndarray:
@@ -142,29 +195,32 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, n_pivots: int = P
     width = index.agg(F.max(F.size("vector"))).first()[0] or 0
     pivots = np.zeros((len(picked), width))
     for i, r in enumerate(picked):
-        pivots[i, : len(r["vector"])] = r["vector"]
+        v = np.array(r["vector"])
+        pivots[i, : len(v)] = v / np.sqrt((v * v).sum())
+    prefix = min(prefix, len(pivots))
     groups = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     # blocks of one scan partition each would be small: gather the rows into full blocks first
     n = index.count()
     index_blocks = blocks(index.repartition(max(1, -(-n // BLOCK))), pivots, BLOCK, prefix).select(
-        "ids", "sizes", "vectors", "places", F.pmod(F.xxhash64("ids"), F.lit(groups)).alias("g"))
+        "ids", "sizes", "vectors", "places", "offsets", F.pmod(F.xxhash64("ids"), F.lit(groups)).alias("g"))
     index_blocks = stage(index_blocks, "permutations")
     used = [r["g"] for r in index_blocks.select("g").distinct().collect()]  # at most one per shuffle partition
     asking = usable(queries).select(F.array("vec_id").alias("members"), "vector")
-    asked = blocks(asking.repartition(max(1, min(groups, n // 2000))), pivots, QUERY_BLOCK, prefix).select(
+    asked = blocks(asking.repartition(max(1, min(groups, n // 2000))), pivots, QUERY_BLOCK, prefix, files=False).select(
         F.col("ids").alias("query_ids"), F.col("vectors").alias("query_vectors"), F.col("places").alias("query_places"),
         F.explode(F.array(*[F.lit(g) for g in used]) if used else F.array().cast("array<int>")).alias("q"))
 
     def run(batches):
         for batch in batches:
-            columns = [batch.column(i) for i in range(7)]
+            columns = [batch.column(i) for i in range(8)]
             for i in range(batch.num_rows):
-                ids, sizes, rows, places, q_ids, q_rows, q_places = (c[i].as_buffer() for c in columns)
+                ids, sizes, rows, places, offsets, q_ids, q_rows, q_places = (c[i].as_buffer() for c in columns)
                 ids, sizes, q_ids = np.frombuffer(ids, "<i8"), np.frombuffer(sizes, "<i4"), np.frombuffer(q_ids, "<i8")
                 starts = np.cumsum(sizes) - sizes
                 rows, q_rows = np.frombuffer(rows, "<f8").reshape(-1, width), np.frombuffer(q_rows, "<f8").reshape(-1, width)
-                files, asking = (np.frombuffer(p, np.int16).reshape(len(pivots), -1) for p in (places, q_places))
-                far = footrule(asking, files, prefix)
+                files, offsets, asking = np.frombuffer(places, np.uint16), np.frombuffer(offsets, "<i8"), np.frombuffer(q_places, np.int16).reshape(-1, prefix)
+                common = common_places(asking, files, offsets, len(rows))
+                far = -expected_scores(common, rows, q_rows)
                 take = max(RERANK_LEAST * k, int(np.ceil(rerank * len(rows))))
                 out = []
                 for j in range(len(q_ids)):
@@ -181,7 +237,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, n_pivots: int = P
                                                  ["query_id", "vec_id", "score"])
     # estimates know nothing of the size of a block, so the kind of join is fixed
     met = (index_blocks.join(asked.hint("merge"), F.col("g") == F.col("q"))
-           .select("ids", "sizes", "vectors", "places", "query_ids", "query_vectors", "query_places")
+           .select("ids", "sizes", "vectors", "places", "offsets", "query_ids", "query_vectors", "query_places")
            .mapInArrow(run, "query_id long, vec_id long, score double"))
     nearest = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (met.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("rank", F.row_number().over(nearest))
