@@ -38,7 +38,7 @@ STEPS = 160          # weight updates per linear program
 RATE = 8.0           # how fast a length's weight falls as its demand gets covered
 POWER = 1.6          # a length's value before any update: long pieces first, short ones to fill
 MEMO_WORDS = 450_000  # words that a worker remembers; less memory for more encoding
-LAST_PIECES = 4000   # pieces left for best fit after the last rounding
+LAST_PIECES = 1000   # pieces left for best fit after the last rounding
 
 
 # -- pieces -----------------------------------------------------------------
@@ -132,6 +132,26 @@ def solve(demand: np.ndarray, capacity: int, steps: int = STEPS) -> list[tuple[n
     return shares
 
 
+def lower_bound(histogram: np.ndarray, capacity: int = CAPACITY, steps: int = STEPS) -> float:
+    """A number of sequences that no packing can go below: the best dual
+    solution of the weights' way, from both the length's share of the capacity
+    (the volume) and weights that rise for lengths the configurations of
+    the steps before left uncovered."""
+    demand = histogram.astype(float)
+    if not demand.any():
+        return 0.0
+    lengths = np.arange(capacity + 1) / capacity
+    bound, weight, covered = float((demand * lengths).sum()), np.ones(capacity + 1), np.zeros(capacity + 1)
+    for step in range(1, steps + 1):
+        value = np.where(demand > 0, lengths * weight, 0.0)
+        counts = best_configuration(value, capacity)
+        bound = max(bound, float((demand * value).sum() / (value * counts).sum()))
+        # covered as if each step's configuration had an equal share of the bound
+        covered += counts * bound / np.maximum(demand, 1)
+        weight = np.exp(RATE / 4 * (1 - np.minimum(covered / step, 1)))
+    return bound
+
+
 def plan(histogram: np.ndarray, capacity: int = CAPACITY) -> list[tuple[tuple[tuple[int, int], ...], int]]:
     """[(configuration as ((length, copies), ...), number of sequences)]
     covering the histogram exactly."""

@@ -68,3 +68,23 @@ def test_pieces_of_odd_documents(odd_docs, no_docs, odd_rows):
             at += length
         assert at <= capacity
     assert packing.pack(no_docs, capacity).count() == 0
+
+
+def test_the_program_is_used_and_bounded(monkeypatch):
+    """Small tables reach the program too; no packing is below the dual bound, and the plan is near it."""
+    rng = np.random.default_rng(4)
+    calls = []
+    price = packing.best_configuration
+    monkeypatch.setattr(packing, "best_configuration", lambda *a: calls.append(1) or price(*a))
+    for n, draw, slack in ((1153, rng.integers(1, 2049, 1153), 0.03), (4000, np.minimum(rng.pareto(1.0, 4000) * 150 + 1, 2048).astype(int), 0.01),
+                           (3000, np.full(3000, 1025), 0.0), (6000, rng.choice([700, 701, 1400], 6000), 0.04)):
+        histogram = np.bincount(draw, minlength=2049).astype(np.int64)
+        calls.clear()
+        sequences = check_plan(histogram, 2048)
+        assert calls
+        bound = packing.lower_bound(histogram, 2048, 40)
+        assert (draw.sum() / 2048) - 1e-6 <= bound <= sequences <= bound * (1 + slack) + 1, (n, bound, sequences)
+    assert packing.lower_bound(np.bincount([1025] * 50, minlength=2049), 2048) >= 49.9
+    # every way to pack a few pieces
+    few = np.bincount([5, 5, 4, 3, 3, 2], minlength=11)
+    assert packing.lower_bound(few, 10) <= 3 and check_plan(few.astype(np.int64), 10) == 3
