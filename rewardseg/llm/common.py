@@ -42,7 +42,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged._staged_at = path
+    return staged
+
+
+def unstage(staged: DataFrame) -> None:
+    """Delete the files of a staged table that nothing reads any more."""
+    spark = staged.sparkSession
+    target = spark._jvm.org.apache.hadoop.fs.Path(staged._staged_at)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def fresh_name(name: str, taken) -> str:

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from rewardseg.llm.common import stage, table
+from rewardseg.llm.common import stage, table, unstage
 
 WIDTH = 8                # turns in a block
 FAMILY = 100             # the query's conversations of one family share turns of its first
@@ -246,8 +246,9 @@ def block_totals(nodes: DataFrame) -> DataFrame | None:
         summed = roots.join(below, ["k1", "k2"], "left").select(
             "k1", "k2", "p1", "p2", (F.col("leaves") + F.coalesce("add_leaves", F.lit(0))).alias("leaves"),
             (F.col("saved") + F.coalesce("add_saved", F.lit(0))).alias("saved"))
-        roots = stage(summed.join(up, (F.col("p1") == F.col("u1")) & (F.col("p2") == F.col("u2")), "left").select(
+        before, roots = roots, stage(summed.join(up, (F.col("p1") == F.col("u1")) & (F.col("p2") == F.col("u2")), "left").select(
             "k1", "k2", F.col("q1").alias("p1"), F.col("q2").alias("p2"), "leaves", "saved"), "block-roots")
+        unstage(before)
         reach *= 2
     return roots.select(F.col("k1").alias("b1"), F.col("k2").alias("b2"), "leaves", "saved")
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from rewardseg.llm.common import stage
+from rewardseg.llm.common import stage, unstage
 
 MAX_ROUNDS = 60
 
@@ -33,8 +33,9 @@ def components(links: DataFrame) -> DataFrame:
         # small star: u and its smaller neighbours point at the smallest of them
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
-        edges = stage(small.select(F.col("v").alias("u"), F.col("m").alias("v"))
+        before, edges = edges, stage(small.select(F.col("v").alias("u"), F.col("m").alias("v"))
                       .unionAll(least.select("u", F.col("m").alias("v"))).where("u > v").distinct(), "links")
+        unstage(before)
         # unchanged when the link table is the same set as before
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
