@@ -129,6 +129,48 @@ def near_pairs(sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 # -- neighbours in descending doc_id ----------------------------------------
 
+def _shard_number(rows: DataFrame, n_shards: int, bounds: list[int]) -> Column:
+    """The number of a row's shard, ascending in the order of descending
+    doc_id (null last) and ascending text hash."""
+    doc_id, shard = F.col("doc_id"), F.lit(0)
+    if bounds:  # binary search for the number of bounds <= doc_id
+        steps = [1 << k for k in range(len(bounds).bit_length() - 1, -1, -1)]
+        array = F.array(*[F.lit(b).cast("long") for b in bounds])
+        shard = F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), lambda lo, s: F.when(
+            (lo + s <= len(bounds)) & (F.get(array, lo + s - 1) <= doc_id), lo + s).otherwise(lo))
+    shard = F.when(doc_id.isNull(), -1).otherwise(shard)
+    per_id = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    total = per_id.agg(F.sum("n")).first()[0] or 0
+    room = max(1, -(-total // n_shards))
+    # ids of more than two shards' rows: fewer than n_shards
+    hot = sorted(((r["doc_id"], -(-r["n"] // room)) for r in per_id.where(F.col("n") > 2 * room).collect()),
+                 key=lambda x: (x[0] is None, -(x[0] or 0)))
+    if not hot:
+        return (n_shards - shard).cast("long")
+    most = max(m for _, m in hot)
+    above, is_hot, cut = F.lit(0), F.lit(False), F.lit(0)   # hot ids in front of the row's, is it one, its cut by the text's hash
+    for i, m in hot:
+        same = doc_id.isNull() if i is None else doc_id.eqNullSafe(F.lit(i).cast("long"))
+        if i is not None:
+            above = above + F.when(doc_id.isNull() | (doc_id < i), 1).otherwise(0)
+        place = F.least(F.lit(m - 1), F.floor((F.xxhash64("text") / 2.0 ** 64 + 0.5) * m).cast("int"))
+        is_hot, cut = is_hot | same, F.when(same, place).otherwise(cut)
+    return ((((n_shards - shard) * (len(hot) + 1) + above) * 2 + is_hot.cast("int")) * most + cut).cast("long")
+
+
+def _names(spark: SparkSession, n: int) -> list[int]:
+    """``n`` numbers of which a hash partitioning into ``n`` takes each to a
+    partition of its own."""
+    names: dict[int, int] = {}
+    step, start = 32 * n, 0
+    while len(names) < n:
+        of = spark.range(start, start + step).groupBy(F.pmod(F.hash("id"), F.lit(n)).alias("p")).agg(F.min("id").alias("id"))
+        for r in of.collect():   # at most n rows
+            names.setdefault(r["p"], r["id"])
+        start += step
+    return [names[p] for p in range(n)]
+
+
 def with_next(docs: DataFrame) -> DataFrame:
     """(doc_id, text, sigs, next_text, next_sigs): every document with the one
     after it in descending doc_id (after the last: the first).
@@ -136,38 +178,35 @@ def with_next(docs: DataFrame) -> DataFrame:
     The texts are shuffled once: shards are doc_id ranges (one per shuffle
     partition, bounds from approximate quantiles), a window finds the next
     document inside a shard, and a shard's last document takes the first of
-    the next non-empty shard, of which there is one row per shard."""
+    the next non-empty shard, of which there is one row per shard.  An id (or
+    the lack of one) that more rows share than a shard should hold is cut by
+    ranges of its texts' hashes into shards of its own.  Shards are named so
+    that no two of them are hashed to one task."""
     spark = docs.sparkSession
     n_shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     fractions = [i / n_shards for i in range(1, n_shards)]
     found = rows.select(F.percentile_approx("doc_id", fractions, 100 * n_shards).alias("q")).first()["q"] if fractions else []
-    bounds = sorted(set(found or []))
-    shard = F.lit(0)
-    if bounds:  # binary search for the number of bounds <= doc_id
-        steps = [1 << k for k in range(len(bounds).bit_length() - 1, -1, -1)]
-        array = F.array(*[F.lit(b).cast("long") for b in bounds])
-        shard = F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), lambda lo, s: F.when(
-            (lo + s <= len(bounds)) & (F.get(array, lo + s - 1) <= F.col("doc_id")), lo + s).otherwise(lo))
-    shard = F.when(F.col("doc_id").isNull(), -1).otherwise(shard)
-    rows = rows.withColumn("shard", shard)
+    rows = rows.withColumn("number", _shard_number(rows, n_shards, sorted(set(found or []))))
+    # the numbers in use, ascending: at most n_shards + 3 for each id that is cut, and its cuts
+    numbers = [r["number"] for r in rows.select("number").distinct().orderBy("number").collect()]
+    parts = max(n_shards, len(numbers))
+    named = spark.createDataFrame(list(zip(numbers, _names(spark, parts), [*numbers[-1:], *numbers[:-1]])),
+                                  "number_of long, shard long, before long")
+    rows = rows.join(F.broadcast(named), F.col("number") == F.col("number_of")).select("doc_id", "text", "number", "shard", "before")
     order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text"), F.col("text")]
-    # the first row of every shard, and the shard before it (descending, around the end)
-    tops = rows.groupBy("shard").agg(F.max(F.struct("doc_id", F.bitwise_not(F.xxhash64("text")).alias("h"))).alias("top"))
-    down = Window.orderBy(F.desc("shard"))
-    around = Window.orderBy(F.desc("shard")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    tops = tops.select("shard", "top", F.coalesce(F.lag("shard").over(down), F.last("shard").over(around)).alias("of_shard"))
-    tops = F.broadcast(tops.select(F.col("shard").alias("s"), "top", "of_shard"))  # at most one row per shard
-    firsts = (rows.join(tops, (F.col("shard") == F.col("s")) & F.col("doc_id").eqNullSafe(F.col("top.doc_id")) &
+    # the first row of every shard goes to the shard before it (around the end)
+    tops = rows.groupBy("number").agg(F.max(F.struct("doc_id", F.bitwise_not(F.xxhash64("text")).alias("h"))).alias("top"))
+    tops = F.broadcast(tops.select(F.col("number").alias("s"), "top"))  # at most one row per shard
+    firsts = (rows.join(tops, (F.col("number") == F.col("s")) & F.col("doc_id").eqNullSafe(F.col("top.doc_id")) &
                         (F.bitwise_not(F.xxhash64("text")) == F.col("top.h")))
-              .select(F.col("of_shard"), F.col("text").alias("first_text"))
-              .withColumn("turn", F.row_number().over(Window.partitionBy("of_shard").orderBy("first_text")))
-              .where("turn = 1").select("of_shard", "first_text", signatures(F.col("first_text")).alias("first_sigs")))
+              .groupBy(F.col("before").alias("of_number")).agg(F.min("text").alias("first_text"))
+              .select("of_number", "first_text", signatures(F.col("first_text")).alias("first_sigs")))
     inside = Window.partitionBy("shard").orderBy(*order)
-    signed = rows.repartition(n_shards, "shard").select("doc_id", "shard", "text", signatures(F.col("text")).alias("sigs"))
+    signed = rows.repartition(parts, "shard").select("doc_id", "number", "shard", "text", signatures(F.col("text")).alias("sigs"))
     chained = signed.select("*", F.lead(F.struct("text", "sigs")).over(inside).alias("next"))
-    return chained.join(firsts, F.col("shard") == F.col("of_shard")).select(
+    return chained.join(firsts, F.col("number") == F.col("of_number")).select(
         "doc_id", "text", "sigs", F.coalesce(F.col("next.text"), F.col("first_text")).alias("next_text"),
         F.coalesce(F.col("next.sigs"), F.col("first_sigs")).alias("next_sigs"))
 

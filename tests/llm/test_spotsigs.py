@@ -111,3 +111,21 @@ def test_other_languages_and_marks(make_docs):
         spotsigs.fingerprint(F.col("sigs")).alias("name")).collect()}
     assert rows[1].near > 0.8 and rows[3].near > 0.6 and rows[9].near > 0.3   # each with the one before it
     assert len({rows[i].name for i in (4, 5, 6)}) == 3 and rows[6].name == rows[7].name
+
+
+def test_shared_and_missing_ids_are_cut(spark):
+    """A third of the rows without an id and a third under one: more shards than one hold them, and the order is the same."""
+    rows = [(None, f"without an id {i}") for i in range(200)] + [(50, f"under one id {i}") for i in range(200)] + [
+        (i, f"the text of {i}") for i in range(100) if i != 50] + [(50, "under one id 7")] * 30
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = spotsigs.with_next(docs).select("doc_id", "text", "next_text").collect()
+    hashes = dict(spark.createDataFrame([(t,) for t in {t for _, t in rows}], "text string").select("text", F.xxhash64("text")).collect())
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), hashes[r[1]], r[1]))
+    want = [(*r, after[1]) for r, after in zip(order, [*order[1:], order[0]])]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+    numbered = docs.select("doc_id", spotsigs._shard_number(docs, 8, [20, 40, 60, 80]).alias("s"))
+    assert numbered.where("doc_id is null").select("s").distinct().count() > 2
+    assert numbered.where("doc_id = 50").select("s").distinct().count() > 2
+    names = spotsigs._names(spark, 37)
+    taken = spark.createDataFrame([(n,) for n in names], "id long").select(F.pmod(F.hash("id"), F.lit(37)).alias("p")).distinct().count()
+    assert taken == 37
