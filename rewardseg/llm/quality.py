@@ -74,6 +74,7 @@ def features(text: bytes) -> np.ndarray:
             place = np.arange(len(raw), dtype=np.uint64)
             place[starts[0]:] -= np.repeat(starts, np.diff(starts, append=len(raw))).astype(np.uint64)
             value = np.where(_SPACE[raw], np.uint64(0), (wide + np.uint64(1)) * (_MIX * (place * np.uint64(2) + np.uint64(1))))
+            value ^= value >> np.uint64(29)     # else words of one weighted sum would be the same word
             word = np.add.reduceat(value, starts)
             same = (word[1:] == word[:-1]).astype(np.uint64)
             marks = np.concatenate([np.zeros(3, np.uint64), same])
