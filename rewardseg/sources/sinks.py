@@ -6,8 +6,9 @@ name starts with ``_``, so that no reader sees it.  Only then they take the
 month's place: in a catalog table by pointing the partition at the new
 folder, one change of the catalog; under a path by two renames.  A write that
 fails leaves the old month as it was; a driver lost between the two renames
-leaves it in ``_publish``, and ``repair`` (which publishing and ``read_run``
-call first) puts it back.
+leaves it in ``_publish``, where ``read_run`` finds it and from where the
+next publish (``repair``) puts it back.  Readers change nothing; one
+publisher at a time is assumed.
 """
 
 from __future__ import annotations
@@ -145,9 +146,13 @@ def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str
 
 
 def read_run(spark: SparkSession, target: str, run_date: dt.date, partition_col: str = "update_date") -> DataFrame:
-    """The published rows of one run date."""
+    """The published rows of one run date; of a month that is just being
+    replaced under a path, the old ones."""
     if _is_path(target):
-        repair(spark, target)
+        month = f"{partition_col}={run_date}"
+        store, (at, old) = _files(spark, f"{target}/{month}", f"{target}/{WAITING}/{month}")
+        if not store.exists(at) and store.exists(old):
+            return spark.read.parquet(old.toString()).withColumn(partition_col, F.lit(run_date))
     table = spark.read.parquet(target) if _is_path(target) else spark.table(target)
     return table.where(F.col(partition_col) == F.lit(run_date))
 

@@ -81,7 +81,9 @@ def test_a_publish_cut_between_its_renames_is_repaired(spark):
     store, (at, away, parent) = sinks._files(spark, f"{out}/update_date={dec}", f"{out}/{sinks.WAITING}/update_date={dec}", f"{out}/{sinks.WAITING}")
     store.mkdirs(parent)
     assert store.rename(at, away)
-    assert sinks.read_run(spark, out, dec).count() == 3         # put back by the reader
+    found = sinks.read_run(spark, out, dec)                     # the reader finds it there
+    assert sorted(map(tuple, found.select("pi_entity_fk", "update_date").collect())) == [(i, dec) for i in range(3)]
+    assert sinks.repair(spark, out) == [f"update_date={dec}"] and store.exists(at)
     store.mkdirs(away)                                          # the new month is in, the old one still there
     assert sinks.repair(spark, out) == [] and not store.exists(away)
     assert sinks.read_run(spark, out, dec).count() == 3
