@@ -192,8 +192,8 @@ def with_next(docs: DataFrame) -> DataFrame:
     # the numbers in use, ascending: at most n_shards + 3 for each id that is cut, and its cuts
     numbers = [r["number"] for r in rows.select("number").distinct().orderBy("number").collect()]
     parts = max(n_shards, len(numbers))
-    named = spark.createDataFrame(list(zip(numbers, _names(spark, parts), [*numbers[-1:], *numbers[:-1]])),
-                                  "number_of long, shard long, before long")
+    names = _names(spark, parts)[:len(numbers)]
+    named = spark.createDataFrame(list(zip(numbers, names, [*names[-1:], *names[:-1]])), "number_of long, shard long, before long")
     rows = rows.join(F.broadcast(named), F.col("number") == F.col("number_of")).select("doc_id", "text", "number", "shard", "before")
     order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text"), F.col("text")]
     # the first row of every shard goes to the shard before it (around the end)
@@ -201,12 +201,13 @@ def with_next(docs: DataFrame) -> DataFrame:
     tops = F.broadcast(tops.select(F.col("number").alias("s"), "top"))  # at most one row per shard
     firsts = (rows.join(tops, (F.col("number") == F.col("s")) & F.col("doc_id").eqNullSafe(F.col("top.doc_id")) &
                         (F.bitwise_not(F.xxhash64("text")) == F.col("top.h")))
-              .groupBy(F.col("before").alias("of_number")).agg(F.min("text").alias("first_text"))
-              .select("of_number", "first_text", signatures(F.col("first_text")).alias("first_sigs")))
+              .groupBy(F.col("before").alias("of_shard")).agg(F.min("text").alias("first_text"))
+              .select("of_shard", "first_text", signatures(F.col("first_text")).alias("first_sigs")))
     inside = Window.partitionBy("shard").orderBy(*order)
-    signed = rows.repartition(parts, "shard").select("doc_id", "number", "shard", "text", signatures(F.col("text")).alias("sigs"))
+    signed = rows.repartition(parts, "shard").select("doc_id", "shard", "text", signatures(F.col("text")).alias("sigs"))
     chained = signed.select("*", F.lead(F.struct("text", "sigs")).over(inside).alias("next"))
-    return chained.join(firsts, F.col("number") == F.col("of_number")).select(
+    # on the shard, by which the texts lie already
+    return chained.join(firsts, F.col("shard") == F.col("of_shard")).select(
         "doc_id", "text", "sigs", F.coalesce(F.col("next.text"), F.col("first_text")).alias("next_text"),
         F.coalesce(F.col("next.sigs"), F.col("first_sigs")).alias("next_sigs"))
 
