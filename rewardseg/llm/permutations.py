@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from rewardseg.llm.common import stage, table
 
-PIVOTS, PREFIX = 256, 96
+PIVOTS, PREFIX = 192, 64
 RERANK, RERANK_LEAST = 0.15, 10   # share of a block; and at least so many times k
 FITTED = 256                      # members whose exact cosines place the line
 BLOCK, QUERY_BLOCK = 8192, 256
@@ -105,16 +105,22 @@ def common_places(orders: np.ndarray, members: np.ndarray, offsets: np.ndarray,
     """What the common pivots of each query (its pivots in order) and each of
     ``n`` members take off their footrule distance, halved: PREFIX less the
     larger of a pivot's two places, over all common pivots."""
-    prefix = orders.shape[1]
-    place_of = np.repeat(np.arange(len(offsets) - 1) % prefix, np.diff(offsets))
-    out = np.empty((len(orders), n), np.float32)
-    for i, order in enumerate(orders.astype(np.int64)):
-        starts = offsets[order * prefix]
-        counts = offsets[(order + 1) * prefix] - starts
-        ends = np.cumsum(counts)
-        at = np.repeat(starts - ends + counts, counts) + np.arange(ends[-1])
-        out[i] = np.bincount(members[at], prefix - np.maximum(place_of[at], np.repeat(np.arange(prefix), counts)), n)
-    return out
+    prefix, n_pivots = orders.shape[1], (len(offsets) - 1) // max(1, orders.shape[1])
+    kind = np.int16 if prefix * prefix < 1 << 15 else np.int32
+    gain = np.repeat((prefix - np.arange(len(offsets) - 1) % prefix).astype(kind), np.diff(offsets))
+    asked = np.zeros((n_pivots, len(orders)), kind)         # what the pivot's place in each query leaves of PREFIX
+    np.put_along_axis(asked, orders.T.astype(np.int64), np.broadcast_to(np.arange(prefix, 0, -1, dtype=kind)[:, None], orders.T.shape), 0)
+    members, files = members.astype(np.intp), offsets[::prefix].tolist()
+    total = np.zeros((n, len(orders)), kind)
+    for pivot in np.flatnonzero(asked.any(1)).tolist():     # one file after another, for all queries that read it
+        lo, hi = files[pivot], files[pivot + 1]
+        of = np.flatnonzero(asked[pivot])
+        add = np.minimum(gain[lo:hi, None], asked[pivot] if 3 * len(of) > len(orders) else asked[pivot, of])
+        if add.shape[1] == len(orders):
+            total[members[lo:hi]] += add
+        else:
+            total[members[lo:hi, None], of] += add
+    return total.T
 
 
 def blocks(rows: DataFrame, pivots: np.ndarray, size: int, prefix: int, files: bool = True) -> DataFrame:
