@@ -12,12 +12,11 @@ of such a tokenizer.
 from __future__ import annotations
 
 import itertools
-import json
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, models, pre_tokenizers
 
 from rewardseg.llm.common import kept
 
@@ -49,11 +48,10 @@ def byte_letters(word: str) -> str:
 def cuts_at_spaces(tokenizer: Tokenizer) -> bool:
     """Whether the tokenizer is a byte-level BPE that opens a token at every
     space behind a character that is not white space."""
-    kind = json.loads(tokenizer.to_str())
-    before = kind.get("pre_tokenizer") or {}
-    return (kind["model"]["type"] == "BPE" and kind.get("normalizer") is None and before.get("type") == "ByteLevel"
-            and before.get("use_regex", True) and not before.get("add_prefix_space") and not any(
-                t["normalized"] or t["lstrip"] or t["rstrip"] or " " in t["content"] for t in kind.get("added_tokens", [])))
+    before = tokenizer.pre_tokenizer
+    return (isinstance(tokenizer.model, models.BPE) and tokenizer.normalizer is None and isinstance(before, pre_tokenizers.ByteLevel)
+            and before.use_regex and not before.add_prefix_space and not any(
+                t.normalized or t.lstrip or t.rstrip or " " in t.content for t in tokenizer.get_added_tokens_decoder().values()))
 
 
 def byte_table(tokenizer: Tokenizer) -> list[bytes]:
