@@ -36,6 +36,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -53,8 +54,8 @@ LEARN_WORDS = 8000
 JOINED_WORDS = 100
 SPACE = "▁"          # how sentencepiece writes a space
 _CUT = re.compile(r"(?<=\S)(?= )")
-_UNEVEN = re.compile(r"\s ")
-_SPACE = re.compile(r"\s|\u2581")
+_UNEVEN = r"(?:\A|[\s\x0b\x1c-\x1f\x{85}\p{Z}]) "     # for Arrow: a space at the start or behind white space
+_ENDS_OPEN = re.compile(r"\s(?: |\Z)|\u2581")
 
 
 def default_pieces() -> str:
@@ -66,7 +67,17 @@ def default_pieces() -> str:
 
 def _runs(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """start, start + 1, ... for ``count`` numbers, one run after another."""
-    return np.repeat(starts - np.cumsum(counts) + counts, counts) + np.arange(int(counts.sum()))
+    take = np.repeat(starts - np.cumsum(counts) + counts, counts)
+    take += np.arange(len(take))
+    return take
+
+
+def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The sum of every run of ``counts`` values."""
+    out, filled = np.zeros(len(counts), np.int64), np.flatnonzero(counts)
+    if len(filled):
+        out[filled] = np.add.reduceat(values, (np.cumsum(counts) - counts)[filled], dtype=np.int64)
+    return out
 
 
 def incidence(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -138,14 +149,18 @@ class Aligner:
         self.a_sizes, self.b_sizes = (np.fromiter(map(len, t), np.int64, len(t)) for t in (self.a_bytes, self.b_bytes))
         self.a_opens, self.b_opens = (np.array([x[:1] == b" " for x in t]) for t in (self.a_bytes, self.b_bytes))
         self.space = self.b.piece_to_id(SPACE)
+        # ids as the digest spells them, with the sign before them: ; and | open a group's sides, commas go between
+        self.spelled = [b"%s%d" % (sign, i) for table, first in ((self.a_bytes, b";"), (self.b_bytes, b"|")) for sign in (first, b",") for i in range(len(table))]
+        self.spelled_sizes = np.fromiter(map(len, self.spelled), np.int64, len(self.spelled))
+        self.pair_type = np.uint32 if len(self.a_bytes) * len(self.b_bytes) < 2 ** 32 else np.int64
         self.by_word = cuts_at_spaces(self.a) and not any(SPACE in p.lstrip(SPACE) for p in pieces)
         self.forget()
 
     def forget(self) -> None:
         self.rows: dict[str, int] = {}
-        self.texts: list[str] = []                       # a word's groups, as the digest spells them
+        self.texts: list[bytes] = []                     # a word's groups, as the digest spells them, a ; before each
         self.numbers = np.empty((0, 5), np.int64)        # A tokens, B tokens, groups, links, group links; -1: does not spell the word
-        self.pairs = np.empty(0, np.int64)
+        self.pairs = np.empty(0, self.pair_type)
         self.starts = np.empty(0, np.int64)
         self.uses = np.empty(0, np.int64)
         self.new: list[tuple[np.ndarray, ...]] = []      # starts, pairs and numbers learned since
@@ -168,52 +183,73 @@ class Aligner:
         self.starts, self.numbers, self.uses = np.cumsum(links) - links, self.numbers[keep], np.ones(len(keep), np.int64)
 
     def _words(self, text: str) -> list[str]:
-        if not self.by_word:
-            return [text]
-        if _UNEVEN.search(text) or text[0] == " ":
-            return [w[1:] for w in _CUT.split(" " + text)]
-        return text.split(" ")
+        """A text's words, each without the space before it."""
+        return [w[1:] for w in _CUT.split(" " + text)] if self.by_word else [text]
+
+    def _coded(self, column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The distinct words of a column, the number of each word of all its
+        texts end to end, and the words per text.  Texts where each space
+        begins a word are split by Arrow."""
+        texts = pc.fill_null(column.cast(pa.large_string()), "")
+        filled = byte_sizes(texts) > 0
+        uneven = pc.match_substring_regex(texts, _UNEVEN).to_numpy(zero_copy_only=False) if self.by_word else filled
+        even = filled & ~uneven
+        pieces = pc.split_pattern(texts.filter(pa.array(even)), " ")
+        flat, counts = pieces.flatten(), np.zeros(len(texts), np.int64)
+        counts[even] = pc.list_value_length(pieces).to_numpy(zero_copy_only=False)
+        starts = np.cumsum(counts) - counts
+        if uneven.any():
+            others = [self._words(t) for t in texts.filter(pa.array(uneven)).to_pylist()]
+            counts[uneven] = n = np.fromiter(map(len, others), np.int64, len(others))
+            starts[uneven] = len(flat) + np.cumsum(n) - n
+            flat = pa.concat_arrays([flat, pa.array(itertools.chain.from_iterable(others), pa.large_string())])
+        coded = flat.dictionary_encode()
+        codes = coded.indices.to_numpy(zero_copy_only=False)
+        return coded.dictionary.to_pylist(), codes[_runs(starts, counts)] if uneven.any() else codes, counts
+
+    def _joins(self, words: list[str], joined: str) -> bool:
+        """Whether words joined by spaces have the tokens that each has: none
+        is empty, holds a space or ends in white space."""
+        return self.by_word and "" not in words and joined.count(" ") == len(words) - 1 and not _ENDS_OPEN.search(joined)
 
     def _tokens(self, words: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Per tokenizer: the ids of all words, each after a space, end to
-        end, and how many each word has.  Words without white space are
-        encoded many at a time, where a token that begins with a space
-        begins a word."""
+        end, and how many each word has.  Words are encoded many at a time,
+        where a token that begins with a space begins a word."""
+        parts = [words[i:i + JOINED_WORDS] for i in range(0, len(words), JOINED_WORDS)]
+        joined = [" ".join(part) for part in parts]
+        plain = [self._joins(part, text) for part, text in zip(parts, joined)]
         sides = []
         for encode, opens in ((self._encode_a, self.a_opens), (self._encode_b, self.b_opens)):
-            ids, counts = [], []
-            for i in range(0, len(words), JOINED_WORDS):
-                part = words[i:i + JOINED_WORDS]
-                joined = " ".join(part)
-                plain = self.by_word and "" not in part and len(_SPACE.findall(joined)) == len(part) - 1
-                flat = np.array(encode([joined])[0], np.int64) if plain else None
-                if flat is not None and opens[flat].sum() == len(part):
-                    counts.append(np.diff(np.flatnonzero(opens[flat]), append=len(flat)))
-                    ids.append(flat)
-                    continue
-                each = encode(part)
-                counts.append(np.fromiter(map(len, each), np.int64, len(each)))
-                ids.append(np.fromiter(itertools.chain.from_iterable(each), np.int64))
-            sides.append((np.concatenate(ids), np.concatenate(counts)) if ids else (np.empty(0, np.int64), np.empty(0, np.int64)))
+            found = [encode([text])[0] if together else [] for text, together in zip(joined, plain)]
+            ids, ends = np.fromiter(itertools.chain.from_iterable(found), np.int64), np.cumsum([0, *map(len, found)])
+            begins = np.flatnonzero(opens[ids])
+            if all(plain) and (np.diff(np.searchsorted(begins, ends)) == [len(part) for part in parts]).all():
+                sides.append((ids, np.diff(begins, append=len(ids))))
+                continue
+            each = list(itertools.chain.from_iterable(
+                np.split(flat, begins[1:]) if together and len(begins) == len(part) else map(np.array, encode(part))
+                for part, together, flat, begins in ((part, together, np.array(flat, np.int64), np.flatnonzero(opens[flat]) if flat else flat)
+                                                     for part, together, flat in zip(parts, plain, found))))
+            sides.append((np.concatenate([np.empty(0, np.int64), *each]).astype(np.int64), np.fromiter(map(len, each), np.int64, len(each))))
         return sides
 
     def _encode_a(self, words: list[str]) -> list[list[int]]:
         return [e.ids for e in self.a.encode_batch_fast([" " + w for w in words], add_special_tokens=False)]
 
     def _encode_b(self, words: list[str]) -> list[list[int]]:
-        return [ids if w else [self.space] for w, ids in zip(words, self.b.encode(words, num_threads=1))]
+        return [self.b.encode(w) if w else [self.space] for w in words]
 
     def _spelled(self, words: list[str], sides) -> np.ndarray:
         """Which words the tokens of both kinds spell."""
-        plain = [b" " + w.encode() for w in words]
-        whole, sizes = b"".join(plain), np.fromiter(map(len, plain), np.int64, len(plain))
+        whole, sizes = b"".join([b" ", " ".join(words).encode()]) if words else b"", byte_sizes(pa.array(words, pa.large_string())) + 1
         fits = np.ones(len(words), bool)
         for (ids, counts), spell, bytes_of in zip(sides, (self.a_bytes, self.b_bytes), (self.a_sizes, self.b_sizes)):
             ends = np.cumsum(counts)
             total = np.concatenate([[0], np.cumsum(bytes_of[ids])])
             if (total[ends] - total[ends - counts] == sizes).all() and b"".join(map(spell.__getitem__, ids.tolist())) == whole:
                 continue
-            fits &= [b"".join(map(spell.__getitem__, ids[e - n:e].tolist())) == w for w, e, n in zip(plain, ends.tolist(), counts.tolist())]
+            fits &= [b"".join(map(spell.__getitem__, ids[e - n:e].tolist())) == b" " + w.encode() for w, e, n in zip(words, ends.tolist(), counts.tolist())]
         return fits
 
     def _learn(self, words: list[str]) -> None:
@@ -230,34 +266,31 @@ class Aligner:
         count = lambda word, weights=None: np.bincount(word, weights, len(words)).astype(np.int64)
         numbers = np.stack([a_count, b_count, count(group_word), count(a_word[of_a]), count(group_word, per_group)], axis=1)
         numbers[~fits] = -1
-        # spelled groups: ids joined by commas, sides by |, groups by ;
-        spelled = []
-        for ids, group in ((a_ids, a_group), (b_ids, b_group)):
-            texts = list(map(str, ids.tolist()))
-            for at in np.flatnonzero(np.diff(group, prepend=-1) == 0).tolist():
-                texts[at] = "," + texts[at]
-            spelled.append(texts)
-        marks = np.searchsorted(group_word, np.arange(len(words) + 1)).tolist()
-        firsts = [np.searchsorted(group, np.arange(n_groups + 1)).tolist() for group in (a_group, b_group)]
-        groups = ["".join(spelled[0][x:y]) + "|" + "".join(spelled[1][u:v]) if y > x + 1 or v > u + 1 else spelled[0][x] + "|" + spelled[1][u]
-                  for x, y, u, v in zip(firsts[0], firsts[0][1:], firsts[1], firsts[1][1:])]
+        # spelled groups: a group's A ids, then its B ids
+        first_a, first_b = (np.diff(group, prepend=-1) != 0 for group in (a_group, b_group))
+        order = np.empty(len(a_ids) + len(b_ids), np.int64)
+        order[np.arange(len(a_ids)) + np.searchsorted(b_group, np.arange(n_groups))[a_group]] = a_ids + len(self.a_bytes) * ~first_a
+        order[np.arange(len(b_ids)) + np.searchsorted(a_group, np.arange(n_groups), "right")[b_group]] = (
+            2 * len(self.a_bytes) + b_ids + len(self.b_bytes) * ~first_b)
+        spelled = b"".join(map(self.spelled.__getitem__, order.tolist()))
+        ends = np.concatenate([[0], np.cumsum(self.spelled_sizes[order])])[np.cumsum(a_count + b_count)].tolist()
         base = len(self.texts)
-        self.texts += [";".join(groups[x:y]) if y > x + 1 else groups[x] if y > x else "" for x, y in zip(marks, marks[1:])]
+        self.texts += [spelled[x:y] for x, y in zip([0, *ends], ends)]
         self.rows.update(zip(words, range(base, base + len(words))))
         links = np.maximum(numbers[:, 3], 0)
-        self.new.append((len(self.pairs) + self.new_links + np.cumsum(links) - links, a_ids[of_a] * len(self.b_bytes) + b_ids[of_b], numbers))
+        pairs = a_ids[of_a] * len(self.b_bytes) + b_ids[of_b]
+        self.new.append((len(self.pairs) + self.new_links + np.cumsum(links) - links, pairs.astype(self.pair_type), numbers))
         self.new_links += int(links.sum())
 
-    def align(self, texts: list[str | None]):
-        """Per text: (A tokens, B tokens, groups, links, group links), the
-        groups' digest, and the id pairs of its links."""
+    def align_column(self, column: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]:
+        """Per text, as arrays: the five numbers, the groups' digests, the id
+        pairs of all links end to end, and how many each text has."""
         if len(self.texts) > MEMO_WORDS or len(self.pairs) > MEMO_LINKS or not self.by_word:
             self._thin()
-        split = [self._words(t) if t else [] for t in texts]
-        missing = list(set().union(*split).difference(self.rows))
-        odd = [w for w in missing if not w or _SPACE.search(w)]      # encoded one by one, so kept apart from the others
-        if odd:
-            missing = [*set(missing).difference(odd), *odd]
+        words, codes, counts = self._coded(column)
+        missing = [w for w in words if w not in self.rows]
+        if not self._joins(missing, " ".join(missing)):      # some are encoded one by one, so kept apart from the others
+            missing.sort(key=lambda w: not w or " " in w or SPACE in w or w[-1].isspace())
         for i in range(0, len(missing), LEARN_WORDS):
             self._learn(missing[i:i + LEARN_WORDS])
         if self.new:
@@ -265,16 +298,25 @@ class Aligner:
             self.starts, self.pairs, self.numbers = (np.concatenate([x, *y]) for x, y in zip(
                 (self.starts, self.pairs, self.numbers), (starts, pairs, numbers)))
             self.new, self.new_links = [], 0
-        every = [np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words)) for words in split]
+        distinct = np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))
         self.uses = np.concatenate([self.uses, np.zeros(len(self.texts) - len(self.uses), np.int64)])
-        self.uses += np.bincount(np.concatenate(every), minlength=len(self.uses))
-        for rows in every:
-            numbers = self.numbers[rows]
-            if not len(rows) or (numbers[:, 0] < 0).any():
-                yield np.zeros(5, np.int64), "", np.empty(0, np.int64)
-                continue
-            spelled = ";".join(map(self.texts.__getitem__, rows.tolist()))
-            yield numbers.sum(axis=0), hashlib.sha256(spelled.encode()).hexdigest(), self.pairs[_runs(self.starts[rows], numbers[:, 3])]
+        self.uses[distinct] += np.bincount(codes, minlength=len(words))
+        known = self.numbers[distinct]
+        good = (counts > 0) & (_sums(known[codes, 0] < 0, counts) == 0)
+        numbers = np.stack([_sums(column[codes], counts) for column in np.ascontiguousarray(known.T)], axis=1)
+        numbers[~good] = 0
+        links = np.where(np.repeat(good, counts), known[codes, 3], 0)
+        digests, spelled, ends = [""] * len(counts), list(map(self.texts.__getitem__, distinct.tolist())), np.cumsum(counts)
+        for i in np.flatnonzero(good).tolist():
+            text = b"".join(map(spelled.__getitem__, codes[ends[i] - counts[i]:ends[i]].tolist()))
+            digests[i] = hashlib.sha256(memoryview(text)[1:]).hexdigest()
+        return numbers, digests, self.pairs[_runs(self.starts[distinct][codes], links)], numbers[:, 3]
+
+    def align(self, texts: list[str | None]):
+        """Per text: (A tokens, B tokens, groups, links, group links), the
+        groups' digest, and the id pairs of its links."""
+        numbers, digests, pairs, links = self.align_column(pa.array(texts, pa.large_string()))
+        yield from zip(numbers, digests, np.split(pairs, np.cumsum(links)[:-1]))
 
     def positions(self, text: str) -> tuple[np.ndarray, ...] | None:
         """(A ids, their bytes, B ids, their bytes) of a whole text; None if
@@ -329,15 +371,13 @@ def aligned(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     id pairs of its links (32-bit numbers, or 64-bit for large vocabularies)."""
     def run(batches):
         tool, base, n = aligner(a_path, b_path), TaskContext.get().partitionId() << 40, 0
-        small = len(tool.a_bytes) * len(tool.b_bytes) < 2 ** 32
         for batch in batches:
             texts = batch.column(1)
             for lo, hi in slices(byte_sizes(texts), SLICE_BYTES):
-                numbers, digests, pairs = zip(*tool.align(texts.slice(lo, hi - lo).to_pylist()))
-                numbers = np.stack(numbers)
+                numbers, digests, pairs, links = tool.align_column(texts.slice(lo, hi - lo))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(base + n + np.arange(hi - lo)), batch.column(0).slice(lo, hi - lo), *(pa.array(numbers[:, i]) for i in range(5)),
-                     pa.array(digests, pa.string()), pa.array([p.astype(np.uint32 if small else np.int64).tobytes() for p in pairs], pa.binary())],
+                     pa.array(digests, pa.string()), _binary(pairs, links)],
                     ["row", "doc_id", *NUMBERS, "groups_sha256", "pairs"])
                 n += hi - lo
     text = F.col("text").cast("string")
@@ -345,8 +385,20 @@ def aligned(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
         run, "row long, doc_id long, " + ", ".join(f"{c} long" for c in NUMBERS) + ", groups_sha256 string, pairs binary")
 
 
-def _pairs(column, width: int):
-    return [np.frombuffer(p, np.uint32 if width == 4 else np.int64).astype(np.int64) for p in column.to_pylist()]
+def _binary(pairs: np.ndarray, links: np.ndarray) -> pa.Array:
+    """A binary value per text, of the pairs of its links."""
+    ends = pa.array(np.concatenate([[0], np.cumsum(links * pairs.itemsize)]), pa.int64())
+    return pa.Array.from_buffers(pa.large_binary(), len(links), [None, ends.buffers()[1], pa.py_buffer(pairs)]).cast(pa.binary())
+
+
+def _pairs(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of a binary column end to end, and how many each row has."""
+    if not len(column):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    column = column.cast(pa.large_binary())
+    ends = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2], np.uint8) if ends[-1] > ends[0] else np.empty(0, np.uint8)
+    return data[ends[0]:ends[-1]].view(np.uint32 if width == 4 else np.int64), np.diff(ends) // width
 
 
 def pair_counts(rows: DataFrame, width: int, b_ids: int) -> DataFrame:
@@ -359,18 +411,21 @@ def pair_counts(rows: DataFrame, width: int, b_ids: int) -> DataFrame:
             both, at = np.unique(np.concatenate(pairs), return_inverse=True)
             return both, np.bincount(at, np.concatenate(counts), len(both)).astype(np.int64)
         for batch in batches:
-            for part in _pairs(batch.column(0), width):
+            every, _ = _pairs(batch.column(0), width)
+            for lo in range(0, len(every), COUNT_PAIRS):
+                part, n = np.unique(every[lo:lo + COUNT_PAIRS], return_counts=True)
                 pairs.append(part)
-                counts.append(np.ones(len(part), np.int64))
+                counts.append(n)
                 held += len(part)
                 if held >= COUNT_PAIRS:
                     both, n = summed()
                     pairs, counts, held = [both], [n], len(both)
                     if held > COUNT_PAIRS // 2:
-                        yield pa.RecordBatch.from_arrays([pa.array(both), pa.array(n)], ["pair", "n"])
+                        yield pa.RecordBatch.from_arrays([pa.array(both, pa.int64()), pa.array(n)], ["pair", "n"])
                         pairs, counts, held = [], [], 0
         if held:
-            yield pa.RecordBatch.from_arrays([*map(pa.array, summed())], ["pair", "n"])
+            both, n = summed()
+            yield pa.RecordBatch.from_arrays([pa.array(both, pa.int64()), pa.array(n)], ["pair", "n"])
     totals = stage(rows.select("pairs").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("total")), "pair-counts")
     b = F.col("pair") % b_ids
     most = totals.groupBy(b.alias("b")).agg(F.max("total").alias("most"))     # at most a row per id of the vocabulary
@@ -392,34 +447,33 @@ def align(docs: DataFrame, a_path: str | None = None, b_path: str | None = None,
     shipped = spark.sparkContext.broadcast((hot.column("pair").to_numpy()[order], hot.column("total").to_numpy()[order],
                                             hot.column("best").to_numpy()[order]))
 
-    def split(part):
-        pair, total, best = shipped.value
-        at = np.minimum(np.searchsorted(pair, part), max(len(pair) - 1, 0))
-        known = pair[at] == part if len(pair) else np.zeros(len(part), bool)
-        return at[known], part[~known]
-
     def counted(batches):
-        _, total, best = shipped.value
-        for batch in batches:
-            at = [split(p)[0] for p in _pairs(batch.column(batch.num_columns - 1), width)]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(batch.num_columns - 1)), pa.array([int(best[x].sum()) for x in at], pa.int64()),
-                 pa.array([int(total[x].sum()) for x in at], pa.int64())], names)
-
-    def others(batches):
+        """The sums over the links of hot pairs, and the other pairs with
+        their links; a pair is looked up once for many documents."""
+        pair, total, best = shipped.value
         for batch in batches:
-            numbers = batch.column(0).to_numpy()
-            each = [np.unique(split(p)[1], return_counts=True) for p in _pairs(batch.column(1), width)]
-            if sum(len(p) for p, _ in each):
+            every, links = _pairs(batch.column(batch.num_columns - 1), width)
+            ends = np.cumsum(links)
+            for lo, hi in slices(links, COUNT_PAIRS):
+                part, counts = every[ends[lo] - links[lo]:ends[hi - 1]], links[lo:hi]
+                coded = pa.array(part).dictionary_encode()
+                distinct, codes = coded.dictionary.to_numpy().astype(np.int64), coded.indices.to_numpy()
+                at = np.minimum(np.searchsorted(pair, distinct), max(len(pair) - 1, 0))
+                known = pair[at] == distinct if len(pair) else np.zeros(len(distinct), bool)
+                of_hot = [np.where(known, x[at], 0) if len(pair) else np.zeros(len(distinct), np.int64) for x in (best, total)]
+                rare = np.flatnonzero(~known[codes])
+                keys, n = np.unique(np.repeat(np.arange(hi - lo), counts)[rare] * len(distinct) + codes[rare], return_counts=True)
+                cuts = pa.array(np.searchsorted(keys, np.arange(hi - lo + 1) * len(distinct)), pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(numbers, [len(p) for p, _ in each])), pa.array(np.concatenate([p for p, _ in each])),
-                     pa.array(np.concatenate([n for _, n in each]))], ["row", "pair", "n"])
+                    [*(batch.column(i).slice(lo, hi - lo) for i in range(batch.num_columns - 1)), *(pa.array(_sums(x[codes], counts)) for x in of_hot),
+                     *(pa.ListArray.from_arrays(cuts, pa.array(x)) for x in (distinct[keys % max(len(distinct), 1)], n))], names)
 
-    names = ["row", "doc_id", *NUMBERS, "groups_sha256", "hot_best", "hot_sum"]
-    near = rows.mapInArrow(counted, "row long, doc_id long, " + ", ".join(f"{c} long" for c in NUMBERS) + ", groups_sha256 string, hot_best long, hot_sum long")
-    rare = rows.select("row", "pairs").mapInArrow(others, "row long, pair long, n long").join(totals, "pair").groupBy("row").agg(
+    names = ["row", "doc_id", *NUMBERS, "groups_sha256", "hot_best", "hot_sum", "pair", "n"]
+    near = stage(rows.mapInArrow(counted, "row long, doc_id long, " + ", ".join(f"{c} long" for c in NUMBERS)
+                                 + ", groups_sha256 string, hot_best long, hot_sum long, pair array<long>, n array<long>"), "hot-sums")
+    rare = near.select("row", F.explode(F.arrays_zip("pair", "n")).alias("of")).select("row", "of.pair", "of.n").join(totals, "pair").groupBy("row").agg(
         F.sum(F.when(F.col("best"), F.col("n")).otherwise(0)).alias("rare_best"), F.sum(F.col("n") * F.col("total")).alias("rare_sum"))
-    return near.join(rare, "row", "left").select(
+    return near.drop("pair", "n").join(rare, "row", "left").select(
         "doc_id", "n_a", "n_b", "n_groups", "n_links", (F.col("hot_best") + F.coalesce("rare_best", F.lit(0))).alias("n_best"),
         (F.col("hot_sum") + F.coalesce("rare_sum", F.lit(0))).alias("count_sum"), "groups_sha256", "n_group_links")
 

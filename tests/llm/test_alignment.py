@@ -136,6 +136,35 @@ def test_texts_are_aligned_whole_where_words_do_not_fit(tools):
     assert whole[0][1] == by_word[0][1] and (whole[0][0] == by_word[0][0]).all()
 
 
+def test_words_with_line_breaks_are_encoded_together(tools):
+    text = " ".join(f"w{i}x.\nY{i}z \tq{i}" for i in range(300)) + " end\n"
+    tool, asked = alignment.Aligner(A_PATH, B_PATH), []
+    for side in ("_encode_a", "_encode_b"):
+        encode = getattr(tool, side)
+        setattr(tool, side, lambda words, encode=encode: asked.append(len(words)) or encode(words))
+    numbers, digest, pairs = next(tool.align([text]))
+    a, b = spans(text, tools)
+    assert numbers[:2].tolist() == [len(a), len(b)] and digest == brute([(1, text)], tools)[0][-1]
+    assert len(pairs) == numbers[3] == sum(s < f and t < e for _, s, e in a for _, t, f in b)
+    assert sum(asked) < 150
+
+
+def test_pairs_are_looked_up_in_one_pass(make_docs):
+    got = alignment.align(make_docs([(1, "some words", "en", "a"), (2, None, "en", "a"), (3, "", "en", "a")]))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 0 and got.count() == 3
+
+
+def test_arrays_of_no_links():
+    tool = alignment.Aligner(A_PATH, B_PATH)
+    for texts in ([], [None], [None, "", "x▁y", None]):
+        numbers, digests, pairs, links = tool.align_column(alignment.pa.array(texts, alignment.pa.string()))
+        assert not numbers.any() and not any(digests) and len(pairs) == 0 and links.tolist() == [0] * len(texts) and len(digests) == len(texts)
+        column = alignment._binary(pairs, links)
+        assert column.type == alignment.pa.binary() and column.to_pylist() == [b""] * len(texts)
+        assert [x.tolist() for x in alignment._pairs(column, 4)] == [[], [0] * len(texts)]
+
+
 def test_other_tokenizers_are_encoded_whole():
     path = public_tokenizers.path("word_bpe_49k.json")
     texts = ["Two words, two  words", "", "naïve"]
