@@ -137,3 +137,61 @@ def test_recall_at_the_design_share(spark):
         row[i] = -np.inf
         hits += len(found[ids[i]] & set(ids[np.argsort(-row)[:20]].tolist()))
     assert hits >= 0.9 * 20 * len(found)
+
+
+def test_no_row_is_copied_for_the_meetings(spark, monkeypatch):
+    """Sixteen blocks, ten packs: all meet, no copies of blocks or queries are shuffled, a query brings k rows a run of blocks along."""
+    monkeypatch.setattr(permutations, "BLOCK", 64)
+    monkeypatch.setattr(permutations, "QUERY_PACK", 50)
+    staged, kept = {}, permutations.stage
+    monkeypatch.setattr(permutations, "stage", lambda df, name: staged.setdefault(name, kept(df, name)))
+    vectors = np.random.default_rng(7).normal(size=(1000, 8)).astype(np.float32).astype(float)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>").repartition(3)
+    result = permutations.search(frame, frame.where("vec_id % 2 = 0"), k=5, rerank=1.0)
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Generate" not in plan and "SortMergeJoin" not in plan
+    met = staged["permutations"].coalesce(permutations.GROUPS).crossJoin(staged["permutation-packs"].hint("shuffle_replicate_nl"))
+    assert staged["permutations"].count() >= 16 and staged["permutation-packs"].count() >= 10
+    met = met.select("ids", "sizes", "vectors", "places", "offsets", "query_ids", "query_vectors", "query_places", "pack").mapInArrow(
+        lambda batches: permutations.meetings(batches, 8, 64, 5, 1.0), "query_id long, vec_id long, score double")
+    assert met.count() <= 500 * 5 * permutations.GROUPS
+    found = {}
+    for r in result.collect():
+        found.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+    assert len(found) == 500
+    for q, got in found.items():
+        assert [i for _, i in sorted(got)] == [i for _, i in brute(range(1000), vectors, (q, vectors[q]), 5)]
+
+
+def test_queries_are_dealt_by_their_own_number(spark, monkeypatch):
+    """Many queries of few distinct vectors: none of the tasks gets them all."""
+    monkeypatch.setattr(permutations, "QUERY_PACK", 200)
+    staged, kept = {}, permutations.stage
+    monkeypatch.setattr(permutations, "stage", lambda df, name: staged.setdefault(name, kept(df, name)))
+    vectors = np.random.default_rng(8).normal(size=(30, 4))
+    frame = spark.range(3000).select(permutations.F.col("id").alias("vec_id"), permutations.F.element_at(
+        permutations.F.array(*[permutations.F.array(*map(permutations.F.lit, map(float, v))) for v in vectors]), (permutations.F.col("id") % 30 + 1).cast("int")).alias("embedding"))
+    got = permutations.search(frame, frame, k=3).collect()
+    packs = [len(r.query_ids) // 8 for r in staged["permutation-packs"].collect()]
+    assert sum(packs) == 3000 and len(packs) >= 15 and max(packs) <= 200
+    assert permutations.query_parts(0, 8) == 1 and permutations.query_parts(10**6, 8) == -(-10**6 // 200)
+    found = {}
+    for r in got:
+        found.setdefault(r.query_id, {})[r["rank"]] = r.vec_id
+    scores = vectors @ vectors.T
+    for q in range(0, 3000, 97):
+        best = int(np.argmax(scores[q % 30]))
+        assert [found[q][i] for i in (1, 2, 3)] == [i for i in range(best, 3000, 30) if i != q][:3]
+
+
+def test_wide_vectors_make_short_blocks(spark, monkeypatch):
+    monkeypatch.setattr(permutations, "BLOCK_BYTES", 64)
+    frame = spark.range(5).select(permutations.F.array("id").alias("members"), permutations.F.array(permutations.F.lit(1.0)).alias("vector")).coalesce(1)
+    assert [len(r.sizes) // 4 for r in permutations.blocks(frame, np.eye(4), 8192, 4).collect()] == [2, 2, 1]
+
+
+def test_rows_travel_in_single_precision_only_if_that_is_exact():
+    single, double = np.float32([[0.1, -3.5]]).astype(float), np.array([[0.1, 1e300]])
+    for rows, size in ((single, 8), (double, 16)):
+        packed = permutations._packed(rows).tobytes()
+        assert len(packed) == size and (permutations._unpacked(packed, 1, 2) == rows).all()
